@@ -26,8 +26,7 @@ def match_source(path: Column, file_name: Column, rules: Sequence[SourceRule] =
     named = source_name(file_name)
     for pattern, name in reversed(list(rules)):
         if "$" in name:
-            # Only the matched part is rewritten, never the rest of the path.
-            hit = F.regexp_replace(F.regexp_extract(path, pattern, 0), pattern, name)
+            hit = F.regexp_replace(path, f"(?s)^.*?(?:{pattern}).*$", name)
         else:
             hit = F.lit(name)
         named = F.when(path.rlike(pattern), hit).otherwise(named)

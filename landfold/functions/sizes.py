@@ -21,6 +21,11 @@ def parse_size(size: int | str) -> int:
     return value
 
 
+#: By default the file source passes over a file that is a week older than the
+#: newest one it has seen. A late file is a change like any other, so none is.
+ANY_AGE = {"maxFileAge": "36500d"}
+
+
 def rate_options(max_files: int | None, max_bytes: int | str | None) -> dict[str, str]:
     """Rate-limit options of the file source.
 

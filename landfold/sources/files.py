@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfold.functions.sizes import rate_options
+from landfold.functions.sizes import ANY_AGE, rate_options
 from landfold.sources.skip import drop_file_heads
 
 # Unicode noncharacters: never part of interchanged text, so a line is neither
@@ -36,7 +36,7 @@ def _load(
     reader = (spark.readStream if streaming else spark.read).format(file_format).schema(schema)
     merged: dict[str, object] = {"recursiveFileLookup": True, **defaults}
     if streaming:
-        merged.update(rate_options(max_files, max_bytes))
+        merged.update(ANY_AGE, **rate_options(max_files, max_bytes))
     # The caller's options come last, so they win. A rate limit among them
     # replaces ours: the source refuses two.
     given = {k.lower() for k in options or {}}

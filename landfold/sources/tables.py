@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from landfold.functions.sizes import rate_options
+from landfold.functions.sizes import ANY_AGE, rate_options
 from landfold.streaming.folder import Folder
 
 _SINK_LOG = "_spark_metadata"
@@ -46,7 +46,7 @@ def read_table(
         if declared is not None:
             reader = reader.schema(declared)
         if streaming:
-            reader = reader.options(**rate_options(max_files, max_bytes))
+            reader = reader.options(**ANY_AGE, **rate_options(max_files, max_bytes))
         return reader.parquet(folder)
 
     return reduce(DataFrame.unionByName, [one(f) for f in table_folders(spark, path)])

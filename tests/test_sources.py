@@ -163,6 +163,13 @@ def test_each_file_is_read_once(spark, drop):
     assert values(read_table(spark, f"{drop.root}/bronze")) == ["0", "1", "2", "3", "4", "9"]
 
 
+def test_a_file_far_older_than_the_others_is_read(spark, drop):
+    drop("new/f.csv", ["h", "new"], at=1_700_000_000)
+    ingest(spark, drop)
+    drop("old/f.csv", ["h", "old"], at=1_000_000_000)
+    assert ingest(spark, drop) == [1]
+
+
 def test_byte_limit_paces_batches(spark, drop):
     for i in range(4):
         drop(f"d{i}/f.csv", ["h", str(i) * 100])
