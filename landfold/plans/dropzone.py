@@ -218,6 +218,7 @@ class DropZone:
         keys: Sequence[str],
         table: str | None = None,
         *,
+        sequence_by: str | Sequence[str] = SEQUENCE,
         mode: str = "permissive",
         scd_type: int = 1,
         ignore_null_updates: bool = True,
@@ -229,8 +230,13 @@ class DropZone:
         track_except: Sequence[str] = (),
         every: str | None = None,
     ) -> StreamingQuery:
-        """Start applying a source's new lines to its keyed table."""
+        """Start applying a source's new lines to its keyed table.
+
+        Changes are ordered by when their file was modified, or by columns of
+        their own; a history by one of them.
+        """
         feed = self._feed(table)
+        sequence = [sequence_by] if isinstance(sequence_by, str) else list(sequence_by)
         declared = declared_schema(ddl).fieldNames()
         routed = self._routed(
             feed, streaming=True, max_files=feed.max_files, max_bytes=feed.max_bytes
@@ -246,13 +252,13 @@ class DropZone:
         }
         if scd_type == 1:
             rules = ChangeRules.of(
-                changes, keys, [SEQUENCE, LINE_ID], truncate_when=truncate_when, **picked
+                changes, keys, [*sequence, LINE_ID], truncate_when=truncate_when, **picked
             )
         elif scd_type == 2:
             if truncate_when is not None:
                 raise ValueError("a history cannot be truncated")
             rules = HistoryRules.of(
-                changes, keys, SEQUENCE, tie_breakers=[LINE_ID], track=track,
+                changes, keys, sequence[0], tie_breakers=[*sequence[1:], LINE_ID], track=track,
                 track_except=track_except, **picked,
             )
         else:
