@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -25,14 +26,20 @@ def match_source(path: Column, file_name: Column, rules: Sequence[SourceRule] =
     """
     named = source_name(file_name)
     for pattern, name in reversed(list(rules)):
-        if "$" in name:
-            hit = F.regexp_replace(path, f"(?s)^.*?(?:{pattern}).*$", name)
-        else:
-            hit = F.lit(name)
-        named = F.when(path.rlike(pattern), hit).otherwise(named)
+        named = F.when(path.rlike(pattern), _expanded(path, pattern, name)).otherwise(named)
     return named
 
 
+def _expanded(path: Column, pattern: str, name: str) -> Column:
+    """``name`` with its group references filled in from the first match."""
+    parts = [p for p in re.split(r"(\$\d+)", name) if p]
+    filled = [
+        F.regexp_extract(path, pattern, int(p[1:])) if re.fullmatch(r"\$\d+", p) else F.lit(p)
+        for p in parts
+    ]
+    return F.concat(*filled) if filled else F.lit("")
+
+
 def table_of_source(source: Column, suffix: str = "_csv") -> Column:
     """Registry name of a source: ``encounters_csv`` -> ``encounters``."""
     if not suffix:

@@ -2,9 +2,9 @@
 
 Everything kept per key is a maximum over change rows, so state can be built in
 any order, from any batches, with any batch repeated, and come out the same. A
-state is therefore a plain DataFrame, and merging states is one ``groupBy`` with
-partial aggregation: however many rows a key has, one row per key and task is
-shuffled.
+state is therefore a plain DataFrame, and making or merging states is one
+``groupBy`` with partial aggregation: however many rows a key has, one row per
+key and task is shuffled.
 
 State columns, beside the keys:
 
@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_UPSERT, _DELETE, _TRUNCATE, _ROW, _VALUE = "_upsert", "_delete", "_truncate", "_row", "_value"
+_UPSERT, _DELETE, _TRUNCATE, _ROW = "_upsert", "_delete", "_truncate", "_row"
+_VALUE, _ORDER = "_value", "_order"
 
 
 @dataclass(frozen=True)
@@ -111,60 +112,100 @@ def unsequenced(changes: DataFrame, rules: ChangeRules) -> DataFrame:
     return changes.where(~_sequenced(rules))
 
 
-def _order(rules: ChangeRules) -> list[Column]:
-    return [_col(c).alias(f"o{i}") for i, c in enumerate(rules.sequence_by)]
+def _order(rules: ChangeRules) -> Column:
+    return F.struct(*[_col(c).alias(f"o{i}") for i, c in enumerate(rules.sequence_by)])
 
 
-def _order_of(rules: ChangeRules, struct: str) -> Column:
-    """The order inside a state column, without the value."""
-    return F.struct(*[_col(struct)[f"o{i}"].alias(f"o{i}") for i in range(len(rules.sequence_by))])
-
-
-def lift(changes: DataFrame, rules: ChangeRules) -> DataFrame:
-    """Each change row as a state of its own; rows without a sequence are left out."""
+def _lifted(rules: ChangeRules) -> tuple[list[Column], list[Column]]:
+    """State keys of a change row, and its part in each state column."""
     truncates = _holds(rules.truncate_when)
     deletes = _holds(rules.delete_when) & ~truncates
     upserts = ~deletes & ~truncates
     always = not rules.has_deletes
-
-    def when(cond: Column, col: Column) -> Column:
-        return col if always else F.when(cond, col)
-
     order = _order(rules)
-    if rules.truncate_when is None:
-        out = [_col(k) for k in rules.keys]
-    else:
+
+    keys = [_col(k) for k in rules.keys]
+    if rules.truncate_when is not None:
         # All truncates share one row, whatever keys their change rows carry.
-        out = [F.when(~truncates, _col(k)).alias(k) for k in rules.keys]
-        out.append(truncates.alias(_TRUNCATE))
+        keys = [F.when(~truncates, _col(k)).alias(k) for k in rules.keys]
+        keys.append(truncates.alias(_TRUNCATE))
+    parts: list[Column] = []
     if rules.has_deletes:
-        out.append(F.when(~upserts, F.struct(*order)).alias(_DELETE))
+        parts.append(F.when(~upserts, order))
     if rules.ignore_null_updates:
-        out.append(when(upserts, F.struct(*order)).alias(_UPSERT))
-        out += [
-            F.when(
-                _col(c).isNotNull() if always else upserts & _col(c).isNotNull(),
-                F.struct(*order, _col(c).alias(_VALUE)),
-            ).alias(c)
-            for c in rules.columns
-        ]
+        parts.append(order if always else F.when(upserts, order))
+        for c in rules.columns:
+            counts = _col(c).isNotNull() if always else upserts & _col(c).isNotNull()
+            parts.append(F.when(counts, F.struct(order.alias(_ORDER), _col(c).alias(_VALUE))))
     else:
-        row = F.struct(*order, *[_col(c).alias(f"c{i}") for i, c in enumerate(rules.columns)])
-        out.append(when(upserts, row).alias(_ROW))
-    return changes.where(_sequenced(rules)).select(*out)
+        row = F.struct(order.alias(_ORDER), *[_col(c).alias(f"c{i}") for i, c in enumerate(rules.columns)])
+        parts.append(row if always else F.when(upserts, row))
+    return keys, parts
+
+
+def _greatest(rows: DataFrame, keys: list[Column], parts: dict[str, Column]) -> DataFrame:
+    return rows.groupBy(*keys).agg(*[F.max(part).alias(name) for name, part in parts.items()])
+
+
+def fold(changes: DataFrame, rules: ChangeRules) -> DataFrame:
+    """The state of a set of change rows; rows without a sequence are left out.
+
+    State columns are made inside the aggregation, so that change rows are
+    sorted as they are and not with the order repeated for every column.
+    """
+    keys, parts = _lifted(rules)
+    named = dict(zip(_state_columns(rules), parts, strict=True))
+    return _greatest(changes.where(_sequenced(rules)), keys, named)
 
 
-def merge(states: DataFrame, rules: ChangeRules) -> DataFrame:
-    """States with any number of rows per key, merged to one row per key."""
-    parts = [c for c in states.columns if c not in rules.state_keys]
-    return states.groupBy(*[_col(k) for k in rules.state_keys]).agg(
-        *[F.max(_col(c)).alias(c) for c in parts]
+def _state_columns(rules: ChangeRules) -> list[str]:
+    names = [_DELETE] if rules.has_deletes else []
+    return [*names, _UPSERT, *rules.columns] if rules.ignore_null_updates else [*names, _ROW]
+
+
+def pack(state: DataFrame, rules: ChangeRules) -> DataFrame:
+    """State as it is stored: a column's order only where it is not the row's own.
+
+    Most values come with the last upsert of their key, so most of these are null.
+    """
+    if not (rules.ignore_null_updates and rules.columns):
+        return state
+    return state.withColumns(
+        {
+            c: F.struct(
+                F.nullif(_col(c)[_ORDER], _col(_UPSERT)).alias(_ORDER), _col(c)[_VALUE].alias(_VALUE)
+            )
+            for c in rules.columns
+        }
+    )
+
+
+def _unpacked(c: str) -> Column:
+    return F.when(
+        _col(c)[_VALUE].isNotNull(),
+        F.struct(
+            F.coalesce(_col(c)[_ORDER], _col(_UPSERT)).alias(_ORDER), _col(c)[_VALUE].alias(_VALUE)
+        ),
     )
 
 
+def unpack(stored: DataFrame, rules: ChangeRules) -> DataFrame:
+    """The state that :func:`pack` stored."""
+    if not (rules.ignore_null_updates and rules.columns):
+        return stored
+    return stored.withColumns({c: _unpacked(c) for c in rules.columns})
+
+
+def merge(stored: DataFrame, rules: ChangeRules) -> DataFrame:
+    """Stored states with any number of rows per key, merged to the state of one row per key."""
+    packed = rules.columns if rules.ignore_null_updates else ()
+    parts = {c: _unpacked(c) if c in packed else _col(c) for c in _state_columns(rules)}
+    return _greatest(stored, [_col(k) for k in rules.state_keys], parts)
+
+
 def resolve(state: DataFrame, rules: ChangeRules) -> DataFrame:
     """The target's rows: keys that are upserted and not deleted since, with their values."""
-    upsert = _ROW if not rules.ignore_null_updates else _UPSERT
+    upsert = _col(_UPSERT) if rules.ignore_null_updates else _col(_ROW)[_ORDER]
     tomb: Column | None = None
     rows = state
     if rules.has_deletes:
@@ -175,8 +216,7 @@ def resolve(state: DataFrame, rules: ChangeRules) -> DataFrame:
             tomb = F.greatest(tomb, cleared)
             rows = rows.where(~_col(_TRUNCATE))
         rows = rows.withColumn(_DELETE, tomb).where(
-            _col(upsert).isNotNull()
-            & (_col(_DELETE).isNull() | (_order_of(rules, upsert) > _col(_DELETE)))
+            upsert.isNotNull() & (_col(_DELETE).isNull() | (upsert > _col(_DELETE)))
         )
 
     def value(i: int, c: str) -> Column:
@@ -186,9 +226,7 @@ def resolve(state: DataFrame, rules: ChangeRules) -> DataFrame:
         if tomb is None:
             return held.alias(c)
         # A value from before the last delete is gone, even if nothing replaced it.
-        return F.when(
-            _col(_DELETE).isNull() | (_order_of(rules, c) > _col(_DELETE)), held
-        ).alias(c)
+        return F.when(_col(_DELETE).isNull() | (_col(c)[_ORDER] > _col(_DELETE)), held).alias(c)
 
     return rows.select(*[_col(k) for k in rules.keys], *[value(i, c) for i, c in enumerate(rules.columns)])
 
@@ -215,4 +253,4 @@ def apply_changes(
         delete_when=delete_when, truncate_when=truncate_when, columns=columns,
         except_columns=except_columns,
     )
-    return resolve(merge(lift(changes, rules), rules), rules)
+    return resolve(fold(changes, rules), rules)

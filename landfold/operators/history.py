@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfold.operators.changes import ChangeRules, lift, merge, resolve
+from landfold.operators.changes import ChangeRules, fold, resolve
 from landfold.workspace import materialise
 
 START, END = "__START_AT", "__END_AT"
@@ -132,7 +132,7 @@ def _carry(
 def versions(changes: DataFrame, rules: HistoryRules) -> DataFrame:
     """One row per key and sequence; ties go to the greatest tie breaker, whole."""
     state = rules.state_rules
-    return resolve(merge(lift(rules.prepare(changes), state), state), state)
+    return resolve(fold(rules.prepare(changes), state), state)
 
 
 def history(rows: DataFrame, rules: HistoryRules) -> DataFrame:

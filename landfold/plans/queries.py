@@ -185,12 +185,12 @@ def ingest_whole_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("ingest_text_lines", "SELECT doc_id, text FROM documents WHERE text NOT LIKE '%' || chr(13) || '%'")
+@query("ingest_text_lines", "SELECT doc_id, text FROM documents")
 def ingest_text_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Documents written as one JSON text per line, with no header."""
 
     def write(path: str) -> None:
-        documents = table(spark, sf, "documents").where(~F.contains("text", F.lit("\r")))
+        documents = table(spark, sf, "documents")
         documents.select(F.to_json(F.struct("doc_id", "text")).alias("value")).write.text(path)
 
     landing = _landed(spark, sf, "documents", write)

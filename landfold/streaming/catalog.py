@@ -8,7 +8,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 
-def _text(value: object) -> str:
+def sql_text(value: object) -> str:
+    """A value as a SQL string literal."""
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -27,10 +28,10 @@ def declare_table(
     statement = f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
     if partition_by:
         statement += f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})"
-    statement += f" LOCATION {_text(path)}"
+    statement += f" LOCATION {sql_text(path)}"
     if comment:
-        statement += f" COMMENT {_text(comment)}"
+        statement += f" COMMENT {sql_text(comment)}"
     if properties:
-        pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
+        pairs = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in properties.items())
         statement += f" TBLPROPERTIES ({pairs})"
     spark.sql(statement)

@@ -8,6 +8,9 @@ over, and one that was cut short leaves only an unnamed folder behind.
 Runs are merged when the newer ones together outweigh an older one. A run is
 then larger than all newer ones together: a table of n batches has about log n
 runs, and a row is rewritten about log n times, not once per batch.
+
+A merged run that is large is bucketed by key. Reading it together with newer
+runs then shuffles only those: the table's bulk is merged where it lies.
 """
 
 from __future__ import annotations
@@ -16,24 +19,38 @@ import json
 import threading
 import uuid
 from collections import defaultdict
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfold.operators.changes import ChangeRules, lift, merge, resolve
+from landfold.operators.changes import ChangeRules, fold, merge, pack, resolve, unpack
 from landfold.operators.history import HistoryRules, history
+from landfold.streaming.catalog import sql_text
 from landfold.streaming.folder import Folder
 
 _LOCKS: dict[str, threading.Lock] = defaultdict(threading.Lock)
+#: Below Spark's own limit on buckets.
+_MOST_BUCKETS = 1 << 16
 _KINDS = {"current": ChangeRules, "history": HistoryRules}
 
 
+@dataclass(frozen=True)
+class Run:
+    """A folder of merged state; ``buckets`` is 0 when it is not bucketed."""
+
+    name: str
+    size: int
+    buckets: int = 0
+
+
 @dataclass(frozen=True)
 class _Manifest:
     version: int = -1
     schema: str | None = None
-    runs: tuple[tuple[str, int], ...] = ()
+    runs: tuple[Run, ...] = ()
     applied: dict[str, int] = field(default_factory=dict)
     rules: dict = field(default_factory=dict)
     kind: str = "current"
@@ -44,7 +61,7 @@ class _Manifest:
     @staticmethod
     def from_json(text: str) -> _Manifest:
         raw = json.loads(text)
-        raw["runs"] = tuple((name, size) for name, size in raw["runs"])
+        raw["runs"] = tuple(Run(**run) for run in raw["runs"])
         return _Manifest(**raw)
 
 
@@ -71,6 +88,7 @@ class ChangeTable:
         *,
         fan_in: int = 4,
         keep_manifests: int = 5,
+        bucket_bytes: int = 128 << 20,
     ) -> None:
         if fan_in < 2:
             raise ValueError("fan_in must be at least 2")
@@ -79,6 +97,7 @@ class ChangeTable:
         self.rules = rules
         self.fan_in = fan_in
         self.keep_manifests = max(1, keep_manifests)
+        self.bucket_bytes = bucket_bytes
         self._folder = Folder(spark, path)
         self._state_rules = rules.state_rules if isinstance(rules, HistoryRules) else rules
         held = self._manifest()
@@ -96,34 +115,68 @@ class ChangeTable:
     def _manifest(self) -> _Manifest:
         return _latest(self._folder)
 
-    def _run(self, spark: SparkSession, held: _Manifest, name: str) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(held.schema))
-        return spark.read.schema(schema).parquet(f"{self.path}/runs/{name}")
-
-    def _merged(self, held: _Manifest, runs: tuple[tuple[str, int], ...]) -> DataFrame:
-        rows = None
-        for name, _ in runs:
-            run = self._run(self.spark, held, name)
-            rows = run if rows is None else rows.unionByName(run)
-        # A single run has one row per key already.
-        return rows if len(runs) == 1 else merge(rows, self._state_rules)
+    def _buckets_for(self, size: int) -> int:
+        """Buckets of a run of that many bytes: a power of two, so that growing runs keep theirs."""
+        if not self.bucket_bytes or size < 2 * self.bucket_bytes:
+            return 0
+        return min(1 << (size // self.bucket_bytes).bit_length() - 1, _MOST_BUCKETS)
 
-    def _write_run(self, state: DataFrame) -> tuple[str, int]:
+    def _stored(self, held: _Manifest, run: Run) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(held.schema))
+        path = f"{self.path}/runs/{run.name}"
+        if not run.buckets:
+            return self.spark.read.schema(schema).parquet(path)
+        # Buckets are declared in the catalog only, so the run is named there
+        # for as long as it takes to look it up.
+        name = f"landfold_{uuid.uuid4().hex}"
+        keys = ", ".join(f"`{k}`" for k in self._state_rules.state_keys)
+        self.spark.sql(
+            f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet"
+            f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {run.buckets} BUCKETS LOCATION {sql_text(path)}"
+        )
+        try:
+            return self.spark.table(name)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
+
+    def _merged(self, held: _Manifest, runs: tuple[Run, ...]) -> DataFrame:
+        if len(runs) == 1:  # one row per key already
+            return unpack(self._stored(held, runs[0]), self._state_rules)
+        buckets = max(runs, key=lambda run: run.size if run.buckets else -1).buckets
+        keys = [F.col(f"`{k}`") for k in self._state_rules.state_keys]
+        stored = [
+            rows if run.buckets == buckets else rows.repartition(buckets, *keys)
+            for run in runs
+            for rows in [self._stored(held, run)]
+        ]
+        return merge(reduce(DataFrame.unionByName, stored), self._state_rules)
+
+    def _write_run(self, state: DataFrame, buckets: int = 0) -> Run:
         name = uuid.uuid4().hex
-        state.write.parquet(f"{self.path}/runs/{name}")
-        return name, self._folder.size(f"runs/{name}")
+        stored = pack(state, self._state_rules)
+        path = f"{self.path}/runs/{name}"
+        if buckets:
+            keys = self._state_rules.state_keys
+            # No shuffle if the state is partitioned this way already.
+            stored = stored.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
+            writer = stored.write.format("parquet").option("path", path)
+            writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(f"landfold_{name}")
+            stored.sparkSession.sql(f"DROP TABLE landfold_{name}")
+        else:
+            stored.write.parquet(path)
+        return Run(name, self._folder.size(f"runs/{name}"), buckets)
 
     def _publish(self, held: _Manifest, **changes: object) -> _Manifest:
-        new = _Manifest(**{**asdict(held), "version": held.version + 1, **changes})
+        new = replace(held, version=held.version + 1, **changes)
         self._folder.publish(f"manifests/{new.version:012d}.json", new.to_json())
         return new
 
     def is_empty(self) -> bool:
         return not self._manifest().runs
 
-    def applied(self, flow: str = "") -> int:
-        """Number of the last batch applied from a flow, or -1."""
-        return self._manifest().applied.get(flow, -1)
+    def applied(self) -> dict[str, int]:
+        """Number of the last batch applied, by flow."""
+        return self._manifest().applied
 
     def apply(self, changes: DataFrame, *, flow: str = "", batch_id: int | None = None) -> bool:
         """Fold a batch of changes in. False if it was applied before, and is passed over."""
@@ -137,33 +190,37 @@ class ChangeTable:
             rules = self.rules
             if isinstance(rules, HistoryRules):
                 changes = rules.prepare(changes)
-            state = merge(lift(changes, self._state_rules), self._state_rules)
+            state = fold(changes, self._state_rules)
             run = self._write_run(state)
             held = self._publish(
                 held,
-                schema=held.schema or state.schema.json(),
+                schema=held.schema or pack(state, self._state_rules).schema.json(),
                 runs=(*held.runs, run),
                 applied={**held.applied, flow: batch_id},
                 rules=asdict(rules),
                 kind="history" if isinstance(rules, HistoryRules) else "current",
             )
-            start = runs_to_merge([size for _, size in held.runs], self.fan_in)
+            start = runs_to_merge([run.size for run in held.runs], self.fan_in)
             if start is not None:
                 self._merge_from(held, start)
             self._tidy()
             return True
 
     def _merge_from(self, held: _Manifest, start: int) -> None:
-        run = self._write_run(self._merged(held, held.runs[start:]))
+        runs = held.runs[start:]
+        buckets = self._buckets_for(sum(run.size for run in runs))
+        run = self._write_run(self._merged(held, runs), buckets)
         self._publish(held, runs=(*held.runs[:start], run))
 
     def compact(self) -> None:
-        """Merge all runs into one, so that reading needs no shuffle."""
+        """Merge all runs into one, bucketed if it is large."""
         with _LOCKS[self.path]:
             held = self._manifest()
-            if len(held.runs) > 1:
-                self._merge_from(held, 0)
-                self._tidy()
+            alone = len(held.runs) == 1
+            if not held.runs or (alone and held.runs[0].buckets == self._buckets_for(held.runs[0].size)):
+                return
+            self._merge_from(held, 0)
+            self._tidy()
 
     def _tidy(self) -> None:
         """Drop old manifests and the runs that no kept manifest names."""
@@ -172,9 +229,9 @@ class ChangeTable:
         if not old:
             return
         wanted = {
-            run
+            run.name
             for n in kept
-            for run, _ in _Manifest.from_json(self._folder.read(f"manifests/{n}")).runs
+            for run in _Manifest.from_json(self._folder.read(f"manifests/{n}")).runs
         }
         for n in old:
             self._folder.delete(f"manifests/{n}")

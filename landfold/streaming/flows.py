@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from landfold.streaming.change_table import ChangeTable
+from landfold.streaming.folder import Folder
 
 
 def _started(writer: DataStreamWriter, checkpoint: str, every: str | None, name: str | None) -> StreamingQuery:
@@ -36,12 +38,23 @@ def append(
     batches for repeats of another's.
     """
     folder = path if flow is None else f"{path}/{flow}"
+    spark = rows.sparkSession
+    if Folder(spark, folder).exists("_spark_metadata") and not Folder(spark, checkpoint).exists():
+        raise ValueError(f"{folder} was written by a stream with another checkpoint")
     writer = rows.writeStream.format("parquet").outputMode("append").option("path", folder)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return _started(writer, checkpoint, every, name)
 
 
+def _identity(table: ChangeTable, checkpoint: str) -> str:
+    """A name that lasts as long as the checkpoint does."""
+    folder = Folder(table.spark, checkpoint)
+    if not folder.exists("flow"):
+        folder.publish("flow", uuid.uuid4().hex)
+    return folder.read("flow")
+
+
 def apply_stream(
     changes: DataFrame,
     table: ChangeTable,
@@ -55,19 +68,24 @@ def apply_stream(
 ) -> StreamingQuery:
     """Apply a stream of changes to a keyed target.
 
+    Batches are counted per checkpoint: with a new checkpoint everything is
+    applied again, which changes nothing that was applied before.
+
     Rows that meet ``set_aside`` are also written to ``set_aside_path``, one
     folder per batch. They are counted while the batch is folded, so a batch
     without any costs no second pass.
     """
 
+    counted = f"{flow}#{_identity(table, checkpoint)}"
+
     def fold(batch: DataFrame, batch_id: int) -> None:
         if set_aside is None:
-            table.apply(batch, flow=flow, batch_id=batch_id)
+            table.apply(batch, flow=counted, batch_id=batch_id)
             return
         seen = Observation()
         rows = batch.observe(seen, F.count_if(set_aside).alias("n"))
         # A batch that comes again is not folded, so not counted either.
-        if not table.apply(rows, flow=flow, batch_id=batch_id) or seen.get["n"]:
+        if not table.apply(rows, flow=counted, batch_id=batch_id) or seen.get["n"]:
             batch.where(set_aside).write.mode("overwrite").parquet(
                 f"{set_aside_path}/batch_id={batch_id}"
             )

@@ -2,13 +2,13 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 from dataclasses import replace
 
 import pytest
-from pyspark.sql import functions as F
 
 from landfold import ChangeRules, ChangeTable, HistoryRules, apply_changes, apply_changes_history
-from landfold.operators.changes import lift, merge, resolve, unsequenced
+from landfold.operators.changes import unsequenced
 from landfold.streaming.change_table import runs_to_merge
 
 SCHEMA = "k STRING, seq INT, tie INT, op STRING, a INT, b STRING"
@@ -152,6 +152,44 @@ def test_batches_replays_and_merges_change_nothing(spark, tmp_path, batches, ign
     assert "Exchange" not in plan
 
 
+def exchanges(df):
+    return re.findall(r"Exchange \w+\([^)]*\)", df._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.mark.parametrize("ignore_nulls", [True, False])
+def test_large_runs_are_merged_where_they_lie(spark, tmp_path, ignore_nulls):
+    rows = random_changes(300, 5, truncates=1)
+    df = spark.createDataFrame(rows, SCHEMA)
+    rules = ChangeRules.of(
+        df, ["k"], ["seq", "tie"], columns=["a", "b"], ignore_null_updates=ignore_nulls,
+        delete_when="op = 'del'", truncate_when="op = 'trunc'",
+    )
+    table = ChangeTable(spark, str(tmp_path / "t"), rules, bucket_bytes=256)
+    for i in range(4):
+        table.apply(spark.createDataFrame(rows[i::5], SCHEMA))
+    (bulk,) = table._manifest().runs
+    assert bulk.buckets >= 2
+    assert exchanges(table.state()) == []
+    table.apply(spark.createDataFrame(rows[4::5], SCHEMA))
+    state = table.state()
+    # Only the new run moves, to the buckets of the bulk.
+    assert len(exchanges(state)) == 1
+    assert as_dict(table.read()) == one_by_one(rows, ignore_nulls=ignore_nulls)
+    assert state.count() == state.select(*rules.state_keys).distinct().count()
+    table.compact()
+    assert as_dict(ChangeTable.open(spark, str(tmp_path / "t")).read()) == one_by_one(
+        rows, ignore_nulls=ignore_nulls
+    )
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("landfold")] == []
+
+
+def test_buckets_grow_with_the_run():
+    sizes = [1, 199, 200, 399, 400, 1600, 10**12]
+    table = object.__new__(ChangeTable)
+    table.bucket_bytes = 100
+    assert [table._buckets_for(s) for s in sizes] == [0, 0, 2, 2, 4, 16, 1 << 16]
+
+
 def test_a_batch_cut_short_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([("a", 1, 1, "up", 1, "x")], SCHEMA)
     rules = ChangeRules.of(df, ["k"], ["seq", "tie"], columns=["a", "b"])

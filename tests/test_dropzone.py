@@ -113,11 +113,11 @@ def test_arrivals_over_several_runs(spark, drop, tmp_path):
     assert sorted(r.source for r in zone.refresh_alerts()[0].collect()) == ["orders_csv", "other_csv"]
 
     # Describing the source is all it takes; nothing is read again for the others.
-    before = ChangeTable.open(spark, f"{drop.root}/silver/items").applied("landed")
+    before = ChangeTable.open(spark, f"{drop.root}/silver/items").applied()
     ddl = write_ddl(tmp_path, {"items": ITEMS, "orders": "struct<id:string,total:int>"})
     assert zone.run(ddl, {**keys, "orders": ["id"]}) == ["items", "orders"]
     assert [tuple(r) for r in zone.silver("orders").collect()] == [("o1", 5)]
-    assert ChangeTable.open(spark, f"{drop.root}/silver/items").applied("landed") == before
+    assert ChangeTable.open(spark, f"{drop.root}/silver/items").applied() == before
     assert zone.bronze().count() == 10
 
 
@@ -172,6 +172,19 @@ def test_a_crash_between_state_and_checkpoint(spark, drop, tmp_path, monkeypatch
     assert zone.quarantine("items").count() == 4
 
 
+def test_a_lost_checkpoint_applies_everything_again(spark, drop, tmp_path):
+    zone = small_zone(spark, drop, max_files=1)
+    ddl = write_ddl(tmp_path, {"items": ITEMS})
+    for i in range(3):
+        drop(f"d{i}/items.csv", ["h", f"a,{i},x,", f"b{i},1,y,"], at=1000 + i)
+    zone.run(ddl, {"items": ["id"]})
+    drop("d3/items.csv", ["h", "a,9,z,"], at=2000)
+    (Path(drop.root) / "checkpoints/silver").rename(tmp_path / "lost")
+    zone.run(ddl, {"items": ["id"]})
+    got = {r.id: r.n for r in zone.silver("items").collect()}
+    assert got == {"a": 9, "b0": 1, "b1": 1, "b2": 1}
+
+
 def test_feeds_side_by_side(spark, drop):
     feeds = [
         Feed("left", folder="l"),

@@ -189,6 +189,8 @@ def test_several_flows_feed_one_table(spark, drop):
         rows = to_bronze(read_lines(spark, f"{drop.landing}/{flow}"), flow)
         append(rows, table, f"{drop.root}/checkpoint/{flow}", flow=flow).awaitTermination()
     assert values(read_table(spark, table)) == ["a", "b"]
+    with pytest.raises(ValueError, match="another checkpoint"):
+        append(rows, table, f"{drop.root}/checkpoint/c", flow="a")
     seen = read_table(spark, table, streaming=True).writeStream.format("memory").queryName("both")
     seen.trigger(availableNow=True).start().awaitTermination()
     assert values(spark.table("both")) == ["a", "b"]
