@@ -7,6 +7,7 @@ folder, the way a sender would drop it.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -19,7 +20,7 @@ from landfold.operators.changes import ChangeRules, apply_changes
 from landfold.operators.expectations import expect, violations
 from landfold.operators.history import apply_changes_history
 from landfold.operators.registry import build_registry, load_keys, unknown_sources
-from landfold.operators.stage import CORRUPT, parse_lines, stage
+from landfold.operators.stage import parse_lines, stage
 from landfold.plans.dropzone import DropZone, Feed
 from landfold.sources.files import list_files, read_lines
 from landfold.sources.tables import read_table
@@ -284,6 +285,23 @@ def route_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "declared_table",
+    "SELECT event_type || '_csv' AS source, 'purchase events' AS comment, count(*) AS n FROM events GROUP BY 1",
+)
+def declared_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze by its name in the catalog, with its comment."""
+    name = f"events_{uuid.uuid4().hex[:12]}"
+    feed = Feed(name, rules=BY_TYPE, comment="purchase events", properties={"quality": "bronze"})
+    zone = _zone(spark, "declared-table", land_events(spark, sf), feed)
+    zone.ingest()
+    zone.declare_bronze()
+    comment = spark.catalog.getTable(name).description
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only, not the files
+    return rows.groupBy("source", F.lit(comment).alias("comment")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("split_source", "SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'")
 def split(spark: SparkSession, sf: str) -> DataFrame:
     """One source out of bronze, streamed on to a table of its own."""
@@ -399,11 +417,20 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
         ).write.text(path)
 
     landing = _landed(spark, sf, "events-cut", write)
-    zone = _zone(spark, "quarantine", landing, Feed("events", header=False))
+    zone = _zone(spark, "quarantine", landing, Feed("events", header=False, rules=AS_EVENTS))
     zone.ingest()
-    staged = stage(zone.bronze(), EVENTS_DDL)
-    status = F.when(F.col(CORRUPT).isNotNull(), "set aside").otherwise("kept")
-    return staged.select("event_id", status.alias("status"))
+    _load_events_registry(zone)
+    zone.refresh_silver(mode="permissive", **_PICK)
+    aside = zone.quarantine("events")
+    kept = stage(zone.bronze(), EVENTS_DDL, mode="drop").select("event_id", F.lit("kept").alias("status"))
+    if aside is None:
+        return kept
+    return kept.unionByName(
+        aside.select(
+            F.split_part("value", F.lit(","), F.lit(1)).cast("bigint").alias("event_id"),
+            F.lit("set aside").alias("status"),
+        )
+    )
 
 
 @query("flatten_struct", "SELECT o_orderkey, o_orderstatus, o_custkey, o_totalprice FROM orders")
@@ -470,6 +497,30 @@ def scd1_latest(spark: SparkSession, sf: str) -> DataFrame:
     return apply_changes(_changes(spark, sf), ["user_id"], _EVENT_ORDER, **_PICK)
 
 
+_DELETED = (
+    "SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type,"
+    " arg_max(value, (ts, event_id)) AS value FROM (SELECT *, max(ts) FILTER (WHERE event_type = 'error')"
+    " OVER (PARTITION BY user_id) AS gone FROM events) WHERE gone IS NULL OR ts > gone GROUP BY user_id"
+)
+
+
+def _silver(spark: SparkSession, sf: str, name: str, **options: object) -> DataFrame:
+    """Files applied two at a time; each holds one event type, so none comes in order."""
+    feed = Feed("events", max_files=2, rules=AS_EVENTS)
+    zone = _zone(spark, name, land_events(spark, sf), feed)
+    zone.ingest()
+    _load_events_registry(zone)
+    zone.refresh_silver(**options)
+    return zone.silver("events")
+
+
+@query("silver_deletes", _DELETED)
+def silver_deletes(spark: SparkSession, sf: str) -> DataFrame:
+    return _silver(
+        spark, sf, "silver-deletes", sequence_by=_EVENT_ORDER, delete_when="event_type = 'error'", **_PICK
+    )
+
+
 @query("scd1_out_of_order", _LATEST)
 def scd1_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
     """Three drops, the newest first, each run to its end before the next lands."""
@@ -556,25 +607,31 @@ def scd1_columns(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "scd1_deletes",
-    "SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type,"
-    " arg_max(value, (ts, event_id)) AS value FROM (SELECT *, max(ts) FILTER (WHERE event_type = 'error')"
-    " OVER (PARTITION BY user_id) AS gone FROM events) WHERE gone IS NULL OR ts > gone GROUP BY user_id",
-)
+@query("scd1_deletes", _DELETED)
 def scd1_deletes(spark: SparkSession, sf: str) -> DataFrame:
     return apply_changes(
         _changes(spark, sf), ["user_id"], _EVENT_ORDER, delete_when="event_type = 'error'", **_PICK
     )
 
 
-@query(
-    "scd1_truncate",
+_TRUNCATED = (
     "WITH cut AS (SELECT max(event_id) AS cleared FROM events WHERE event_type = 'error' AND value > 200)"
     " SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type,"
     " arg_max(value, (ts, event_id)) AS value FROM events"
-    " WHERE event_id > coalesce((SELECT cleared FROM cut), -1) GROUP BY user_id",
+    " WHERE event_id > coalesce((SELECT cleared FROM cut), -1) GROUP BY user_id"
 )
+
+
+@query("silver_truncate", _TRUNCATED)
+def silver_truncate(spark: SparkSession, sf: str) -> DataFrame:
+    """The clearing error may come in an earlier batch than what it clears."""
+    return _silver(
+        spark, sf, "silver-truncate", sequence_by="event_id",
+        truncate_when="event_type = 'error' AND value > 200", **_PICK,
+    )
+
+
+@query("scd1_truncate", _TRUNCATED)
 def scd1_truncate(spark: SparkSession, sf: str) -> DataFrame:
     """A great error clears the whole target."""
     return apply_changes(
@@ -583,12 +640,22 @@ def scd1_truncate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "scd2_history",
+_HISTORY = (
     'SELECT user_id, event_type, ts AS "__START_AT", lead(ts) OVER (PARTITION BY user_id ORDER BY ts)'
     ' AS "__END_AT" FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS before'
-    " FROM events) WHERE before IS DISTINCT FROM event_type",
+    " FROM events) WHERE before IS DISTINCT FROM event_type"
 )
+
+
+@query("silver_history", _HISTORY)
+def silver_history(spark: SparkSession, sf: str) -> DataFrame:
+    return _silver(
+        spark, sf, "silver-history", scd_type=2, sequence_by=["ts", "event_id"],
+        ignore_null_updates=False, columns=["event_type"],
+    )
+
+
+@query("scd2_history", _HISTORY)
 def scd2_history(spark: SparkSession, sf: str) -> DataFrame:
     return apply_changes_history(
         _changes(spark, sf), ["user_id"], "ts", tie_breakers=["event_id"], columns=["event_type"]
