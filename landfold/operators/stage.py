@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,14 @@ def declared_schema(ddl: str | T.StructType) -> T.StructType:
     return T.StructType.fromDDL(ddl.strip())
 
 
+def _parsed(value: str, ddl: str | T.StructType, options: Mapping[str, str] | None) -> Column:
+    schema = T.StructType(
+        [*declared_schema(ddl).fields, T.StructField(CORRUPT, T.StringType(), True)]
+    )
+    parse = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **(options or {})}
+    return F.from_csv(F.col(value), schema.simpleString(), parse)
+
+
 def parse_lines(
     lines: DataFrame,
     ddl: str | T.StructType,
@@ -42,11 +50,7 @@ def parse_lines(
     A malformed or short line gives the fields that could be read, nulls for the
     others, and the whole line in the struct's corrupt-record field.
     """
-    schema = T.StructType(
-        [*declared_schema(ddl).fields, T.StructField(CORRUPT, T.StringType(), True)]
-    )
-    parse = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **(options or {})}
-    return lines.withColumn(into, F.from_csv(F.col(value), schema.simpleString(), parse))
+    return lines.withColumn(into, _parsed(value, ddl, options))
 
 
 def stage(
@@ -73,12 +77,19 @@ def stage(
     taken = {c.lower() for c in declared.fieldNames()} & {c.lower() for c in STAGE_COLUMNS}
     if taken:
         raise ValueError(f"declared columns have reserved names: {sorted(taken)}")
-    parsed = parse_lines(bronze, declared, into="_data", options=options).select(
-        *[F.col(f"_data.`{c}`").alias(c) for c in declared.fieldNames()],
+    # What is taken from the envelope is taken along with the parsing, so that
+    # unused parts of the metadata are not even read.
+    parsed = bronze.select(
+        _parsed("value", declared, options).alias("_data"),
         F.col("fileMetadata.file_modification_time").alias(SEQUENCE),
         F.xxhash64("fullFilePath", "value").alias(LINE_ID),
-        F.col(f"_data.{CORRUPT}").alias(CORRUPT),
         F.struct(*[F.col(c) for c in ENVELOPE if c != "value"]).alias(ORIGIN),
+    ).select(
+        *[F.col(f"_data.`{c}`").alias(c) for c in declared.fieldNames()],
+        SEQUENCE,
+        LINE_ID,
+        F.col(f"_data.{CORRUPT}").alias(CORRUPT),
+        ORIGIN,
     )
     if mode == "drop":
         return parsed.where(F.col(CORRUPT).isNull())

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from landfold.functions.names import SourceRule
+from landfold.functions.sizes import parse_size
 from landfold.operators.bronze import ENVELOPE, landed_sources, split_source, to_bronze, with_source
 from landfold.operators.changes import ChangeRules
 from landfold.operators.history import HistoryRules
@@ -141,7 +142,6 @@ class DropZone:
             f"{self.root}/checkpoints/bronze/{feed.table}",
             partition_by=["source"],
             every=every,
-            name=f"{feed.table}_ingest",
         )
 
     def ingest(self, *tables: str) -> None:
@@ -204,12 +204,19 @@ class DropZone:
 
     # --- silver -------------------------------------------------------------
 
-    def stage(self, name: str, table: str | None = None, *, mode: str = "permissive") -> DataFrame:
+    def stage(
+        self,
+        name: str,
+        table: str | None = None,
+        *,
+        mode: str = "permissive",
+        parse_options: Mapping[str, str] | None = None,
+    ) -> DataFrame:
         """Typed change rows of a registered table."""
         row = self.registry().where(F.col("table_name") == name).first()
         if row is None or row.ddl is None:
             raise KeyError(f"no schema for {name!r}")
-        return stage(self.split(name + self.suffix, table), row.ddl, mode=mode)
+        return stage(self.split(name + self.suffix, table), row.ddl, mode=mode, options=parse_options)
 
     def start_silver(
         self,
@@ -220,6 +227,7 @@ class DropZone:
         *,
         sequence_by: str | Sequence[str] = SEQUENCE,
         mode: str = "permissive",
+        parse_options: Mapping[str, str] | None = None,
         scd_type: int = 1,
         ignore_null_updates: bool = True,
         delete_when: str | None = None,
@@ -228,20 +236,27 @@ class DropZone:
         except_columns: Sequence[str] = (),
         track: Sequence[str] | None = None,
         track_except: Sequence[str] = (),
+        sources: int = 1,
         every: str | None = None,
     ) -> StreamingQuery:
         """Start applying a source's new lines to its keyed table.
 
         Changes are ordered by when their file was modified, or by columns of
-        their own; a history by one of them.
+        their own; a history by one of them. Bronze files of all sources count
+        towards a batch's limit, though only one source's are read, so the
+        limit is raised by the number of ``sources``.
         """
         feed = self._feed(table)
         sequence = [sequence_by] if isinstance(sequence_by, str) else list(sequence_by)
         declared = declared_schema(ddl).fieldNames()
         routed = self._routed(
-            feed, streaming=True, max_files=feed.max_files, max_bytes=feed.max_bytes
+            feed,
+            streaming=True,
+            max_files=feed.max_files and feed.max_files * sources,
+            max_bytes=feed.max_bytes and parse_size(feed.max_bytes) * sources,
         )
-        changes = stage(split_source(routed, name + self.suffix), ddl, mode=mode).select(
+        lines = split_source(routed, name + self.suffix)
+        changes = stage(lines, ddl, mode=mode, options=parse_options).select(
             *[F.col(f"`{c}`") for c in declared], SEQUENCE, LINE_ID, CORRUPT,
             F.when(F.col(CORRUPT).isNotNull(), F.col(f"{ORIGIN}.fullFilePath")).alias("fullFilePath"),
         )
@@ -271,7 +286,6 @@ class DropZone:
             set_aside=F.col(CORRUPT).isNotNull(),
             set_aside_path=f"{self.root}/quarantine/{name}/feed={feed.table}",
             every=every,
-            name=f"{feed.table}_{name}_silver",
         )
 
     def refresh_silver(
@@ -288,6 +302,7 @@ class DropZone:
         ``at_once`` bounds the streams that run side by side.
         """
         _, problems = self.refresh_alerts(table)
+        sources = self.sources(table).select("source").distinct().count()
         unsound = {r.table_name for r in problems.select("table_name").collect()}
         ready = [
             r
@@ -297,7 +312,9 @@ class DropZone:
         for i in range(0, len(ready), at_once):
             await_all(
                 [
-                    self.start_silver(r.table_name, r.ddl, r["keys"], table, **options)
+                    self.start_silver(
+                        r.table_name, r.ddl, r["keys"], table, **{"sources": sources, **options}
+                    )
                     for r in ready[i : i + at_once]
                 ]
             )

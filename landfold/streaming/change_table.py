@@ -22,7 +22,7 @@ from collections import defaultdict
 from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,9 +171,6 @@ class ChangeTable:
         self._folder.publish(f"manifests/{new.version:012d}.json", new.to_json())
         return new
 
-    def is_empty(self) -> bool:
-        return not self._manifest().runs
-
     def applied(self) -> dict[str, int]:
         """Number of the last batch applied, by flow."""
         return self._manifest().applied
@@ -191,11 +188,15 @@ class ChangeTable:
             if isinstance(rules, HistoryRules):
                 changes = rules.prepare(changes)
             state = fold(changes, self._state_rules)
-            run = self._write_run(state)
+            written = Observation()
+            run = self._write_run(state.observe(written, F.count(F.lit(1)).alias("rows")))
+            # A batch may hold nothing for this table, as when a shared bronze
+            # table moved on; then only its number is noted.
+            new = (run,) if written.get["rows"] else ()
             held = self._publish(
                 held,
                 schema=held.schema or pack(state, self._state_rules).schema.json(),
-                runs=(*held.runs, run),
+                runs=(*held.runs, *new),
                 applied={**held.applied, flow: batch_id},
                 rules=asdict(rules),
                 kind="history" if isinstance(rules, HistoryRules) else "current",
@@ -242,8 +243,11 @@ class ChangeTable:
     def state(self) -> DataFrame:
         """Merged state, one row per state key."""
         held = self._manifest()
-        if not held.runs:
+        if held.schema is None:
             raise FileNotFoundError(f"nothing has been applied to {self.path}")
+        if not held.runs:
+            schema = T.StructType.fromJson(json.loads(held.schema))
+            return unpack(self.spark.createDataFrame([], schema), self._state_rules)
         return self._merged(held, held.runs)
 
     def read(self) -> DataFrame:

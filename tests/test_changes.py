@@ -209,6 +209,21 @@ def test_a_batch_cut_short_leaves_the_table_as_it_was(spark, tmp_path, monkeypat
     assert as_dict(table.read()) == {"a": (5, "x"), "b": (7, "y")}
 
 
+@pytest.mark.parametrize("kind", [ChangeRules, HistoryRules])
+def test_a_batch_with_nothing_adds_no_run(spark, tmp_path, kind):
+    df = spark.createDataFrame([("a", 1, 1, "up", 1, "x")], SCHEMA)
+    rules = kind.of(df, ["k"], "seq", columns=["a", "b"])
+    table = ChangeTable(spark, str(tmp_path / "t"), rules)
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    assert table.apply(df.where("false"), batch_id=0)
+    assert table.read().collect() == []
+    assert not table.apply(df, batch_id=0)
+    assert table.apply(df, batch_id=1)
+    assert as_dict(table.read()) == {"a": (1, "x")}
+    assert len(table._manifest().runs) == 1
+
+
 def test_other_rules_need_another_table(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, 1, "up", 1, "x")], SCHEMA)
     rules = ChangeRules.of(df, ["k"], ["seq", "tie"], columns=["a", "b"])
