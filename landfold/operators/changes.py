@@ -19,7 +19,7 @@ one per column   (order, value) of the last value that counts, when null updates
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,6 +83,10 @@ class ChangeRules:
             ignore_null_updates, delete_when, truncate_when,
         )
 
+    def extends(self, older: ChangeRules) -> bool:
+        """Whether these are the older rules, perhaps with columns added."""
+        return set(older.columns) <= set(self.columns) and replace(self, columns=older.columns) == older
+
     @property
     def has_deletes(self) -> bool:
         return self.delete_when is not None or self.truncate_when is not None
@@ -138,7 +142,7 @@ def _lifted(rules: ChangeRules) -> tuple[list[Column], list[Column]]:
             counts = _col(c).isNotNull() if always else upserts & _col(c).isNotNull()
             parts.append(F.when(counts, F.struct(order.alias(_ORDER), _col(c).alias(_VALUE))))
     else:
-        row = F.struct(order.alias(_ORDER), *[_col(c).alias(f"c{i}") for i, c in enumerate(rules.columns)])
+        row = F.struct(order.alias(_ORDER), *[_col(c).alias(c) for c in rules.columns])
         parts.append(row if always else F.when(upserts, row))
     return keys, parts
 
@@ -219,16 +223,16 @@ def resolve(state: DataFrame, rules: ChangeRules) -> DataFrame:
             upsert.isNotNull() & (_col(_DELETE).isNull() | (upsert > _col(_DELETE)))
         )
 
-    def value(i: int, c: str) -> Column:
+    def value(c: str) -> Column:
         if not rules.ignore_null_updates:
-            return _col(_ROW)[f"c{i}"].alias(c)
+            return _col(_ROW)[c].alias(c)
         held = _col(c)[_VALUE]
         if tomb is None:
             return held.alias(c)
         # A value from before the last delete is gone, even if nothing replaced it.
         return F.when(_col(_DELETE).isNull() | (_col(c)[_ORDER] > _col(_DELETE)), held).alias(c)
 
-    return rows.select(*[_col(k) for k in rules.keys], *[value(i, c) for i, c in enumerate(rules.columns)])
+    return rows.select(*[_col(k) for k in rules.keys], *[value(c) for c in rules.columns])
 
 
 def apply_changes(

@@ -9,7 +9,7 @@ seed row that brings what the key's earlier slices end with.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,6 +74,14 @@ class HistoryRules:
             ignore_null_updates, delete_when,
         )
 
+    def extends(self, older: HistoryRules) -> bool:
+        """Whether these are the older rules, perhaps with columns added."""
+        return (
+            set(older.columns) <= set(self.columns)
+            and set(older.tracked) == set(self.tracked) & set(older.columns)
+            and replace(self, columns=older.columns, tracked=older.tracked) == older
+        )
+
     @property
     def state_rules(self) -> ChangeRules:
         return ChangeRules(

@@ -6,7 +6,7 @@ Below ``root``::
     registry/                        known tables: schema and keys
     silver/<table>/                  keyed targets
     quarantine/<table>/feed=<feed>/  lines that did not fit their schema
-    alerts/<feed>/                   sources without a schema, registry findings
+    alerts/<feed>/                   landed sources, those without a schema, registry findings
     checkpoints/                     one per stream
 """
 
@@ -189,18 +189,19 @@ class DropZone:
     def refresh_alerts(self, table: str | None = None) -> tuple[DataFrame, DataFrame]:
         """Write and return the sources without a schema, and what is wrong in the registry."""
         feed = self._feed(table)
-        landed = self.sources(feed.table).select("source").distinct()
+
+        def publish(name: str, rows: DataFrame) -> DataFrame:
+            path = f"{self.root}/alerts/{feed.table}/{name}"
+            rows.write.mode("overwrite").parquet(path)
+            return self.spark.read.schema(rows.schema).parquet(path)
+
+        # Bronze is read once, for the list of sources.
+        landed = publish("landed_sources", self.sources(feed.table).select("source").distinct())
         registry = self.registry()
-        found = {
-            "unknown_sources": unknown_sources(landed, registry, suffix=self.suffix),
-            "registry_problems": registry_problems(registry, landed, suffix=self.suffix),
-        }
-        for name, rows in found.items():
-            rows.write.mode("overwrite").parquet(f"{self.root}/alerts/{feed.table}/{name}")
-        unknown, problems = (
-            self.spark.read.parquet(f"{self.root}/alerts/{feed.table}/{n}") for n in found
+        return (
+            publish("unknown_sources", unknown_sources(landed, registry, suffix=self.suffix)),
+            publish("registry_problems", registry_problems(registry, landed, suffix=self.suffix)),
         )
-        return unknown, problems
 
     # --- silver -------------------------------------------------------------
 
@@ -302,7 +303,8 @@ class DropZone:
         ``at_once`` bounds the streams that run side by side.
         """
         _, problems = self.refresh_alerts(table)
-        sources = self.sources(table).select("source").distinct().count()
+        landed = f"{self.root}/alerts/{self._feed(table).table}/landed_sources"
+        sources = self.spark.read.parquet(landed).count()
         unsound = {r.table_name for r in problems.select("table_name").collect()}
         ready = [
             r

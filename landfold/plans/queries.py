@@ -107,6 +107,12 @@ def land_orders(spark: SparkSession, sf: str) -> str:
     return _landed(spark, sf, "orders", write)
 
 
+def _quarter_of_files(spark: SparkSession, landing: str) -> int:
+    """A file limit that makes about four batches, however many files there are."""
+    files = list_files(spark, landing).where(F.endswith("inputFileName", F.lit(".csv"))).count()
+    return max(1, math.ceil(files / 4))
+
+
 def _zone(spark: SparkSession, name: str, landing: str, *feeds: Feed) -> DropZone:
     return DropZone(spark, landing, work_folder(spark, name), feeds)
 
@@ -129,8 +135,7 @@ def ingest_lines(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_rate_limited(spark: SparkSession, sf: str) -> DataFrame:
     """In four batches, however many files there are."""
     landing = land_orders(spark, sf)
-    files = list_files(spark, landing).where(F.endswith("inputFileName", F.lit(".csv"))).count()
-    feed = Feed("orders", max_files=math.ceil(files / 4))
+    feed = Feed("orders", max_files=_quarter_of_files(spark, landing))
     zone = _zone(spark, "ingest-rate-limited", landing, feed)
     zone.ingest()
     return zone.bronze().select("value")
@@ -505,9 +510,10 @@ _DELETED = (
 
 
 def _silver(spark: SparkSession, sf: str, name: str, **options: object) -> DataFrame:
-    """Files applied two at a time; each holds one event type, so none comes in order."""
-    feed = Feed("events", max_files=2, rules=AS_EVENTS)
-    zone = _zone(spark, name, land_events(spark, sf), feed)
+    """Applied in several batches; a file holds one event type, so none comes in order."""
+    landing = land_events(spark, sf)
+    feed = Feed("events", max_files=_quarter_of_files(spark, landing), rules=AS_EVENTS)
+    zone = _zone(spark, name, landing, feed)
     zone.ingest()
     _load_events_registry(zone)
     zone.refresh_silver(**options)
@@ -542,10 +548,11 @@ def scd1_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("scd1_replayed", _LATEST)
 def scd1_replayed(spark: SparkSession, sf: str) -> DataFrame:
-    """A stream of small batches, and then all of it once more under another name."""
+    """A stream of several batches, and then all of it once more under another name."""
     landing = land_events(spark, sf)
     root = work_folder(spark, "replayed")
-    changes = stage(to_bronze(read_lines(spark, landing, max_files=2), landing), EVENTS_DDL).select(
+    lines = read_lines(spark, landing, max_files=_quarter_of_files(spark, landing))
+    changes = stage(to_bronze(lines, landing), EVENTS_DDL).select(
         "user_id", "ts", "event_id", "event_type", "value"
     )
     target = ChangeTable(

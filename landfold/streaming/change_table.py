@@ -77,7 +77,8 @@ class ChangeTable:
     """Target of :class:`ChangeRules` (current rows) or :class:`HistoryRules` (history).
 
     One writer at a time per table. Several flows may feed it in turn, each
-    under a name and with batch numbers of its own.
+    under a name and with batch numbers of its own. Columns may be added later;
+    rows from before have nulls there.
     """
 
     def __init__(
@@ -101,8 +102,10 @@ class ChangeTable:
         self._folder = Folder(spark, path)
         self._state_rules = rules.state_rules if isinstance(rules, HistoryRules) else rules
         held = self._manifest()
-        if held.version >= 0 and _rules_from(held) != rules:
-            raise ValueError(f"the table at {path} was built with other rules; use a new path")
+        if held.version >= 0:
+            older = _rules_from(held)
+            if type(rules) is not type(older) or not rules.extends(older):
+                raise ValueError(f"the table at {path} was built with other rules; use a new path")
 
     @staticmethod
     def open(spark: SparkSession, path: str) -> ChangeTable:
@@ -188,6 +191,7 @@ class ChangeTable:
             if isinstance(rules, HistoryRules):
                 changes = rules.prepare(changes)
             state = fold(changes, self._state_rules)
+            schema = self._schema(held, state)
             written = Observation()
             run = self._write_run(state.observe(written, F.count(F.lit(1)).alias("rows")))
             # A batch may hold nothing for this table, as when a shared bronze
@@ -195,7 +199,7 @@ class ChangeTable:
             new = (run,) if written.get["rows"] else ()
             held = self._publish(
                 held,
-                schema=held.schema or pack(state, self._state_rules).schema.json(),
+                schema=schema,
                 runs=(*held.runs, *new),
                 applied={**held.applied, flow: batch_id},
                 rules=asdict(rules),
@@ -207,6 +211,16 @@ class ChangeTable:
             self._tidy()
             return True
 
+    def _schema(self, held: _Manifest, state: DataFrame) -> str:
+        """Schema of the stored state, which may gain columns but keeps their types."""
+        schema = pack(state, self._state_rules).schema
+        if held.schema is not None:
+            older, newer = _types(T.StructType.fromJson(json.loads(held.schema))), _types(schema)
+            changed = sorted(name for name in older if newer.get(name) != older[name])
+            if changed:
+                raise ValueError(f"columns of {self.path} changed their type: {changed}")
+        return schema.json()
+
     def _merge_from(self, held: _Manifest, start: int) -> None:
         runs = held.runs[start:]
         buckets = self._buckets_for(sum(run.size for run in runs))
@@ -256,6 +270,17 @@ class ChangeTable:
         return history(rows, self.rules) if isinstance(self.rules, HistoryRules) else rows
 
 
+def _types(schema: T.StructType, prefix: str = "") -> dict[str, str]:
+    """Type of every leaf column, by its path."""
+    found: dict[str, str] = {}
+    for f in schema.fields:
+        if isinstance(f.dataType, T.StructType):
+            found |= _types(f.dataType, f"{prefix}{f.name}.")
+        else:
+            found[prefix + f.name] = f.dataType.simpleString()
+    return found
+
+
 def _latest(folder: Folder) -> _Manifest:
     names = [n for n in folder.names("manifests") if n.endswith(".json")]
     return _Manifest.from_json(folder.read(f"manifests/{names[-1]}")) if names else _Manifest()

@@ -209,6 +209,38 @@ def test_a_batch_cut_short_leaves_the_table_as_it_was(spark, tmp_path, monkeypat
     assert as_dict(table.read()) == {"a": (5, "x"), "b": (7, "y")}
 
 
+@pytest.mark.parametrize("ignore_nulls", [True, False])
+def test_columns_may_be_added(spark, tmp_path, ignore_nulls):
+    first = spark.createDataFrame([("x", 1, 1), ("y", 1, 2)], "k STRING, seq INT, b INT")
+    second = spark.createDataFrame([("x", 2, 5, 6), ("z", 2, 7, 8)], "k STRING, seq INT, a INT, b INT")
+
+    def table(df, columns):
+        rules = ChangeRules.of(df, ["k"], "seq", columns=columns, ignore_null_updates=ignore_nulls)
+        return ChangeTable(spark, str(tmp_path / "t"), rules, fan_in=2, bucket_bytes=100)
+
+    for _ in range(3):
+        table(first, ["b"]).apply(first)
+    table(second, ["a", "b"]).apply(second)
+    expected = {"x": (5, 6), "y": (None, 2), "z": (7, 8)}
+    assert as_dict(ChangeTable.open(spark, str(tmp_path / "t")).read()) == expected
+    table(second, ["a", "b"]).compact()
+    assert as_dict(table(second, ["a", "b"]).read()) == expected
+    with pytest.raises(ValueError, match="other rules"):
+        table(first, ["b"])
+    with pytest.raises(ValueError, match="changed their type"):
+        table(second, ["a", "b"]).apply(second.withColumn("a", second.a.cast("string")))
+
+
+def test_history_columns_may_be_added(spark, tmp_path):
+    first = spark.createDataFrame([("x", 1, 1)], "k STRING, seq INT, a INT")
+    second = spark.createDataFrame([("x", 2, 1, None), ("x", 3, 1, "n")], "k STRING, seq INT, a INT, b STRING")
+    for df in (first, second):
+        rules = HistoryRules.of(df, ["k"], "seq")
+        ChangeTable(spark, str(tmp_path / "t"), rules).apply(df)
+    got = ChangeTable.open(spark, str(tmp_path / "t")).read()
+    assert as_spans(got) == {("x", 1, None, 1, 3), ("x", 1, "n", 3, None)}
+
+
 @pytest.mark.parametrize("kind", [ChangeRules, HistoryRules])
 def test_a_batch_with_nothing_adds_no_run(spark, tmp_path, kind):
     df = spark.createDataFrame([("a", 1, 1, "up", 1, "x")], SCHEMA)

@@ -136,6 +136,17 @@ def test_deletes_and_dropped_lines(spark, drop, tmp_path):
     assert [tuple(r) for r in got.collect()] == [("b", 1, "x")]
 
 
+def test_a_column_added_to_the_schema(spark, drop, tmp_path):
+    zone = small_zone(spark, drop)
+    drop("d1/items.csv", ["h", "a,1,x,", "b,2,y,"], at=1000)
+    zone.run(write_ddl(tmp_path, {"items": ITEMS}), {"items": ["id"]})
+    drop("d2/items.csv", ["h", "a,3,z,,extra"], at=2000)
+    zone.run(write_ddl(tmp_path, {"items": ITEMS[:-1] + ",more:string>"}), {"items": ["id"]})
+    got = {r.id: (r.n, r.value, r.more) for r in zone.silver("items").collect()}
+    assert got == {"a": (3, "z", "extra"), "b": (2, "y", None)}
+    assert zone.quarantine("items") is None
+
+
 def test_lines_with_another_separator(spark, drop, tmp_path):
     zone = small_zone(spark, drop)
     ddl = write_ddl(tmp_path, {"items": ITEMS})
