@@ -66,7 +66,7 @@ def stage(
     such as ``value`` never meets the envelope's column of that name. After them:
     ``sequence_by`` (the file's modification time), ``_line_id`` (a digest of path
     and line that orders rows of one file), the corrupt-record column, and the
-    bronze row's other columns in the struct ``_bronze``.
+    bronze row in the struct ``_bronze``.
 
     ``mode``: ``permissive`` keeps lines that do not fit, with nulls for what could
     not be read; ``drop`` leaves them out; ``failfast`` stops at the first one.
@@ -83,7 +83,7 @@ def stage(
         _parsed("value", declared, options).alias("_data"),
         F.col("fileMetadata.file_modification_time").alias(SEQUENCE),
         F.xxhash64("fullFilePath", "value").alias(LINE_ID),
-        F.struct(*[F.col(c) for c in ENVELOPE if c != "value"]).alias(ORIGIN),
+        F.struct(*ENVELOPE).alias(ORIGIN),
     ).select(
         *[F.col(f"_data.`{c}`").alias(c) for c in declared.fieldNames()],
         SEQUENCE,

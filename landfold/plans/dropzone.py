@@ -5,7 +5,7 @@ Below ``root``::
     bronze/<feed>/source=<source>/   every landed line, in one copy, split by source
     registry/                        known tables: schema and keys
     silver/<table>/                  keyed targets
-    quarantine/<table>/feed=<feed>/  lines that did not fit their schema
+    quarantine/<table>/feed=<feed>/  lines that did not fit their schema or have no sequence
     alerts/<feed>/                   landed sources, those without a schema, registry findings
     checkpoints/                     one per stream
 """
@@ -14,8 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -32,7 +33,15 @@ from landfold.operators.registry import (
     registry_problems,
     unknown_sources,
 )
-from landfold.operators.stage import CORRUPT, LINE_ID, ORIGIN, SEQUENCE, declared_schema, stage
+from landfold.operators.stage import (
+    CORRUPT,
+    LINE_ID,
+    MODES,
+    ORIGIN,
+    SEQUENCE,
+    declared_schema,
+    stage,
+)
 from landfold.sources.files import read_csv, read_lines, read_text
 from landfold.sources.tables import read_table
 from landfold.streaming.catalog import declare_table
@@ -46,6 +55,9 @@ _METADATA = (
 )
 
 
+_ASIDE = "_set_aside"
+
+
 @dataclass(frozen=True)
 class Feed:
     """What to ingest: a folder below the landing folder, and how to read its files."""
@@ -248,6 +260,8 @@ class DropZone:
         limit is raised by the number of ``sources``.
         """
         feed = self._feed(table)
+        if mode not in MODES:
+            raise ValueError(f"mode must be one of {MODES}")
         sequence = [sequence_by] if isinstance(sequence_by, str) else list(sequence_by)
         declared = declared_schema(ddl).fieldNames()
         routed = self._routed(
@@ -257,9 +271,16 @@ class DropZone:
             max_bytes=feed.max_bytes and parse_size(feed.max_bytes) * sources,
         )
         lines = split_source(routed, name + self.suffix)
-        changes = stage(lines, ddl, mode=mode, options=parse_options).select(
-            *[F.col(f"`{c}`") for c in declared], SEQUENCE, LINE_ID, CORRUPT,
-            F.when(F.col(CORRUPT).isNotNull(), F.col(f"{ORIGIN}.fullFilePath")).alias("fullFilePath"),
+        # Dropping is left to the flow, which sets the dropped lines aside.
+        staged = stage(lines, ddl, mode="failfast" if mode == "failfast" else "permissive", options=parse_options)
+        unplaced = reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in sequence])
+        reason = F.when(F.col(CORRUPT).isNotNull(), "does not fit the schema").when(
+            unplaced, "has no sequence"
+        )
+        origin = F.struct(f"{ORIGIN}.fullFilePath", f"{ORIGIN}.value", reason.alias("reason"))
+        changes = staged.select(
+            *[F.col(f"`{c}`") for c in declared], SEQUENCE, LINE_ID,
+            F.when(reason.isNotNull(), origin).alias(_ASIDE),
         )
         picked = {
             "ignore_null_updates": ignore_null_updates,
@@ -284,7 +305,8 @@ class DropZone:
             ChangeTable(self.spark, f"{self.root}/silver/{name}", rules),
             f"{self.root}/checkpoints/silver/{name}/{feed.table}",
             flow=feed.table,
-            set_aside=F.col(CORRUPT).isNotNull(),
+            set_aside=F.col(_ASIDE).isNotNull(),
+            apply_set_aside=mode != "drop",
             set_aside_path=f"{self.root}/quarantine/{name}/feed={feed.table}",
             every=every,
         )
@@ -327,11 +349,14 @@ class DropZone:
         return ChangeTable.open(self.spark, f"{self.root}/silver/{name}").read()
 
     def quarantine(self, name: str) -> DataFrame | None:
-        """Lines that did not fit the table's schema, with their files; None if all did."""
+        """Lines that did not fit the table's schema or have no sequence, with their files.
+
+        None if there have been none.
+        """
         path = f"{self.root}/quarantine/{name}"
         if not Folder(self.spark, path).exists():
             return None
-        return self.spark.read.parquet(path).select("fullFilePath", F.col(CORRUPT).alias("value"))
+        return self.spark.read.parquet(path).select(f"{_ASIDE}.*")
 
     def run(
         self, ddl_folder: str, keys: str | Mapping[str, Sequence[str]], **options: object

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -55,6 +56,14 @@ def _identity(table: ChangeTable, checkpoint: str) -> str:
     return folder.read("flow")
 
 
+def _count(seen: Observation) -> int | None:
+    """The observed count; None if adaptive execution dropped the counting step with an empty rest."""
+    try:
+        return seen.get["n"]
+    except (KeyError, Py4JJavaError):
+        return None
+
+
 def apply_stream(
     changes: DataFrame,
     table: ChangeTable,
@@ -63,6 +72,7 @@ def apply_stream(
     flow: str = "",
     set_aside: Column | None = None,
     set_aside_path: str | None = None,
+    apply_set_aside: bool = True,
     every: str | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
@@ -71,9 +81,10 @@ def apply_stream(
     Batches are counted per checkpoint: with a new checkpoint everything is
     applied again, which changes nothing that was applied before.
 
-    Rows that meet ``set_aside`` are also written to ``set_aside_path``, one
-    folder per batch. They are counted while the batch is folded, so a batch
-    without any costs no second pass.
+    Rows that meet ``set_aside`` are written to ``set_aside_path``, one folder
+    per batch, and are applied as well unless ``apply_set_aside`` is false. They
+    are counted while the batch is folded, so a batch without any costs no
+    second pass.
     """
 
     counted = f"{flow}#{_identity(table, checkpoint)}"
@@ -84,8 +95,10 @@ def apply_stream(
             return
         seen = Observation()
         rows = batch.observe(seen, F.count_if(set_aside).alias("n"))
+        if not apply_set_aside:
+            rows = rows.where(~set_aside)
         # A batch that comes again is not folded, so not counted either.
-        if not table.apply(rows, flow=counted, batch_id=batch_id) or seen.get["n"]:
+        if not table.apply(rows, flow=counted, batch_id=batch_id) or _count(seen) != 0:
             batch.where(set_aside).write.mode("overwrite").parquet(
                 f"{set_aside_path}/batch_id={batch_id}"
             )

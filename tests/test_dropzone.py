@@ -134,6 +134,31 @@ def test_deletes_and_dropped_lines(spark, drop, tmp_path):
     got = zone.silver("items")
     assert got.columns == ["id", "n", "value"]
     assert [tuple(r) for r in got.collect()] == [("b", 1, "x")]
+    assert [r.value for r in zone.quarantine("items").collect()] == ["bad"]
+    with pytest.raises(ValueError, match="mode"):
+        zone.run(ddl, {"items": ["id"]}, mode="shrug")
+
+
+def test_failfast(spark, drop, tmp_path):
+    zone = small_zone(spark, drop)
+    drop("d1/items.csv", ["h", "a,1,x,", "bad"])
+    with pytest.raises(Exception, match="does not fit its schema"):
+        zone.run(write_ddl(tmp_path, {"items": ITEMS}), {"items": ["id"]}, mode="failfast")
+
+
+@pytest.mark.parametrize("mode", ["permissive", "drop"])
+def test_batches_of_which_nothing_is_left(spark, drop, tmp_path, mode):
+    zone = small_zone(spark, drop, max_files=1)
+    ddl = write_ddl(tmp_path, {"items": "struct<id:string,n:int,at:timestamp>"})
+    drop("d1/items.csv", ["h", "short", "shorter"])
+    drop("d2/items.csv", ["h", "b,1,", "c,2,"])
+    drop("d3/items.csv", ["h", "d,2,2020-01-01T00:00:00Z"])
+    zone.run(ddl, {"items": ["id"]}, mode=mode, sequence_by="at")
+    assert [r.id for r in zone.silver("items").collect()] == ["d"]
+    assert sorted((r.value, r.reason) for r in zone.quarantine("items").collect()) == [
+        ("b,1,", "has no sequence"), ("c,2,", "has no sequence"),
+        ("short", "does not fit the schema"), ("shorter", "does not fit the schema"),
+    ]
 
 
 def test_a_column_added_to_the_schema(spark, drop, tmp_path):
