@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from landfold.functions.names import SourceRule
 from landfold.functions.sizes import parse_size
-from landfold.operators.bronze import ENVELOPE, landed_sources, split_source, to_bronze, with_source
+from landfold.operators.bronze import landed_sources, split_source, to_bronze, with_source
 from landfold.operators.changes import ChangeRules
 from landfold.operators.history import HistoryRules
 from landfold.operators.registry import (
@@ -119,7 +119,9 @@ class DropZone:
         feeds: Sequence[Feed] = (Feed("bronze"),),
         *,
         suffix: str = "_csv",
+        table_options: Mapping[str, object] | None = None,
     ) -> None:
+        """``table_options`` are those of :class:`ChangeTable`, for all keyed tables."""
         names = [f.table for f in feeds]
         if len(set(names)) != len(names):
             raise ValueError(f"feeds need tables of their own: {names}")
@@ -128,6 +130,7 @@ class DropZone:
         self.root = root.rstrip("/")
         self.feeds = {f.table: f for f in feeds}
         self.suffix = suffix
+        self.table_options = dict(table_options or {})
 
     def __repr__(self) -> str:
         return f"DropZone(landing={self.landing!r}, root={self.root!r})"
@@ -158,7 +161,7 @@ class DropZone:
 
     def ingest(self, *tables: str) -> None:
         """Ingest what has landed for the given feeds, or for all, side by side."""
-        await_all([self.start_ingest(t) for t in tables or self.feeds])
+        await_all(self.start_ingest(t) for t in tables or self.feeds)
 
     def bronze(self, table: str | None = None) -> DataFrame:
         """All landed rows of a feed."""
@@ -272,7 +275,8 @@ class DropZone:
         )
         lines = split_source(routed, name + self.suffix)
         # Dropping is left to the flow, which sets the dropped lines aside.
-        staged = stage(lines, ddl, mode="failfast" if mode == "failfast" else "permissive", options=parse_options)
+        parsing = "failfast" if mode == "failfast" else "permissive"
+        staged = stage(lines, ddl, mode=parsing, options=parse_options)
         unplaced = reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in sequence])
         reason = F.when(F.col(CORRUPT).isNotNull(), "does not fit the schema").when(
             unplaced, "has no sequence"
@@ -302,7 +306,7 @@ class DropZone:
             raise ValueError("scd_type must be 1 or 2")
         return apply_stream(
             changes,
-            ChangeTable(self.spark, f"{self.root}/silver/{name}", rules),
+            ChangeTable(self.spark, f"{self.root}/silver/{name}", rules, **self.table_options),
             f"{self.root}/checkpoints/silver/{name}/{feed.table}",
             flow=feed.table,
             set_aside=F.col(_ASIDE).isNotNull(),
@@ -335,12 +339,10 @@ class DropZone:
         ]
         for i in range(0, len(ready), at_once):
             await_all(
-                [
-                    self.start_silver(
-                        r.table_name, r.ddl, r["keys"], table, **{"sources": sources, **options}
-                    )
-                    for r in ready[i : i + at_once]
-                ]
+                self.start_silver(
+                    r.table_name, r.ddl, r["keys"], table, **{"sources": sources, **options}
+                )
+                for r in ready[i : i + at_once]
             )
         return sorted(r.table_name for r in ready)
 
@@ -368,6 +370,3 @@ class DropZone:
         for table in self.feeds:
             done += self.refresh_silver(table, **options)
         return done
-
-
-__all__ = ["DropZone", "ENVELOPE", "Feed"]

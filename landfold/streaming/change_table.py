@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import threading
+import time
 import uuid
 from collections import defaultdict
 from dataclasses import asdict, dataclass, field, replace
@@ -32,6 +33,7 @@ from landfold.streaming.catalog import sql_text
 from landfold.streaming.folder import Folder
 
 _LOCKS: dict[str, threading.Lock] = defaultdict(threading.Lock)
+_KEPT_MANIFESTS = 5
 #: Below Spark's own limit on buckets.
 _MOST_BUCKETS = 1 << 16
 _KINDS = {"current": ChangeRules, "history": HistoryRules}
@@ -51,6 +53,7 @@ class _Manifest:
     version: int = -1
     schema: str | None = None
     runs: tuple[Run, ...] = ()
+    retired: dict[str, float] = field(default_factory=dict)
     applied: dict[str, int] = field(default_factory=dict)
     rules: dict = field(default_factory=dict)
     kind: str = "current"
@@ -79,6 +82,9 @@ class ChangeTable:
     One writer at a time per table. Several flows may feed it in turn, each
     under a name and with batch numbers of its own. Columns may be added later;
     rows from before have nulls there.
+
+    Runs that were merged stay for ``keep_for`` seconds, for queries that still
+    read them.
     """
 
     def __init__(
@@ -88,7 +94,7 @@ class ChangeTable:
         rules: ChangeRules | HistoryRules,
         *,
         fan_in: int = 4,
-        keep_manifests: int = 5,
+        keep_for: float = 6 * 3600,
         bucket_bytes: int = 128 << 20,
     ) -> None:
         if fan_in < 2:
@@ -97,7 +103,7 @@ class ChangeTable:
         self.path = path
         self.rules = rules
         self.fan_in = fan_in
-        self.keep_manifests = max(1, keep_manifests)
+        self.keep_for = keep_for
         self.bucket_bytes = bucket_bytes
         self._folder = Folder(spark, path)
         self._state_rules = rules.state_rules if isinstance(rules, HistoryRules) else rules
@@ -225,7 +231,10 @@ class ChangeTable:
         runs = held.runs[start:]
         buckets = self._buckets_for(sum(run.size for run in runs))
         run = self._write_run(self._merged(held, runs), buckets)
-        self._publish(held, runs=(*held.runs[:start], run))
+        present = self._folder.ages("runs")
+        retired = {name: at for name, at in held.retired.items() if name in present}
+        retired |= {old.name: time.time() for old in runs}
+        self._publish(held, runs=(*held.runs[:start], run), retired=retired)
 
     def compact(self) -> None:
         """Merge all runs into one, bucketed if it is large."""
@@ -238,21 +247,15 @@ class ChangeTable:
             self._tidy()
 
     def _tidy(self) -> None:
-        """Drop old manifests and the runs that no kept manifest names."""
-        names = [n for n in self._folder.names("manifests") if n.endswith(".json")]
-        old, kept = names[: -self.keep_manifests], names[-self.keep_manifests :]
-        if not old:
-            return
-        wanted = {
-            run.name
-            for n in kept
-            for run in _Manifest.from_json(self._folder.read(f"manifests/{n}")).runs
-        }
-        for n in old:
-            self._folder.delete(f"manifests/{n}")
-        for run in self._folder.names("runs"):
-            if run not in wanted:
+        """Delete runs that were merged long ago, or left by a batch that was cut short."""
+        held = self._manifest()
+        long_ago = time.time() - self.keep_for
+        live = {run.name for run in held.runs}
+        for run, changed in self._folder.ages("runs").items():
+            if run not in live and held.retired.get(run, changed) < long_ago:
                 self._folder.delete(f"runs/{run}")
+        for name in [n for n in self._folder.names("manifests") if n.endswith(".json")][:-_KEPT_MANIFESTS]:
+            self._folder.delete(f"manifests/{name}")
 
     def state(self) -> DataFrame:
         """Merged state, one row per state key."""

@@ -107,11 +107,17 @@ def apply_stream(
 
 
 def await_all(queries: Iterable[StreamingQuery]) -> None:
-    """Wait for streams that were started together; if one fails, stop the others."""
-    started = list(queries)
+    """Wait for streams side by side; if one fails, or fails to start, stop the others.
+
+    Give a generator to have them started here.
+    """
+    started: list[StreamingQuery] = []
     try:
-        for query in started:
-            query.awaitTermination()
+        for query in queries:
+            started.append(query)
+        waiting = list(started)
+        while waiting:
+            waiting = [query for query in waiting if not query.awaitTermination(1)]
     finally:
         for query in started:
             if query.isActive:

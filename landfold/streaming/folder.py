@@ -24,6 +24,13 @@ class Folder:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(at))
 
+    def ages(self, name: str = "") -> dict[str, float]:
+        """When each entry last changed, in seconds since 1970."""
+        at = self._at(name)
+        if not self._fs.exists(at):
+            return {}
+        return {s.getPath().getName(): s.getModificationTime() / 1000 for s in self._fs.listStatus(at)}
+
     def exists(self, name: str = "") -> bool:
         return self._fs.exists(self._at(name))
 

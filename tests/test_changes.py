@@ -135,7 +135,7 @@ def test_batches_replays_and_merges_change_nothing(spark, tmp_path, batches, ign
         df, ["k"], ["seq", "tie"], columns=["a", "b"], ignore_null_updates=ignore_nulls,
         delete_when="op = 'del'", truncate_when="op = 'trunc'",
     )
-    table = ChangeTable(spark, str(tmp_path / "t"), rules, fan_in=3, keep_manifests=2)
+    table = ChangeTable(spark, str(tmp_path / "t"), rules, fan_in=3, keep_for=0)
     for i in range(batches):
         part = spark.createDataFrame(rows[i::batches], SCHEMA)
         assert table.apply(part, batch_id=i)
@@ -241,6 +241,26 @@ def test_history_columns_may_be_added(spark, tmp_path):
     assert as_spans(got) == {("x", 1, None, 1, 3), ("x", 1, "n", 3, None)}
 
 
+def test_merged_runs_stay_for_their_readers(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1, 1, "up", 1, "x")], SCHEMA)
+    rules = ChangeRules.of(df, ["k"], ["seq", "tie"], columns=["a", "b"])
+
+    def runs():
+        return {p.name for p in (tmp_path / "t" / "runs").iterdir()}
+
+    table = ChangeTable(spark, str(tmp_path / "t"), rules, fan_in=2)
+    table.apply(df)
+    reading = table.read()
+    for _ in range(12):
+        table.apply(df)
+    assert as_dict(reading) == {"a": (1, "x")}
+    assert len(list((tmp_path / "t" / "manifests").glob("*.json"))) == 5
+    assert len(runs()) > len(table._manifest().runs)
+    table = ChangeTable(spark, str(tmp_path / "t"), rules, fan_in=2, keep_for=0)
+    table.apply(df)
+    assert runs() == {run.name for run in table._manifest().runs}
+
+
 @pytest.mark.parametrize("kind", [ChangeRules, HistoryRules])
 def test_a_batch_with_nothing_adds_no_run(spark, tmp_path, kind):
     df = spark.createDataFrame([("a", 1, 1, "up", 1, "x")], SCHEMA)

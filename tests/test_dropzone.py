@@ -194,6 +194,18 @@ def test_history_target(spark, drop, tmp_path):
     assert rows == {(1, at[0], at[1]), (2, at[1], None)}
 
 
+def test_a_stream_that_cannot_start_stops_the_others(spark, drop, tmp_path):
+    zone = small_zone(spark, drop)
+    drop("d1/items.csv", ["h", "a,1,x,"])
+    drop("d1/others.csv", ["h", "a,1,x,"])
+    ddl = write_ddl(tmp_path, {"items": ITEMS, "others": ITEMS})
+    keys = {"items": ["id"], "others": ["id"]}
+    zone.run(ddl, keys, only=["others"])
+    with pytest.raises(ValueError, match="other rules"):
+        zone.run(ddl, keys, ignore_null_updates=False)
+    assert spark.streams.active == []
+
+
 def test_a_crash_between_state_and_checkpoint(spark, drop, tmp_path, monkeypatch):
     zone = small_zone(spark, drop, max_files=1)
     ddl = write_ddl(tmp_path, {"items": ITEMS})
