@@ -60,7 +60,12 @@ _ASIDE = "_set_aside"
 
 @dataclass(frozen=True)
 class Feed:
-    """What to ingest: a folder below the landing folder, and how to read its files."""
+    """What to ingest: a folder below the landing folder, and how to read its files.
+
+    ``merge_small_files`` shuffles each batch so that its rows land in few files
+    per source, large sources in several. It is worth its cost where many small
+    files are dropped.
+    """
 
     table: str
     folder: str = ""
@@ -74,6 +79,7 @@ class Feed:
     max_bytes: int | str | None = "10g"
     options: Mapping[str, object] | None = None
     rules: tuple[SourceRule, ...] = ()
+    merge_small_files: bool = False
     comment: str | None = None
     properties: Mapping[str, object] = field(default_factory=dict)
 
@@ -151,8 +157,11 @@ class DropZone:
         feed = self._feed(table)
         datasource = f"{self.landing}/{feed.folder}/" if feed.folder else f"{self.landing}/"
         bronze = to_bronze(feed.read(self.spark, datasource), datasource)
+        routed = with_source(bronze, feed.rules)
+        if feed.merge_small_files:
+            routed = routed.hint("rebalance", "source")
         return append(
-            with_source(bronze, feed.rules),
+            routed,
             self._bronze_path(feed),
             f"{self.root}/checkpoints/bronze/{feed.table}",
             partition_by=["source"],
@@ -350,6 +359,13 @@ class DropZone:
         """Published rows of a keyed table."""
         return ChangeTable.open(self.spark, f"{self.root}/silver/{name}").read()
 
+    def declare_silver(self) -> list[str]:
+        """Name the keyed tables, as they are now, as views in the session."""
+        names = Folder(self.spark, f"{self.root}/silver").names()
+        for name in names:
+            self.silver(name).createOrReplaceTempView(f"`{name}`")
+        return names
+
     def quarantine(self, name: str) -> DataFrame | None:
         """Lines that did not fit the table's schema or have no sequence, with their files.
 

@@ -98,10 +98,10 @@ def apply_stream(
         if not apply_set_aside:
             rows = rows.where(~set_aside)
         # A batch that comes again is not folded, so not counted either.
-        if not table.apply(rows, flow=counted, batch_id=batch_id) or _count(seen) != 0:
-            batch.where(set_aside).write.mode("overwrite").parquet(
-                f"{set_aside_path}/batch_id={batch_id}"
-            )
+        n = _count(seen) if table.apply(rows, flow=counted, batch_id=batch_id) else None
+        aside = batch.where(set_aside)
+        if n or (n is None and not aside.isEmpty()):
+            aside.write.mode("overwrite").parquet(f"{set_aside_path}/batch_id={batch_id}")
 
     return _started(changes.writeStream.foreachBatch(fold), checkpoint, every, name)
 

@@ -112,6 +112,9 @@ def test_arrivals_over_several_runs(spark, drop, tmp_path):
     assert held == [("d3", "broken line")]
     assert sorted(r.source for r in zone.refresh_alerts()[0].collect()) == ["orders_csv", "other_csv"]
 
+    assert zone.declare_silver() == ["items"]
+    assert spark.sql("SELECT n FROM items WHERE id = 'd'").first().n == 4
+
     # Describing the source is all it takes; nothing is read again for the others.
     before = ChangeTable.open(spark, f"{drop.root}/silver/items").applied()
     ddl = write_ddl(tmp_path, {"items": ITEMS, "orders": "struct<id:string,total:int>"})
@@ -265,6 +268,20 @@ def test_feeds_side_by_side(spark, drop):
         DropZone(spark, drop.landing, drop.root, [Feed("x"), Feed("x")])
 
 
+def test_small_files_are_merged_on_request(spark, drop):
+    for i in range(40):
+        drop(f"d{i}/claims.csv", ["h", f"{i}"])
+        drop(f"d{i}/payers.csv", ["h", f"{i}"])
+    files = {}
+    for merge in (False, True):
+        root = f"{drop.root}/{merge}"
+        zone = DropZone(spark, drop.landing, root, [Feed("landed", merge_small_files=merge)])
+        zone.ingest()
+        assert zone.bronze().count() == 80
+        files[merge] = len(zone.bronze().inputFiles())
+    assert files[True] == 2 < files[False]
+
+
 def test_catalog_names(spark, drop):
     zone = DropZone(
         spark, drop.landing, drop.root,

@@ -208,3 +208,17 @@ def test_expectations(spark):
     assert expect(df.limit(1), rules, action="fail").count() == 1
     with pytest.raises(ValueError):
         expect(df, rules, action="ignore")
+
+
+def test_transforms_work_on_streams(spark, drop):
+    drop("d/items.csv", ["h", "1,a", "2,b", "bad"])
+    rows = stage(to_bronze(read_lines(spark, drop.landing), "x"), "n INT, s STRING", mode="drop")
+    rows = rows.select(F.struct("n", "s").alias("r"), F.array(F.lit(1), F.lit(2)).alias("a"))
+    rows = expect(flatten_and_explode(rows), {"n over one": "n > 1"}, action="drop", observe="rules")
+    query = rows.writeStream.format("memory").queryName("transformed").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted(tuple(r) for r in spark.table("transformed").select("n", "s", "a").collect()) == [
+        (2, "b", 1), (2, "b", 2),
+    ]
+    counted = [p["observedMetrics"]["rules"] for p in query.recentProgress if "rules" in p["observedMetrics"]]
+    assert [(m["rows"], m["n over one"]) for m in counted] == [(4, 2)]
