@@ -18,7 +18,7 @@ one per column   (order, value) of the last value that counts, when null updates
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +29,19 @@ _UPSERT, _DELETE, _TRUNCATE, _ROW = "_upsert", "_delete", "_truncate", "_row"
 _VALUE, _ORDER = "_value", "_order"
 
 
+def actual_names(df: DataFrame) -> Callable[[Iterable[str]], tuple[str, ...]]:
+    """Looks column names up as Spark does, without regard to case."""
+    known = {c.lower(): c for c in df.columns}
+
+    def look_up(names: Iterable[str]) -> tuple[str, ...]:
+        missing = [c for c in names if c.lower() not in known]
+        if missing:
+            raise ValueError(f"not among the change columns: {missing}")
+        return tuple(known[c.lower()] for c in names)
+
+    return look_up
+
+
 @dataclass(frozen=True)
 class ChangeRules:
     """How change rows apply to a keyed target.
@@ -60,28 +73,27 @@ class ChangeRules:
         except_columns: Sequence[str] = (),
     ) -> ChangeRules:
         """Rules for the given change rows; ``columns`` or ``except_columns`` pick the target's."""
-        sequence = (sequence_by,) if isinstance(sequence_by, str) else tuple(sequence_by)
+        names = actual_names(changes)
+        keys = names(keys)
+        sequence = names([sequence_by] if isinstance(sequence_by, str) else sequence_by)
+        dropped = set(names(except_columns))
         if not keys:
             raise ValueError("a keyed target needs keys")
         if not sequence:
             raise ValueError("changes need a sequence")
         if columns is not None and except_columns:
             raise ValueError("give columns or except_columns, not both")
-        named = [*keys, *sequence, *(columns or ())]
-        missing = [c for c in named if c not in changes.columns]
-        if missing:
-            raise ValueError(f"not among the change columns: {missing}")
-        dropped = set(except_columns)
         if dropped & set(keys):
             raise ValueError(f"keys cannot be left out: {sorted(dropped & set(keys))}")
-        kept = [c for c in (columns if columns is not None else changes.columns) if c not in dropped]
+        picked = changes.columns if columns is None else names(columns)
+        kept = tuple(c for c in picked if c not in dropped and c not in keys)
+        reserved = {_UPSERT, _DELETE, _TRUNCATE, _ROW} & {c.lower() for c in (*keys, *kept)}
+        if reserved:
+            raise ValueError(f"columns have reserved names: {sorted(reserved)}")
         for c in kept:
             if isinstance(changes.schema[c].dataType, (T.MapType, T.VariantType)):
                 raise ValueError(f"column {c!r} has a type without an order")
-        return ChangeRules(
-            tuple(keys), sequence, tuple(c for c in kept if c not in keys),
-            ignore_null_updates, delete_when, truncate_when,
-        )
+        return ChangeRules(keys, sequence, kept, ignore_null_updates, delete_when, truncate_when)
 
     def extends(self, older: ChangeRules) -> bool:
         """Whether these are the older rules, perhaps with columns added."""

@@ -14,11 +14,16 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfold.operators.changes import ChangeRules, fold, resolve
+from landfold.operators.changes import ChangeRules, actual_names, fold, resolve
 from landfold.workspace import materialise
 
 START, END = "__START_AT", "__END_AT"
 _DELETED, _SLICE, _SEED, _AT = "_deleted", "_slice", "_seed", "_at"
+#: Columns that the steps below add for themselves.
+_RESERVED = {
+    _DELETED, _SLICE, _SEED, _AT, "_was_deleted", "_cleared", "_old", "_starts", "_stops", "_span", "_last",
+    START.lower(), END.lower(),
+}
 
 
 def _col(name: str) -> Column:
@@ -57,20 +62,22 @@ class HistoryRules:
     ) -> HistoryRules:
         if track is not None and track_except:
             raise ValueError("give track or track_except, not both")
-        if sequence_by in keys:
-            raise ValueError("the sequence cannot be a key")
         base = ChangeRules.of(
             changes, keys, [sequence_by, *tie_breakers], columns=columns, except_columns=except_columns
         )
-        kept = tuple(c for c in base.columns if c != sequence_by)
-        unknown = (set(track or ()) | set(track_except)) - set(kept)
-        if unknown:
-            raise ValueError(f"not among the history's columns: {sorted(unknown)}")
-        tracked = tuple(
-            c for c in kept if (track is None or c in set(track)) and c not in set(track_except)
-        )
+        reserved = _RESERVED & {c.lower() for c in (*base.keys, *base.columns)}
+        if reserved:
+            raise ValueError(f"columns have reserved names: {sorted(reserved)}")
+        at, *ties = base.sequence_by
+        if at in base.keys:
+            raise ValueError("the sequence cannot be a key")
+        kept = tuple(c for c in base.columns if c != at)
+        names = actual_names(changes)
+        tracked, untracked = set(kept if track is None else names(track)), set(names(track_except))
+        if not (tracked | untracked) <= set(kept):
+            raise ValueError(f"not among the history's columns: {sorted((tracked | untracked) - set(kept))}")
         return HistoryRules(
-            tuple(keys), sequence_by, kept, tracked, tuple(tie_breakers),
+            base.keys, at, kept, tuple(c for c in kept if c in tracked - untracked), tuple(ties),
             ignore_null_updates, delete_when,
         )
 

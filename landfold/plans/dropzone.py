@@ -298,7 +298,9 @@ class DropZone:
         picked = {
             "ignore_null_updates": ignore_null_updates,
             "delete_when": delete_when,
-            "columns": [c for c in (columns or declared) if c not in set(except_columns)],
+            "columns": [
+                c for c in (columns or declared) if c.lower() not in {e.lower() for e in except_columns}
+            ],
         }
         if scd_type == 1:
             rules = ChangeRules.of(

@@ -97,6 +97,18 @@ def test_column_lists(spark):
         apply_changes(df, [], "seq")
 
 
+def test_names_without_regard_to_case(spark):
+    df = spark.createDataFrame([("a", 1, 2, 3), ("a", 2, 4, 5)], "Key STRING, Seq INT, Val INT, other INT")
+    got = apply_changes(df, ["KEY"], "seq", columns=["vaL"])
+    assert got.columns == ["Key", "Val"] and got.first() == ("a", 4)
+    spans = apply_changes_history(df, ["key"], "SEQ", track_except=["OTHER"])
+    assert spans.columns == ["Key", "Val", "other", "__START_AT", "__END_AT"]
+    with pytest.raises(ValueError, match="reserved"):
+        apply_changes_history(df.withColumnRenamed("other", "_Slice"), ["key"], "seq")
+    with pytest.raises(ValueError, match="reserved"):
+        apply_changes(df.withColumnRenamed("other", "_Row"), ["key"], "seq")
+
+
 def test_rows_without_sequence_are_set_aside(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", 1, 2), ("b", None, 3)], "k STRING, seq INT, v INT")
     rules = ChangeRules.of(df, ["k"], "seq")

@@ -179,7 +179,7 @@ def test_lines_with_another_separator(spark, drop, tmp_path):
     zone = small_zone(spark, drop)
     ddl = write_ddl(tmp_path, {"items": ITEMS})
     drop("d1/items.csv", ["h", "a;1;x,y;", "b;2;z;"])
-    zone.run(ddl, {"items": ["id"]}, parse_options={"sep": ";"})
+    zone.run(ddl, {"items": ["ID"]}, parse_options={"sep": ";"})
     assert sorted((r.id, r.n, r.value) for r in zone.silver("items").collect()) == [
         ("a", 1, "x,y"), ("b", 2, "z"),
     ]
