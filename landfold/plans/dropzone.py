@@ -357,9 +357,9 @@ class DropZone:
             )
         return sorted(r.table_name for r in ready)
 
-    def silver(self, name: str) -> DataFrame:
-        """Published rows of a keyed table."""
-        return ChangeTable.open(self.spark, f"{self.root}/silver/{name}").read()
+    def silver(self, name: str, where: str | None = None) -> DataFrame:
+        """Published rows of a keyed table, or those of the keys that meet ``where``."""
+        return ChangeTable.open(self.spark, f"{self.root}/silver/{name}").read(where)
 
     def declare_silver(self) -> list[str]:
         """Name the keyed tables, as they are now, as views in the session."""

@@ -267,9 +267,17 @@ class ChangeTable:
             return unpack(self.spark.createDataFrame([], schema), self._state_rules)
         return self._merged(held, held.runs)
 
-    def read(self) -> DataFrame:
-        """The published rows."""
+    def read(self, where: str | None = None) -> DataFrame:
+        """The published rows, or those of the keys that meet ``where``.
+
+        A history is worked out for the chosen keys only, so name them here
+        rather than filter its result.
+        """
         rows = resolve(self.state(), self._state_rules)
+        if where is not None:
+            keys = T.StructType([f for f in rows.schema.fields if f.name in self.rules.keys])
+            self.spark.createDataFrame([], keys).where(where)  # refuses any other column
+            rows = rows.where(where)
         return history(rows, self.rules) if isinstance(self.rules, HistoryRules) else rows
 
 

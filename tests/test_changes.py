@@ -386,7 +386,12 @@ def test_history_of_late_batches(spark, tmp_path):
     for i in range(4):
         table.apply(spark.createDataFrame(rows[i::4], SCHEMA), batch_id=i)
     expected = spans_one_by_one(rows, tracked=["a"], ignore_nulls=False)
-    assert as_spans(ChangeTable.open(spark, str(tmp_path / "t")).read()) == expected
+    table = ChangeTable.open(spark, str(tmp_path / "t"))
+    assert as_spans(table.read()) == expected
+    assert as_spans(table.read("k = 'hot'")) == {s for s in expected if s[0] == "hot"}
+    assert as_spans(table.read("k IS NULL")) == {s for s in expected if s[0] is None}
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        table.read("a = 1")
 
 
 def test_history_of_timestamps(spark):
