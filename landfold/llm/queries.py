@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfold.llm import near_duplicates as near
-from landfold.llm import packing, quality, secret_scan
-from landfold.llm.shared import table
+from landfold.llm import fingerprints, neighbours, packing, quality, secret_scan, warc
+from landfold.llm.shared import table, work_folder
 from landfold.llm.spans import joined
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,79 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_packing")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+_FINGERPRINT = """
+    (SELECT sha256(array_to_string(list_transform(sections, lambda s: sha256(s)), '')) || '/' ||
+        array_to_string(list_transform(sections, lambda s: substr(sha256(s), 1, 8) || ':' ||
+            regexp_replace(s, '([0-9a-f]{8})[0-9a-f]{56}', '\\1', 'g')), '/')
+     FROM (SELECT list_filter(string_split(array_to_string(list_transform(list_transform(
+        string_split(%s, chr(10)),
+        lambda p: list_transform(regexp_extract_all(p, '{phrase}'), lambda x: md5(x))),
+        lambda h: sha256(array_to_string(h, '')) ||
+            array_to_string(list_transform(h, lambda x: '.' || substr(x, 1, 8)), '') ||
+            CASE WHEN len(h) = 0 OR substr(sha256(array_to_string(h, '')), 1, 1) IN ('0', '1')
+                 THEN '/' ELSE ',' END), ''), '/'), lambda s: s <> '') AS sections))
+""".replace("{phrase}", fingerprints.PHRASE)
+_LIKENESS = """
+    CASE WHEN {a} = {b} THEN 1.0 ELSE coalesce(
+        len(list_intersect(list_distinct(regexp_extract_all({a}, '\\.([0-9a-f]{8})', 1)),
+                           list_distinct(regexp_extract_all({b}, '\\.([0-9a-f]{8})', 1))))::DOUBLE /
+        nullif(len(list_distinct(list_concat(regexp_extract_all({a}, '\\.([0-9a-f]{8})', 1),
+                                             regexp_extract_all({b}, '\\.([0-9a-f]{8})', 1)))), 0), 0.0) END
+"""
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    return _LIKENESS.replace("{a}", a).replace("{b}", b)
+
+
+_OP1 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS after,
+             coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS next_id
+      FROM d WINDOW w AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+e AS (SELECT *, left(text, (length(text) - length(text) // 3)::INT) || left(after, (length(text) // 3)::INT) AS edited
+      FROM n),
+f AS (SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
+             {_FINGERPRINT % 'text'} AS fingerprint, {_FINGERPRINT % 'edited'} AS edited_fingerprint,
+             {_FINGERPRINT % 'after'} AS after_fingerprint, next_id FROM e)
+SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+       {_likeness_sql('fingerprint', 'edited_fingerprint')} AS near_edited,
+       {_likeness_sql('fingerprint', 'after_fingerprint')} AS near_next, next_id
+FROM f
+"""
+
+
+@query("op1_fingerprints", _OP1)
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf, "documents"))
+
+
+_OP3 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+
+@query("op3_warc", _OP3)
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    folder = work_folder(spark, "warc")
+    warc.write(table(spark, sf, "pages"), folder)
+    return warc.read_records(spark, folder).select(
+        warc.page_of(F.col("record_id")).cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of(F.col("refers_to")).cast("bigint").alias("refers_to"),
+    )
+
+
+@query("op5_nearest_neighbours")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.search(table(spark, sf, "embeddings"), lambda vec_id: vec_id % 20 == 0)
