@@ -33,8 +33,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts replaced by what kind they are."""
-    clean = secret_scan.redact(docs.withColumn("_text", F.col("text")))
-    changed = ~F.col("text").eqNullSafe(F.col("_text"))
+    clean = secret_scan.redact(docs.withColumn("_landfold_before", F.col("text")))
+    changed = ~F.col("text").eqNullSafe(F.col("_landfold_before"))
     return clean.withColumn(
         "n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     ).select(docs.columns)

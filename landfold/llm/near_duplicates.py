@@ -312,24 +312,24 @@ def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     texts one. Rows with an empty set are linked with nothing and stay.
     """
     found = near_duplicates(docs, words, percent)
-    alone = F.col("cls").isNull()
     keep = (
         found.where("kept")
-        .withColumn("alone", alone)
-        .groupBy("doc_id", "alone", F.when(F.col("doc_id").isNull(), F.col("digest")).alias("_own"))
-        .agg(F.min("digest").alias("_digest"))
-        .select(F.col("doc_id").alias("_id"), "_digest", "alone")
+        .withColumn("alone", F.col("cls").isNull())
+        .groupBy("doc_id", "alone", F.when(F.col("doc_id").isNull(), F.col("digest")).alias("own"))
+        .agg(F.min("digest").alias("digest"))
+        .select(F.col("doc_id").alias("id"), "digest", "alone")
     )
-    digested = docs.withColumn("_digest", _digest(whole_text()))
-    stay = digested.join(
-        keep, (digested["doc_id"].eqNullSafe(keep["_id"])) & (digested["_digest"] == keep["_digest"])
-    ).select(*[digested[c] for c in digested.columns], keep["alone"].alias("_alone"))
-    first = Window.partitionBy("doc_id", "_digest").orderBy(F.xxhash64(*docs.columns))
-    return (
-        stay.withColumn("_n", F.row_number().over(first))
-        .where("_alone OR _n = 1")
-        .select(docs.columns)
+    # The columns of docs go along in one, so that their names are no matter.
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        _digest(whole_text()).alias("digest"),
     )
+    stay = rows.join(
+        keep, rows["doc_id"].eqNullSafe(keep["id"]) & (rows["digest"] == keep["digest"])
+    ).select("row", rows["doc_id"], rows["digest"], "alone")
+    first = Window.partitionBy("doc_id", "digest").orderBy(F.xxhash64("row"))
+    return stay.withColumn("n", F.row_number().over(first)).where("alone OR n = 1").select("row.*")
 
 
 def _digest(text: Column) -> Column:

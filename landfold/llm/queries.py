@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfold.llm import near_duplicates as near
-from landfold.llm import fingerprints, neighbours, packing, quality, secret_scan, warc
+from landfold.llm import byte_bpe, fingerprints, neighbours, packing, quality, sanitise, secret_scan, token_counts, warc
 from landfold.llm.shared import table, work_folder
 from landfold.llm.spans import joined
 
@@ -136,3 +136,37 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_nearest_neighbours")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.search(table(spark, sf, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
+@query("op6_personal_data")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    found = sanitise.find_personal(table(spark, sf, "documents").select("doc_id", "text"))
+    of = lambda kind: F.filter("personal_spans", lambda s: s["kind"] == kind)
+    base = F.filter("personal_spans", lambda s: s["kind"].isin(sanitise.BASE))
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in sanitise.BASE],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("personal_spans")).alias("spans"),
+    )
+
+
+@query("op2_token_counts")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    vocabulary = token_counts.rank_file(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return token_counts.count_tokens(spark, docs, vocabulary, public_tokenizers.PATTERN).drop("text")
+
+
+@query("op9_byte_bpe")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    coded = byte_bpe.encode(spark, docs, path, public_tokenizers.PATTERN)
+    ids = F.col("ids")
+    return coded.select(
+        "doc_id",
+        F.size(ids).cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(ids, byte_bpe.Ranks(path)), 256).alias("decoded_sha256"),
+    )

@@ -18,7 +18,7 @@ SPAN = "struct<kind:string,start:int,end:int>"
 _SLICE = 128
 
 
-def find(text: Column, pattern: str, kind: str, keep: Callable[[Column], Column] | None = None) -> Column:
+def find(text: Column, pattern: str | Column, kind: str, keep: Callable[[Column], Column] | None = None) -> Column:
     """Spans of the leftmost non-overlapping matches whose text ``keep`` accepts, in order."""
     found = matches(text, pattern)
     if keep is not None:
@@ -31,16 +31,17 @@ def find(text: Column, pattern: str, kind: str, keep: Callable[[Column], Column]
     )
 
 
-def matches(text: Column, pattern: str) -> Column:
+def matches(text: Column, pattern: str | Column) -> Column:
     """Array of struct(start, end, text) of all matches of a pattern."""
     kind = "array<struct<start:int,end:int,text:string>>"
     none = F.array().cast(kind)
+    of = F.lit(pattern) if isinstance(pattern, str) else pattern
     return let(
-        F.struct(text.alias("whole"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("found")),
+        F.struct(text.alias("whole"), F.regexp_extract_all(text, of, 0).alias("found")),
         lambda s: F.when(F.size(s["found"]) == 0, none).otherwise(
             let(
                 # What lies before each match; what lies behind the last is of no use.
-                F.slice(F.split(s["whole"], pattern, -1), F.lit(1), F.size(s["found"])),
+                F.slice(F.split(s["whole"], of, -1), F.lit(1), F.size(s["found"])),
                 lambda gaps: _placed(gaps, s["found"]),
             ).cast(kind)
         ),
@@ -132,45 +133,46 @@ def joined(spans: Column) -> Column:
 
 def replaced(text: Column, spans: Column, label: Callable[[Column], Column]) -> Column:
     """The text with each span replaced by its label; spans that overlap become one, labelled as the first."""
-    merged = let(
-        F.array_sort(
-            F.transform(
-                spans,
-                lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
-            )
-        ),
-        lambda a: let(
-            F.transform(
-                a,
-                # Where all spans before this one end.
-                lambda s, i: F.struct(
-                    s.alias("s"),
-                    F.coalesce(F.array_max(F.transform(F.slice(a, F.lit(1), i), lambda p: p["end"])), F.lit(0)).alias(
-                        "past"
-                    ),
-                ),
-            ),
-            lambda b: b,
-        ),
+    ordered = F.array_sort(
+        F.transform(
+            spans,
+            lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
+        )
     )
 
-    def piece(x: Column, whole: Column) -> Column:
-        s = x["s"]
-        before = F.substring(whole, x["past"] + 1, F.greatest(s["start"] - x["past"], F.lit(0)))
-        return F.when(s["end"] <= x["past"], F.lit("")).otherwise(
-            F.concat(before, F.when(s["start"] >= x["past"], label(s["kind"])).otherwise(F.lit("")))
+    def piece(whole: Column, past: Column, s: Column) -> Column:
+        before = F.substring(whole, past + 1, F.greatest(s["start"] - past, F.lit(0)))
+        name = F.when(s["start"] >= past, label(s["kind"])).otherwise(F.lit(""))
+        return F.when(s["end"] <= past, F.lit("")).otherwise(F.concat(before, name))
+
+    def part(whole: Column, past: Column, some: Column) -> Column:
+        """What a slice of the spans makes of the text from ``past`` on."""
+        return F.aggregate(
+            some,
+            F.struct(past.alias("past"), F.array().cast("array<string>").alias("out")),
+            lambda a, s: F.struct(
+                F.greatest(a["past"], s["end"]).alias("past"),
+                F.concat(a["out"], F.array(piece(whole, a["past"], s))).alias("out"),
+            ),
         )
 
-    return F.when(F.size(spans) == 0, text).otherwise(
-        let(
-            F.struct(text.alias("whole"), merged.alias("m")),
-            lambda t: F.concat(
-                F.array_join(F.transform(t["m"], lambda x: piece(x, t["whole"])), ""),
-                F.substring(
-                    t["whole"],
-                    F.array_max(F.transform(t["m"], lambda x: F.greatest(x["past"], x["s"]["end"]))) + 1,
-                    F.length(t["whole"]),
+    def joined_up(t: Column) -> Column:
+        slices = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(t["spans"]) - 1) / _SLICE).cast("int")),
+            lambda i: F.slice(t["spans"], i * _SLICE + 1, F.lit(_SLICE)),
+        )
+        return F.aggregate(
+            slices,
+            F.struct(F.lit(0).alias("past"), F.lit("").alias("out")),
+            lambda a, some: let(
+                part(t["whole"], a["past"], some),
+                lambda r: F.struct(
+                    r["past"].alias("past"), F.concat(a["out"], F.array_join(r["out"], "")).alias("out")
                 ),
             ),
+            lambda a: F.concat(a["out"], F.substring(t["whole"], a["past"] + 1, F.length(t["whole"]))),
         )
+
+    return F.when(F.size(spans) == 0, text).otherwise(
+        let(F.struct(text.alias("whole"), ordered.alias("spans")), joined_up)
     )
