@@ -13,26 +13,42 @@ or repeat; an empty table gives no pieces; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfold.llm.shared import groups, materialise, whole_text
+from landfold.llm.shared import groups, materialise, per_worker, whole_text
 
 #: Pieces of a group, about; what a task packs at once.
 GROUP = 4096
-#: Words whose ids a worker remembers.
-REMEMBERED = 600_000
+#: Words whose ids a worker remembers, from task to task; about 200 bytes each.
+REMEMBERED = 1_000_000
 _SEQUENCE_BITS = 32
 
 
+_MARK = re.compile(rb"(?<=[A-Za-z])([.,])(?=[\x20\n]|$)")
+
+
+def _words(text: str) -> list[bytes]:
+    """The text cut at white space, and before a full stop or comma that ends a word.
+
+    The tokenizer takes such a mark for a word of its own, and letters for small ones. It
+    composes accents first, so that letters stay as they are where any may follow them.
+    """
+    raw = text.encode("utf-8", "surrogatepass")
+    if b"\xcc" not in raw and b"\xcd" not in raw:  # U+0300 to U+037F start so
+        raw = raw.lower()
+    # For bytes, split() knows ASCII white space only; the tokenizer drops the rest.
+    return _MARK.sub(rb" \1", raw).split()
+
+
 class WordEncoder:
-    """Ids of whole texts, word by word.
+    """Ids of whole texts, word by word, as little-endian unsigned 32-bit numbers.
 
     The tokenizer drops white space and no token reaches across it, so a text's ids are
     those of its words, and words that come again need no second look.
@@ -44,47 +60,54 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
         self._tokenizer.encode_special_tokens = True
-        self._known: dict[bytes, np.ndarray] = {}
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._last = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self._last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self._known: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        # For bytes, split() knows ASCII white space only; the tokenizer drops the rest.
-        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [_words(t) for t in texts]
         known = self._known
         if len(known) > REMEMBERED:
             known.clear()
-        missing = {w for words in split for w in words if w not in known}
-        self._learn(missing)
-        empty = np.empty(0, dtype=np.uint32)
-        return [np.concatenate([known[w] for w in words]) if words else empty for words in split]
+        missing = set().union(*split).difference(known)
+        if missing:
+            self._learn(missing)
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def _learn(self, words: set[bytes]) -> None:
-        """Case is nothing to the tokenizer, and a mark behind a letter is a word of its own."""
-        parts: dict[bytes, tuple[bytes, ...]] = {}
+        plain, other = [], []
         for w in words:
-            low = w.lower() if w.isascii() else w
-            if low[-1:] in b".,;!" and low[-2:-1].isalpha():
-                parts[w] = (low[:-1], low[-1:])
-            else:
-                parts[w] = (low,)
-        known = self._known
-        new = sorted({p for ps in parts.values() for p in ps if p not in known})
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            coded = self._tokenizer.encode_batch_fast(
-                [p.decode("utf-8", "replace") for p in some], add_special_tokens=False
-            )
-            for p, e in zip(some, coded, strict=True):
-                known[p] = np.array(e.ids, dtype=np.uint32)
-        for w, ps in parts.items():
-            if w not in known:
-                known[w] = np.concatenate([known[p] for p in ps])
+            text = w.decode("utf-8", "replace")
+            (plain if text.isalpha() else other).append((w, text))
+        for at in range(0, len(plain), 2000):
+            self._together(plain[at : at + 2000])
+        self._apart(other)
+
+    def _together(self, words: list[tuple[bytes, str]]) -> None:
+        """Words of letters alone in one go: each ends with its only token for a word's end."""
+        coded = self._tokenizer.encode_batch_fast([" ".join([t for _, t in words])], add_special_tokens=False)
+        ids = np.array(coded[0].ids, dtype="<u4")
+        ends = ((np.nonzero(self._last[ids])[0] + 1) * 4).tolist()
+        if len(ends) != len(words):
+            self._apart(words)
+            return
+        raw = ids.tobytes()
+        self._known.update(zip([w for w, _ in words], map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=True))
+
+    def _apart(self, words: list[tuple[bytes, str]]) -> None:
+        for at in range(0, len(words), 4096):
+            some = words[at : at + 4096]
+            coded = self._tokenizer.encode_batch_fast([t for _, t in some], add_special_tokens=False)
+            for (p, _), e in zip(some, coded, strict=True):
+                self._known[p] = np.array(e.ids, dtype="<u4").tobytes()
 
 
 def _pieces(
     tokenizer_path: str, sequence: int, end_id: int, with_ids: bool
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = per_worker(f"words {tokenizer_path}", lambda: WordEncoder(tokenizer_path))
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 yield cut(encoder, whole.slice(at, 256))
@@ -92,16 +115,17 @@ def _pieces(
     def cut(encoder: WordEncoder, batch: pa.RecordBatch) -> pa.RecordBatch:
         out: dict[str, list] = {"doc_id": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": []}
         kept: list[bytes] = []
+        end = end_id.to_bytes(4, "little")
         texts = batch.column("text").to_pylist()
-        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
-            ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-            for start in range(0, len(ids), sequence):
-                piece = ids[start : start + sequence].tobytes()
+        for doc_id, words in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
+            ids = words + end
+            for start in range(0, len(ids), 4 * sequence):
+                piece = ids[start : start + 4 * sequence]
                 out["doc_id"].append(doc_id)
-                out["start"].append(start)
+                out["start"].append(start // 4)
                 out["length"].append(len(piece) // 4)
                 out["ids_crc32"].append(zlib.crc32(piece))
-                out["doc_tokens"].append(len(ids))
+                out["doc_tokens"].append(len(ids) // 4)
                 if with_ids:
                     kept.append(piece)
         columns = {k: pa.array(v, pa.int64()) for k, v in out.items()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from landfold.workspace import materialise, work_folder
 
-__all__ = ["groups", "let", "materialise", "table", "whole_text", "work_folder"]
+__all__ = ["groups", "let", "materialise", "per_worker", "table", "whole_text", "work_folder"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +33,17 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def per_worker(key: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a Python worker, whichever tasks it runs.
+
+    Functions are sent by value, so that a module of their own would be new in each task.
+    """
+    held = sys.modules.setdefault("_landfold_per_worker", types.ModuleType("_landfold_per_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[Any, pa.Table]]:
     """Runs of equal ``key`` in a partition sorted by it, whatever batches they come in."""
     held: list[pa.RecordBatch] = []
