@@ -29,9 +29,12 @@ ANY_AGE = {"maxFileAge": "36500d"}
 def rate_options(max_files: int | None, max_bytes: int | str | None) -> dict[str, str]:
     """Rate-limit options of the file source.
 
-    The source refuses both limits at once, so the file count wins when both
-    are given. Limits only pace the micro-batches; every file is still read.
+    The source takes one limit, so two are refused here as well: neither would
+    be silently without effect. Limits only pace the micro-batches; every file
+    is still read.
     """
+    if max_files is not None and max_bytes is not None:
+        raise ValueError("give max_files or max_bytes, not both (max_files=None turns its default off)")
     if max_files is not None:
         if max_files <= 0:
             raise ValueError("max_files must be positive")

@@ -55,9 +55,13 @@ def expect(
     return df
 
 
+def broken_rules(rules: Mapping[str, str | Column]) -> Column:
+    """Names of the rules that a row breaks, as an array."""
+    return F.array_compact(
+        F.array(*[F.when(~_holds(rule), F.lit(name)) for name, rule in rules.items()]).cast("array<string>")
+    )
+
+
 def violations(df: DataFrame, rules: Mapping[str, str | Column]) -> DataFrame:
     """Rows that break a rule, with the names of those they break in ``broken``."""
-    broken = F.array_compact(
-        F.array(*[F.when(~_holds(rule), F.lit(name)) for name, rule in rules.items()])
-    )
-    return df.withColumn("broken", broken).where(F.size("broken") > 0)
+    return df.withColumn("broken", broken_rules(rules)).where(F.size("broken") > 0)

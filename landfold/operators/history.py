@@ -43,7 +43,7 @@ class HistoryRules:
     columns: tuple[str, ...]
     tracked: tuple[str, ...]
     tie_breakers: tuple[str, ...] = ()
-    ignore_null_updates: bool = False
+    ignore_null_updates: bool = True
     delete_when: str | None = None
 
     @staticmethod
@@ -55,7 +55,7 @@ class HistoryRules:
         tie_breakers: Sequence[str] = (),
         track: Sequence[str] | None = None,
         track_except: Sequence[str] = (),
-        ignore_null_updates: bool = False,
+        ignore_null_updates: bool = True,
         delete_when: str | None = None,
         columns: Sequence[str] | None = None,
         except_columns: Sequence[str] = (),
@@ -65,7 +65,9 @@ class HistoryRules:
         base = ChangeRules.of(
             changes, keys, [sequence_by, *tie_breakers], columns=columns, except_columns=except_columns
         )
-        reserved = _RESERVED & {c.lower() for c in (*base.keys, *base.columns)}
+        reserved = {
+            c.lower() for c in (*base.keys, *base.columns) if c.lower() in _RESERVED or c.lower().startswith("_old_")
+        }
         if reserved:
             raise ValueError(f"columns have reserved names: {sorted(reserved)}")
         at, *ties = base.sequence_by
@@ -150,16 +152,26 @@ def versions(changes: DataFrame, rules: HistoryRules) -> DataFrame:
     return resolve(fold(rules.prepare(changes), state), state)
 
 
-def history(rows: DataFrame, rules: HistoryRules) -> DataFrame:
+def history(rows: DataFrame, rules: HistoryRules, scratch: str | None = None) -> DataFrame:
     """Spans of unchanged tracked values, from one row per key and sequence.
 
     A span starts where a tracked column changes and ends where the next one
     starts or the key is deleted. Columns that are not tracked show their last
     value in the span.
+
+    Intermediate tables go to ``scratch``, which the caller may delete once the
+    result is written, or else to the session's shared folder.
     """
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        if scratch is None:
+            return materialise(df, name)
+        df.write.parquet(f"{scratch}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{scratch}/{name}")
+
     keys, at = rules.keys, rules.sequence_by
     rows = rows.withColumnRenamed(at, _AT)
-    sliced = materialise(
+    sliced = kept(
         rows.repartitionByRange(*[_col(k) for k in keys], F.col(_AT)).withColumn(
             _SLICE, F.spark_partition_id()
         ),
@@ -214,7 +226,7 @@ def history(rows: DataFrame, rules: HistoryRules) -> DataFrame:
     if set(rules.tracked) == set(rules.columns):
         bounds = marked.where(F.col("_starts") | F.col("_stops"))
     else:
-        marked = materialise(marked, "marked")
+        marked = kept(marked, "marked")
         spans = _carry(marked, keys, _AT, {"_span": F.when(F.col("_starts"), F.col(_AT))}).withColumn(
             "_span", F.when(F.col("_starts"), F.col(_AT)).otherwise(F.col("_span"))
         )
@@ -231,7 +243,7 @@ def history(rows: DataFrame, rules: HistoryRules) -> DataFrame:
         bounds = live.unionByName(marked.where("_stops").select(live.columns))
 
     # Each step reads its rows twice, so they are worked out once and kept.
-    bounds = materialise(bounds, "spans")
+    bounds = kept(bounds, "spans")
     return (
         _carry(bounds, keys, _AT, {END: F.col(_AT)}, forward=False)
         .where(~deleted)

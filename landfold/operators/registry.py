@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfold.functions.names import table_of_source
+from landfold.functions.names import source_name, table_of_source
 
 _KEYS = "table_name STRING, keys ARRAY<STRING>"
 
@@ -31,17 +32,21 @@ def load_ddl(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_keys(spark: SparkSession, source: str | Mapping[str, Sequence[str]]) -> DataFrame:
-    """Natural keys by table: a mapping, or text of ``table = ["col", …]`` lines."""
+    """Natural keys by table: a mapping, or text of ``table = ["col", …]`` entries.
+
+    An entry may go over several lines and may have comments; quotes are single or double.
+    """
     if isinstance(source, Mapping):
         return spark.createDataFrame([(t, list(k)) for t, k in source.items()], _KEYS)
-    entry = r"^\s*(\w+)\s*=\s*(\[.*\])\s*$"
-    return (
-        spark.read.text(source)
-        .where(F.col("value").rlike(entry))
-        .select(
-            F.regexp_extract("value", entry, 1).alias("table_name"),
-            F.from_json(F.regexp_extract("value", entry, 2), "ARRAY<STRING>").alias("keys"),
-        )
+    entry = r"(?m)^\s*(\w+)\s*=\s*\[([^\]]*)\]"
+    files = spark.read.format("text").option("wholetext", True).load(source)
+    plain = F.regexp_replace("value", r"(?m)#.*$", "")
+    entries = files.select(F.explode(F.regexp_extract_all(plain, F.lit(entry), 0)).alias("entry"))
+    return entries.select(
+        F.regexp_extract("entry", entry, 1).alias("table_name"),
+        F.regexp_extract_all(
+            F.regexp_extract("entry", entry, 2), F.lit("""["']([^"']*)["']"""), 1
+        ).alias("keys"),
     )
 
 
@@ -81,6 +86,8 @@ def registry_problems(
     """
     findings: list[tuple[str, str, str | None]] = []
     entries = registry.select("table_name", "ddl", "keys").collect()
+    times = Counter(name for name, _, _ in entries)
+    findings += [(name, "registered more than once", str(n)) for name, n in times.items() if n > 1]
     for name, ddl, keys in entries:
         columns, broken = _columns_of(ddl)
         if ddl is None:
@@ -99,6 +106,21 @@ def registry_problems(
     )
     if landed is None:
         return problems
+    if "inputFileName" in landed.columns:
+        # Several file names that give one name; a rule that brings files together does so on purpose.
+        mixed = (
+            landed.where(F.col("source") == source_name(F.col("inputFileName")))
+            .groupBy("source")
+            .agg(F.sort_array(F.collect_set("inputFileName")).alias("names"))
+            .where(F.size("names") > 1)
+        )
+        problems = problems.unionByName(
+            mixed.select(
+                table_of_source(F.col("source"), suffix).alias("table_name"),
+                F.lit("several file names give one source").alias("problem"),
+                F.array_join("names", ", ").alias("detail"),
+            )
+        )
     seen = landed.select(table_of_source(F.col("source"), suffix).alias("table_name")).distinct()
     absent = (
         registry.where(F.col("ddl").isNotNull())

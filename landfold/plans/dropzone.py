@@ -2,29 +2,34 @@
 
 Below ``root``::
 
-    bronze/<feed>/source=<source>/   every landed line, in one copy, split by source
+    bronze/<feed>/source=<source>/   every landed line, in one copy, split by source (or in
+                                     one folder, for feeds that are not split)
     registry/                        known tables: schema and keys
     silver/<table>/                  keyed targets
     quarantine/<table>/feed=<feed>/  lines that did not fit their schema or have no sequence
+    landed/<feed>/                   file names and sources, a small file for each batch of bronze
     alerts/<feed>/                   landed sources, those without a schema, registry findings
+    published/<table>/               keyed tables written out for the catalog
     checkpoints/                     one per stream
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from landfold.functions.names import SourceRule
-from landfold.functions.sizes import parse_size
 from landfold.operators.bronze import landed_sources, split_source, to_bronze, with_source
 from landfold.operators.changes import ChangeRules
+from landfold.operators.expectations import ACTIONS, broken_rules, expect
 from landfold.operators.history import HistoryRules
 from landfold.operators.registry import (
     build_registry,
@@ -46,7 +51,7 @@ from landfold.sources.files import read_csv, read_lines, read_text
 from landfold.sources.tables import read_table
 from landfold.streaming.catalog import declare_table
 from landfold.streaming.change_table import ChangeTable
-from landfold.streaming.flows import append, apply_stream, await_all
+from landfold.streaming.flows import append, apply_batch, apply_stream, await_all, flow_identity, for_each_batch
 from landfold.streaming.folder import Folder
 
 _METADATA = (
@@ -56,6 +61,8 @@ _METADATA = (
 
 
 _ASIDE = "_set_aside"
+#: Bronze files whose sources are noted in one batch.
+_LISTED = 10_000
 
 
 @dataclass(frozen=True)
@@ -65,6 +72,11 @@ class Feed:
     ``merge_small_files`` shuffles each batch so that its rows land in few files
     per source, large sources in several. It is worth its cost where many small
     files are dropped.
+
+    ``split`` partitions bronze by source, so that a source is read without the
+    others. Turn it off where nearly every file has a name, and so a source, of its own.
+
+    One limit paces a batch: ``max_files``, or ``max_bytes`` with ``max_files=None``.
     """
 
     table: str
@@ -76,10 +88,11 @@ class Feed:
     header: bool = True
     delimiter: str = ","
     max_files: int | None = 1000
-    max_bytes: int | str | None = "10g"
+    max_bytes: int | str | None = None
     options: Mapping[str, object] | None = None
     rules: tuple[SourceRule, ...] = ()
     merge_small_files: bool = False
+    split: bool = True
     comment: str | None = None
     properties: Mapping[str, object] = field(default_factory=dict)
 
@@ -96,6 +109,10 @@ class Feed:
             f" ingestDate date, value string, fileMetadata {_METADATA}{data}, source string"
         )
 
+    @property
+    def partitions(self) -> list[str]:
+        return ["source"] if self.split else []
+
     def read(self, spark: SparkSession, path: str, *, streaming: bool = True) -> DataFrame:
         paced = {
             "skip_rows": self.skip_rows, "max_files": self.max_files, "max_bytes": self.max_bytes,
@@ -164,7 +181,7 @@ class DropZone:
             routed,
             self._bronze_path(feed),
             f"{self.root}/checkpoints/bronze/{feed.table}",
-            partition_by=["source"],
+            partition_by=feed.partitions,
             every=every,
         )
 
@@ -177,8 +194,25 @@ class DropZone:
         return self._routed(self._feed(table)).drop("source")
 
     def sources(self, table: str | None = None) -> DataFrame:
-        """File names that have landed, and their sources."""
-        return landed_sources(self._routed(self._feed(table)))
+        """File names that have landed, and their sources.
+
+        They are noted for each batch of bronze once, so only new bronze files are looked at.
+        """
+        feed = self._feed(table)
+        noted = f"{self.root}/landed/{feed.table}"
+        checkpoint = f"{self.root}/checkpoints/landed/{feed.table}"
+        flow = flow_identity(self.spark, checkpoint)
+
+        def note(batch: DataFrame, batch_id: int) -> None:
+            path = f"{noted}/flow={flow}/batch_id={batch_id}"
+            landed_sources(batch).write.mode("overwrite").parquet(path)
+
+        stream = self._routed(feed, streaming=True, max_files=_LISTED).select("inputFileName", "source")
+        await_all([for_each_batch(stream, note, checkpoint)])
+        rows = "inputFileName string, source string"
+        if not Folder(self.spark, noted).exists():
+            return self.spark.createDataFrame([], rows)
+        return self.spark.read.schema(rows).parquet(f"{noted}/*/*").distinct()
 
     def split(self, source: str, table: str | None = None) -> DataFrame:
         """Landed rows of one source; no other source is read."""
@@ -189,7 +223,7 @@ class DropZone:
         feed = self._feed(table)
         declare_table(
             self.spark, feed.table, self._bronze_path(feed), feed.schema,
-            comment=feed.comment, properties=feed.properties, partition_by=["source"],
+            comment=feed.comment, properties=feed.properties, partition_by=feed.partitions,
         )
         # One name per source, as few as there are folders.
         sources = [r.source for r in self.sources(feed.table).select("source").distinct().collect()]
@@ -219,8 +253,7 @@ class DropZone:
             rows.write.mode("overwrite").parquet(path)
             return self.spark.read.schema(rows.schema).parquet(path)
 
-        # Bronze is read once, for the list of sources.
-        landed = publish("landed_sources", self.sources(feed.table).select("source").distinct())
+        landed = publish("landed_sources", self.sources(feed.table))
         registry = self.registry()
         return (
             publish("unknown_sources", unknown_sources(landed, registry, suffix=self.suffix)),
@@ -243,12 +276,13 @@ class DropZone:
             raise KeyError(f"no schema for {name!r}")
         return stage(self.split(name + self.suffix, table), row.ddl, mode=mode, options=parse_options)
 
-    def start_silver(
+    def _target(
         self,
+        feed: Feed,
         name: str,
+        lines: DataFrame,
         ddl: str,
         keys: Sequence[str],
-        table: str | None = None,
         *,
         sequence_by: str | Sequence[str] = SEQUENCE,
         mode: str = "permissive",
@@ -261,36 +295,34 @@ class DropZone:
         except_columns: Sequence[str] = (),
         track: Sequence[str] | None = None,
         track_except: Sequence[str] = (),
-        sources: int = 1,
-        every: str | None = None,
-    ) -> StreamingQuery:
-        """Start applying a source's new lines to its keyed table.
-
-        Changes are ordered by when their file was modified, or by columns of
-        their own; a history by one of them. Bronze files of all sources count
-        towards a batch's limit, though only one source's are read, so the
-        limit is raised by the number of ``sources``.
-        """
-        feed = self._feed(table)
+        expectations: Mapping[str, str] | None = None,
+        on_violation: str = "warn",
+    ) -> tuple[DataFrame, ChangeTable, dict[str, object]]:
+        """Change rows made of lines, the table they go to, and what is set aside."""
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
+        if on_violation not in ACTIONS:
+            raise ValueError(f"on_violation must be one of {ACTIONS}")
         sequence = [sequence_by] if isinstance(sequence_by, str) else list(sequence_by)
         declared = declared_schema(ddl).fieldNames()
-        routed = self._routed(
-            feed,
-            streaming=True,
-            max_files=feed.max_files and feed.max_files * sources,
-            max_bytes=feed.max_bytes and parse_size(feed.max_bytes) * sources,
-        )
-        lines = split_source(routed, name + self.suffix)
         # Dropping is left to the flow, which sets the dropped lines aside.
         parsing = "failfast" if mode == "failfast" else "permissive"
         staged = stage(lines, ddl, mode=parsing, options=parse_options)
+        if expectations and on_violation == "fail":
+            staged = expect(staged, expectations, action="fail")
         unplaced = reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in sequence])
-        reason = F.when(F.col(CORRUPT).isNotNull(), "does not fit the schema").when(
-            unplaced, "has no sequence"
+        broken = broken_rules(expectations or {})
+        reason = (
+            F.when(F.col(CORRUPT).isNotNull(), "does not fit the schema")
+            .when(unplaced, "has no sequence")
+            .when(F.size(broken) > 0, F.concat(F.lit("breaks: "), F.array_join(broken, ", ")))
+        )
+        refused = F.lit(mode == "drop") & F.col(CORRUPT).isNotNull()
+        if on_violation == "drop":
+            refused = refused | (F.size(broken) > 0)
+        origin = F.struct(
+            f"{ORIGIN}.fullFilePath", f"{ORIGIN}.value", reason.alias("reason"), refused.alias("refused")
         )
-        origin = F.struct(f"{ORIGIN}.fullFilePath", f"{ORIGIN}.value", reason.alias("reason"))
         changes = staged.select(
             *[F.col(f"`{c}`") for c in declared], SEQUENCE, LINE_ID,
             F.when(reason.isNotNull(), origin).alias(_ASIDE),
@@ -315,17 +347,104 @@ class DropZone:
             )
         else:
             raise ValueError("scd_type must be 1 or 2")
+        target = ChangeTable(self.spark, f"{self.root}/silver/{name}", rules, **self.table_options)
+        return changes, target, {
+            "set_aside": F.col(_ASIDE).isNotNull(),
+            "refused": F.coalesce(F.col(_ASIDE)["refused"], F.lit(False)),
+            "set_aside_path": f"{self.root}/quarantine/{name}/feed={feed.table}",
+        }
+
+    def start_silver(
+        self,
+        name: str,
+        ddl: str,
+        keys: Sequence[str],
+        table: str | None = None,
+        *,
+        source: str | None = None,
+        every: str | None = None,
+        **options: object,
+    ) -> StreamingQuery:
+        """Start a stream that applies one source's new lines to its keyed table.
+
+        The source is the table's own unless another is named. Options are those of :meth:`refresh_silver`. Bronze files of all sources count
+        towards a batch's limit, though only one source's are read; where a feed has many
+        tables, :meth:`start_all_silver` reads bronze once for all of them.
+        """
+        feed = self._feed(table)
+        routed = self._routed(feed, streaming=True, max_files=feed.max_files, max_bytes=feed.max_bytes)
+        lines = split_source(routed, source or name + self.suffix)
+        changes, target, aside = self._target(feed, name, lines, ddl, keys, **options)
         return apply_stream(
-            changes,
-            ChangeTable(self.spark, f"{self.root}/silver/{name}", rules, **self.table_options),
-            f"{self.root}/checkpoints/silver/{name}/{feed.table}",
-            flow=feed.table,
-            set_aside=F.col(_ASIDE).isNotNull(),
-            apply_set_aside=mode != "drop",
-            set_aside_path=f"{self.root}/quarantine/{name}/feed={feed.table}",
-            every=every,
+            changes, target, f"{self.root}/checkpoints/silver/{name}/{feed.table}",
+            flow=feed.table, every=every, **aside,
         )
 
+    def _ready(self, table: str | None, only: Sequence[str] | None) -> list[Row]:
+        """Registered tables that have landed and are sound; findings are left to the alerts."""
+        _, problems = self.refresh_alerts(table)
+        unsound = {r.table_name for r in problems.select("table_name").collect()}
+        return [
+            r
+            for r in self.registry().select("table_name", "ddl", "keys").orderBy("table_name").collect()
+            if r.table_name not in unsound and (only is None or r.table_name in set(only))
+        ]
+
+    def start_all_silver(
+        self,
+        table: str | None = None,
+        *,
+        only: Sequence[str] | None = None,
+        at_once: int = 8,
+        every: str | None = None,
+        **options: object,
+    ) -> StreamingQuery:
+        """Start one stream that applies a feed's new lines to all its registered tables.
+
+        A batch of bronze is handed to the tables whose sources are in it, ``at_once`` side by
+        side; of a split feed each reads its own files only. The registry is looked at again
+        for every batch: a table registered meanwhile first gets what landed before.
+        """
+        feed = self._feed(table)
+        checkpoint = self._silver_checkpoint(feed)
+        flow = self._silver_flow(feed)
+        sources_at = f"{self.root}/landed_silver/{feed.table}/flow={flow}"
+
+        def seen_before(source: str, batch_id: int) -> bool:
+            if not Folder(self.spark, sources_at).exists():
+                return False
+            seen = self.spark.read.schema("source string, batch_id int").parquet(sources_at)
+            return not seen.where((F.col("source") == source) & (F.col("batch_id") < batch_id)).isEmpty()
+
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            own = batch.select("source").distinct()
+            own.write.mode("overwrite").parquet(f"{sources_at}/batch_id={batch_id}")
+            present = {r.source for r in own.collect()}
+
+            def one(row: Row) -> None:
+                source = row.table_name + self.suffix
+                known = flow in ChangeTable.flows(self.spark, f"{self.root}/silver/{row.table_name}")
+                if not known and seen_before(source, batch_id):
+                    lines = self.split(source, feed.table)
+                elif source in present:
+                    lines = split_source(batch, source)
+                else:
+                    return
+                changes, target, aside = self._target(feed, row.table_name, lines, row.ddl, row["keys"], **options)
+                apply_batch(changes, target, flow=flow, batch_id=batch_id, **aside)
+
+            with ThreadPoolExecutor(at_once) as pool:
+                list(pool.map(one, self._ready(feed.table, only)))
+
+        routed = self._routed(feed, streaming=True, max_files=feed.max_files, max_bytes=feed.max_bytes)
+        return for_each_batch(routed, handle, checkpoint, every=every)
+
+    def _silver_checkpoint(self, feed: Feed) -> str:
+        return f"{self.root}/checkpoints/all_silver/{feed.table}"
+
+    def _silver_flow(self, feed: Feed) -> str:
+        return f"{feed.table}#{flow_identity(self.spark, self._silver_checkpoint(feed))}"
+
     def refresh_silver(
         self,
         table: str | None = None,
@@ -336,26 +455,36 @@ class DropZone:
     ) -> list[str]:
         """Apply new lines to every registered table that has landed and is sound.
 
-        Tables with findings are left to the alerts; they hold up no other table.
-        ``at_once`` bounds the streams that run side by side.
+        Tables with findings are left to the alerts; they hold up no other table. A table
+        registered since the last refresh gets what landed before.
+
+        Options, for all tables alike: ``sequence_by`` (by default when a line's file was
+        modified; else columns; of a history one column and tie breakers; lines that tie are
+        told apart by a digest of path and text, not by their place in the file), ``mode``
+        (``permissive`` makes a row of what could be read of a malformed line and sets the line
+        aside as well, ``drop`` only sets it aside, ``failfast`` stops), ``parse_options``,
+        ``scd_type``, ``ignore_null_updates``, ``delete_when``, ``truncate_when``, ``columns``
+        or ``except_columns``, ``track`` or ``track_except``, and ``expectations`` (name to
+        SQL condition) with ``on_violation``: ``warn`` sets rows that break one aside and
+        applies them, ``drop`` only sets them aside, ``fail`` stops.
         """
-        _, problems = self.refresh_alerts(table)
-        landed = f"{self.root}/alerts/{self._feed(table).table}/landed_sources"
-        sources = self.spark.read.parquet(landed).count()
-        unsound = {r.table_name for r in problems.select("table_name").collect()}
-        ready = [
-            r
-            for r in self.registry().select("table_name", "ddl", "keys").collect()
-            if r.table_name not in unsound and (only is None or r.table_name in set(only))
-        ]
-        for i in range(0, len(ready), at_once):
-            await_all(
-                self.start_silver(
-                    r.table_name, r.ddl, r["keys"], table, **{"sources": sources, **options}
-                )
-                for r in ready[i : i + at_once]
-            )
-        return sorted(r.table_name for r in ready)
+        feed = self._feed(table)
+        ready = self._ready(table, only)
+        empty = self.spark.createDataFrame([], feed.schema).drop("source")
+        for r in ready:  # refuses what cannot be applied before a stream is started
+            self._target(feed, r.table_name, empty, r.ddl, r["keys"], **options)
+        await_all([self.start_all_silver(table, only=only, at_once=at_once, **options)])
+        # Without a new line no batch comes by; what was registered meanwhile is due all the same.
+        flow = self._silver_flow(feed)
+        batches = Folder(self.spark, f"{self._silver_checkpoint(feed)}/commits").names()
+        last = max((int(n) for n in batches if n.isdigit()), default=-1)
+        for r in ready:
+            path = f"{self.root}/silver/{r.table_name}"
+            if last >= 0 and flow not in ChangeTable.flows(self.spark, path):
+                lines = self.split(r.table_name + self.suffix, feed.table)
+                changes, target, aside = self._target(feed, r.table_name, lines, r.ddl, r["keys"], **options)
+                apply_batch(changes, target, flow=flow, batch_id=last, **aside)
+        return [r.table_name for r in ready]
 
     def silver(self, name: str, where: str | None = None) -> DataFrame:
         """Published rows of a keyed table, or those of the keys that meet ``where``."""
@@ -368,15 +497,35 @@ class DropZone:
             self.silver(name).createOrReplaceTempView(f"`{name}`")
         return names
 
+    def publish(
+        self,
+        name: str,
+        *,
+        comment: str | None = None,
+        properties: Mapping[str, object] | None = None,
+        staged: bool = False,
+        table: str | None = None,
+    ) -> str:
+        """Write a keyed table's rows, or with ``staged`` its typed change rows, for the catalog.
+
+        The catalog's table has the comment and properties given; its name is returned, ``name``
+        or ``<name>_stage`` with underscores for what the catalog does not take.
+        """
+        shown = f"{name}_stage" if staged else name
+        rows = self.stage(name, table).drop(ORIGIN) if staged else self.silver(name)
+        path = f"{self.root}/published/{shown}/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return declare_table(self.spark, shown, path, rows.schema, comment=comment, properties=properties)
+
     def quarantine(self, name: str) -> DataFrame | None:
-        """Lines that did not fit the table's schema or have no sequence, with their files.
+        """Lines that did not fit the table's schema, have no sequence or break an expectation.
 
         None if there have been none.
         """
         path = f"{self.root}/quarantine/{name}"
         if not Folder(self.spark, path).exists():
             return None
-        return self.spark.read.parquet(path).select(f"{_ASIDE}.*")
+        return self.spark.read.parquet(path).select(*[f"{_ASIDE}.{c}" for c in ("fullFilePath", "value", "reason")])
 
     def run(
         self, ddl_folder: str, keys: str | Mapping[str, Sequence[str]], **options: object

@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from landfold.functions.structs import explode_arrays, flatten
@@ -27,7 +27,7 @@ from landfold.sources.tables import read_table
 from landfold.streaming.change_table import ChangeTable
 from landfold.streaming.flows import append, apply_stream, await_all
 from landfold.streaming.folder import Folder
-from landfold.workspace import work_folder
+from landfold.workspace import materialise, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,10 +79,8 @@ def _landed(spark: SparkSession, sf: str, name: str, write: Callable[[str], None
 
 
 def _event_lines(spark: SparkSession, sf: str) -> DataFrame:
-    # Spark's CSV writer would cut timestamps to milliseconds, their text is exact.
-    return table(spark, sf, "events").select(
-        *[F.col(c).cast("string").alias(c) if c == "ts" else c for c in EVENT_COLUMNS]
-    )
+    # The CSV writer would cut timestamps to milliseconds, their text is exact.
+    return _as_text(table(spark, sf, "events").select(*EVENT_COLUMNS))
 
 
 def land_events(spark: SparkSession, sf: str) -> str:
@@ -95,14 +93,23 @@ def land_events(spark: SparkSession, sf: str) -> str:
     return _landed(spark, sf, "events", write)
 
 
+_ORDER_COLUMNS = (
+    "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+)
+
+
+def _as_text(rows: DataFrame) -> DataFrame:
+    """Timestamps as the text that SQL has for them, not as the CSV writer's."""
+    stamps = {f.name for f in rows.schema.fields if f.dataType.typeName().startswith("timestamp")}
+    return rows.select(*[F.col(c).cast("string").alias(c) if c in stamps else c for c in rows.columns])
+
+
 def land_orders(spark: SparkSession, sf: str) -> str:
-    """Orders as CSV files without quotes, eight files at least."""
+    """Orders, all columns of them, as eight CSV files without quotes."""
 
     def write(path: str) -> None:
-        orders = table(spark, sf, "orders")
-        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority").write.option(
-            "header", True
-        ).option("maxRecordsPerFile", math.ceil(orders.count() / 8)).csv(path)
+        orders = _as_text(table(spark, sf, "orders").select(*_ORDER_COLUMNS))
+        orders.repartition(8, "o_orderkey").write.option("header", True).csv(path)
 
     return _landed(spark, sf, "orders", write)
 
@@ -120,7 +127,8 @@ def _zone(spark: SparkSession, name: str, landing: str, *feeds: Feed) -> DropZon
 # --- sources -------------------------------------------------------------------
 
 _ORDER_LINES = (
-    "SELECT concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_orderpriority) AS value FROM orders"
+    "SELECT concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)"
+    " AS value FROM orders"
 )
 
 
@@ -131,27 +139,52 @@ def ingest_lines(spark: SparkSession, sf: str) -> DataFrame:
     return zone.bronze().select("value")
 
 
-@query("ingest_rate_limited", _ORDER_LINES)
+@query(
+    "ingest_rate_limited",
+    f"SELECT value, limited_by, batches FROM ({_ORDER_LINES}),"
+    " (VALUES ('files', 4), ('bytes', 8)) AS limits(limited_by, batches)",
+)
 def ingest_rate_limited(spark: SparkSession, sf: str) -> DataFrame:
-    """In four batches, however many files there are."""
+    """Eight files, two at a time or a byte at a time; how many batches that makes."""
     landing = land_orders(spark, sf)
-    feed = Feed("orders", max_files=_quarter_of_files(spark, landing))
-    zone = _zone(spark, "ingest-rate-limited", landing, feed)
+    limits = {"files": {"max_files": 2}, "bytes": {"max_files": None, "max_bytes": 1}}
+    zone = _zone(spark, "ingest-rate-limited", landing, *[Feed(t, **limit) for t, limit in limits.items()])
     zone.ingest()
-    return zone.bronze().select("value")
+    parts = []
+    for t in limits:
+        batches = zone.bronze(t).agg(F.count_distinct("ingestTime").cast("int")).first()[0]
+        parts.append(
+            zone.bronze(t).select("value", F.lit(t).alias("limited_by"), F.lit(batches).alias("batches"))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "ingest_unsplit",
+    "SELECT event_type || '_csv' AS source, event_id, ts, user_id, event_type, value, props FROM events",
+)
+def ingest_unsplit(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze in one folder, whatever its sources; a source is still told from the others."""
+    zone = _zone(spark, "ingest-unsplit", land_events(spark, sf), Feed("events", rules=BY_TYPE, split=False))
+    zone.ingest()
+    kinds = [r.source for r in zone.sources().select("source").distinct().collect()]
+    parts = [
+        stage(zone.split(kind), EVENTS_DDL).select(F.lit(kind).alias("source"), *EVENT_COLUMNS) for kind in kinds
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(
     "ingest_skip_rows",
-    "SELECT concat_ws(',', c_custkey, c_name, c_nationkey, c_mktsegment) AS value FROM customer",
+    "SELECT concat_ws(',', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment) AS value FROM customer",
 )
 def ingest_skip_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Files with two lines of preamble, a blank line and a header."""
 
     def write(path: str) -> None:
         customer = table(spark, sf, "customer")
-        line = F.concat_ws(",", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-        head = "exported by billing\nconfidential\n\nkey,name,nation,segment\n"
+        line = F.concat_ws(",", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+        head = "exported by billing\nconfidential\n\nkey,name,nation,balance,segment\n"
         # A text writer puts the head before the first line of each of its tasks.
         first = F.monotonically_increasing_id() % F.lit(1 << 33) == 0
         customer.select(
@@ -292,19 +325,66 @@ def route_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "declared_table",
-    "SELECT event_type || '_csv' AS source, 'purchase events' AS comment, count(*) AS n FROM events GROUP BY 1",
+    "SELECT event_type || '_csv' AS source, 'purchase events' AS comment, 'bronze' AS quality, count(*) AS n"
+    " FROM events GROUP BY 1",
 )
 def declared_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Bronze by its name in the catalog, with its comment."""
+    """Bronze by its name in the catalog, with its comment and properties."""
     name = f"events_{uuid.uuid4().hex[:12]}"
     feed = Feed(name, rules=BY_TYPE, comment="purchase events", properties={"quality": "bronze"})
     zone = _zone(spark, "declared-table", land_events(spark, sf), feed)
     zone.ingest()
     zone.declare_bronze()
+    comment, quality, rows = _catalogued(spark, name)
+    return rows.groupBy("source", F.lit(comment).alias("comment"), F.lit(quality).alias("quality")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def _catalogued(spark: SparkSession, name: str) -> tuple[str, str, DataFrame]:
+    """Comment, quality and rows of a table; its name is dropped again, not its files."""
     comment = spark.catalog.getTable(name).description
+    quality = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES `{name}`").collect()}["quality"]
     rows = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")  # the name only, not the files
-    return rows.groupBy("source", F.lit(comment).alias("comment")).agg(F.count(F.lit(1)).alias("n"))
+    spark.sql(f"DROP TABLE `{name}`")
+    return comment, quality, rows
+
+
+_BY_NAME = ("events", "orders")
+
+
+def _land_by_name(spark: SparkSession, sf: str) -> str:
+    """Files that all have their table's name, each in a folder of its own."""
+
+    def write(path: str) -> None:
+        for name in _BY_NAME:
+            rows = _as_text(table(spark, sf, name))
+            rows.repartition(3, rows.columns[0]).write.option("header", True).csv(f"{path}/_{name}")
+            files = Folder(spark, path)
+            parts = [n for n in files.names(f"_{name}") if n.startswith("part-")]
+            for i, part in enumerate(parts):
+                files.move(f"_{name}/{part}", f"day{i}/{name}.csv", at=1_700_000_000 + 86_400 * i)
+            files.delete(f"_{name}")
+
+    return _landed(spark, sf, "by-name", write)
+
+
+@query(
+    "route_by_file_name",
+    "SELECT 'events.csv' AS file, 'events_csv' AS source, 3 AS files, count(*) AS n, sum(event_id)::BIGINT AS keys"
+    " FROM events UNION ALL SELECT 'orders.csv', 'orders_csv', 3, count(*), sum(o_orderkey)::BIGINT FROM orders",
+)
+def route_by_file_name(spark: SparkSession, sf: str) -> DataFrame:
+    """No rules: files of one name, in whatever folder, are one source."""
+    zone = _zone(spark, "route-by-name", _land_by_name(spark, sf), Feed("landed"))
+    zone.ingest()
+    named = zone.sources().select(F.col("inputFileName").alias("file"), "source")
+    lines = zone._routed(zone.feeds["landed"]).groupBy("source").agg(
+        F.count_distinct("fullFilePath").cast("int").alias("files"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.split_part("value", F.lit(","), F.lit(1)).cast("bigint")).alias("keys"),
+    )
+    return named.join(lines, "source")
 
 
 @query("split_source", "SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'")
@@ -334,6 +414,16 @@ def unknown(spark: SparkSession, sf: str) -> DataFrame:
     return unknown_sources(landed_sources(with_source(bronze, BY_TYPE)), registry)
 
 
+def _land_star(spark: SparkSession, sf: str) -> str:
+    """Small tables as CSV files, in one folder per table."""
+
+    def write(path: str) -> None:
+        for name in ("region", "nation", "customer", "part", "supplier"):
+            table(spark, sf, name).write.option("header", True).csv(f"{path}/{name}")
+
+    return _landed(spark, sf, "star", write)
+
+
 @query(
     "registry_coverage",
     """
@@ -343,30 +433,34 @@ def unknown(spark: SparkSession, sf: str) -> DataFrame:
     UNION ALL SELECT 'part', 'no keys', 6, count(*) FROM part
     UNION ALL SELECT 'supplier', 'unknown', NULL, count(*) FROM supplier
     UNION ALL SELECT 'orders', 'no file has landed', 6, NULL
+    UNION ALL SELECT 'lineitem', 'schema cannot be parsed', NULL, NULL
+    UNION ALL SELECT 'events', 'no schema', NULL, NULL
     """,
 )
 def registry_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Registry files made from the tables' schemas, held against what has landed."""
-    names = ("region", "nation", "customer", "part", "supplier")
-
-    def write(path: str) -> None:
-        for name in names:
-            table(spark, sf, name).write.option("header", True).csv(f"{path}/{name}")
-
-    landing = _landed(spark, sf, "star", write)
-    zone = _zone(spark, "registry-coverage", landing, Feed("star", rules=((r"/(\w+)/[^/]+\.csv$", "$1_csv"),)))
+    zone = _zone(spark, "registry-coverage", _land_star(spark, sf), Feed("star", rules=((r"/(\w+)/[^/]+\.csv$", "$1_csv"),)))
     zone.ingest()
 
     ddl_folder = f"{zone.root}/ddl"
     for name in ("region", "nation", "customer", "part", "orders"):
         Folder(spark, ddl_folder).publish(f"{name}.ddl", table(spark, sf, name).schema.simpleString())
-    zone.load_registry(
-        ddl_folder,
-        {
-            "region": ["r_regionkey"], "nation": ["n_nation"], "customer": ["c_custkey"],
-            "orders": ["o_orderkey"],
-        },
+    Folder(spark, ddl_folder).publish("lineitem.ddl", "struct<l_orderkey:>")
+    Folder(spark, zone.root).publish(
+        "keys.py",
+        """# natural keys, by table
+region = ["r_regionkey"]
+nation = [
+    "n_nation",  # not one of its columns
+]
+customer = ['c_custkey']
+orders = ["o_orderkey"]
+lineitem = ["l_orderkey",
+            "l_linenumber"]
+events = ["event_id"]
+""",
     )
+    zone.load_registry(ddl_folder, f"{zone.root}/keys.py")
     unknown_rows, problems = zone.refresh_alerts()
     lines = (
         zone._routed(zone.feeds["star"])
@@ -374,11 +468,14 @@ def registry_coverage(spark: SparkSession, sf: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_lines"))
     )
     known = zone.registry().select(
-        "table_name", F.size(F.split("ddl", ":")).cast("int").alias("columns_and_one")
+        "table_name",
+        F.when(~F.contains("ddl", F.lit(":>")), F.size(F.split("ddl", ":"))).cast("int").alias("columns_and_one"),
     )
-    found = unknown_rows.select("table_name", F.lit("unknown").alias("status")).unionByName(
-        problems.select("table_name", F.col("problem").alias("status"))
+    # A table that has never landed may have other findings as well; one of them tells.
+    first = problems.groupBy("table_name").agg(
+        F.max_by("problem", F.col("problem") != "no file has landed").alias("status")
     )
+    found = unknown_rows.select("table_name", F.lit("unknown").alias("status")).unionByName(first)
     return (
         known.join(lines, "table_name", "full_outer")
         .join(found, "table_name", "left")
@@ -409,14 +506,15 @@ def stage_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "quarantine",
-    "SELECT event_id, CASE WHEN props LIKE '%7}' THEN 'set aside' ELSE 'kept' END AS status FROM events",
+    "SELECT event_id, CASE WHEN props LIKE '%7}' THEN event_id || ',' || user_id || ',' || event_type END AS line,"
+    " CASE WHEN props LIKE '%7}' THEN 'does not fit the schema' ELSE 'kept' END AS reason FROM events",
 )
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines that lost their last fields, told from those that are whole."""
+    """Lines that lost some of their fields, told from those that are whole."""
 
     def write(path: str) -> None:
         line = F.to_csv(F.struct(*EVENT_COLUMNS))
-        cut = F.concat_ws(",", "event_id", "ts")
+        cut = F.concat_ws(",", "event_id", "user_id", "event_type")
         _event_lines(spark, sf).select(
             F.when(F.col("props").like("%7}"), cut).otherwise(line).alias("value")
         ).write.text(path)
@@ -427,13 +525,16 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     _load_events_registry(zone)
     zone.refresh_silver(mode="permissive", **_PICK)
     aside = zone.quarantine("events")
-    kept = stage(zone.bronze(), EVENTS_DDL, mode="drop").select("event_id", F.lit("kept").alias("status"))
+    kept = stage(zone.bronze(), EVENTS_DDL, mode="drop").select(
+        "event_id", F.lit(None).cast("string").alias("line"), F.lit("kept").alias("reason")
+    )
     if aside is None:
         return kept
     return kept.unionByName(
         aside.select(
             F.split_part("value", F.lit(","), F.lit(1)).cast("bigint").alias("event_id"),
-            F.lit("set aside").alias("status"),
+            F.col("value").alias("line"),
+            "reason",
         )
     )
 
@@ -546,7 +647,7 @@ def scd1_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
     return zone.silver("events")
 
 
-@query("scd1_replayed", _LATEST)
+@query("scd1_replayed", f"SELECT *, 2 AS flows FROM ({_LATEST})")
 def scd1_replayed(spark: SparkSession, sf: str) -> DataFrame:
     """A stream of several batches, and then all of it once more under another name."""
     landing = land_events(spark, sf)
@@ -560,7 +661,104 @@ def scd1_replayed(spark: SparkSession, sf: str) -> DataFrame:
     )
     for flow in ("first", "again"):
         apply_stream(changes, target, f"{root}/checkpoints/{flow}", flow=flow).awaitTermination()
-    return target.read()
+    return target.read().withColumn("flows", F.lit(len(target.applied())))
+
+
+_STAR = {
+    "region": ("r_regionkey", "r_name"),
+    "nation": ("n_nationkey", "n_name"),
+    "customer": ("c_custkey", "c_name"),
+    "part": ("p_partkey", "p_name"),
+    "supplier": ("s_suppkey", "s_name"),
+}
+
+
+@query(
+    "silver_many_sources",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {k} AS key, {n} AS name FROM {t}" for t, (k, n) in _STAR.items()
+    ),
+)
+def silver_many_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """One pass over bronze for all tables; the last is registered after the others were filled."""
+    zone = _zone(
+        spark, "many-sources", _land_star(spark, sf), Feed("star", rules=((r"/(\w+)/[^/]+\.csv$", "$1_csv"),))
+    )
+    zone.ingest()
+    folder = Folder(spark, f"{zone.root}/ddl")
+    late = "supplier"
+    for names in ([t for t in _STAR if t != late], [late]):
+        for name in names:
+            folder.publish(f"{name}.ddl", table(spark, sf, name).schema.simpleString())
+        zone.load_registry(f"{zone.root}/ddl", {t: [k] for t, (k, _) in _STAR.items()})
+        zone.refresh_silver()
+    parts = [
+        zone.silver(t).select(F.lit(t).alias("table_name"), F.col(k).alias("key"), F.col(n).alias("name"))
+        for t, (k, n) in _STAR.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("silver_by_file_time", _LATEST)
+def silver_by_file_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of one name, ordered by their modification times alone; the newest land first.
+
+    Each file holds a user's last event of its span of time, as a sender's snapshot would.
+    """
+    landing = work_folder(spark, "by-time-landing")
+    files = Folder(spark, landing)
+    events = table(spark, sf, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    third = (last - first) / 3
+    cuts = [first, first + third, first + 2 * third, None]
+    zone = _zone(spark, "by-time", landing, Feed("landed"))
+    _load_events_registry(zone)
+    for i in (2, 1, 0):
+        span = F.col("ts") >= F.lit(cuts[i])
+        if cuts[i + 1] is not None:
+            span = span & (F.col("ts") < F.lit(cuts[i + 1]))
+        newest = events.where(span).groupBy("user_id").agg(
+            *[F.max_by(c, F.struct("ts", "event_id")).alias(c) for c in EVENT_COLUMNS if c != "user_id"]
+        )
+        _as_text(newest.select(*EVENT_COLUMNS)).write.option("header", True).csv(f"{landing}/_drop{i}")
+        for n, part in enumerate(p for p in files.names(f"_drop{i}") if p.startswith("part-")):
+            files.move(f"_drop{i}/{part}", f"drop{i}/{n}/events.csv", at=1_700_000_000 + 86_400 * i)
+        files.delete(f"_drop{i}")
+        zone.ingest()
+        zone.refresh_silver(**_PICK)
+    return zone.silver("events")
+
+
+@query(
+    "silver_expectations",
+    "SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type,"
+    " arg_max(value, (ts, event_id)) AS value FROM events"
+    " WHERE value >= 10 AND event_type <> 'error' GROUP BY user_id",
+)
+def silver_expectations(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that break a rule are set aside and not applied."""
+    return _silver(
+        spark, sf, "silver-expectations", sequence_by=_EVENT_ORDER, expectations=_RULES, on_violation="drop", **_PICK
+    )
+
+
+@query(
+    "published_table",
+    f"SELECT *, 'last event of each user' AS comment, 'silver' AS quality FROM ({_LATEST})",
+)
+def published_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A keyed table by its name in the catalog, with its comment and properties."""
+    zone = _zone(spark, "published", land_events(spark, sf), Feed("events", rules=AS_EVENTS))
+    zone.ingest()
+    name = f"events_{uuid.uuid4().hex[:12]}"
+    Folder(spark, f"{zone.root}/ddl").publish(f"{name}.ddl", EVENTS_DDL)
+    zone.load_registry(f"{zone.root}/ddl", {name: ["user_id"]})
+    zone.start_silver(
+        name, EVENTS_DDL, ["user_id"], sequence_by=_EVENT_ORDER, source="events_csv", **_PICK
+    ).awaitTermination()
+    zone.publish(name, comment="last event of each user", properties={"quality": "silver"})
+    comment, quality, rows = _catalogued(spark, name)
+    return rows.withColumns({"comment": F.lit(comment), "quality": F.lit(quality)})
 
 
 @query(
@@ -692,6 +890,37 @@ def scd2_untracked(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "scd2_ignore_nulls",
+    """
+    WITH given AS (
+      SELECT user_id, ts, CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
+             CASE WHEN value >= 10 THEN floor(value / 50) END AS band FROM events
+    ), filled AS (
+      SELECT user_id, ts, last_value(event_type IGNORE NULLS) OVER w AS event_type,
+             last_value(band IGNORE NULLS) OVER w AS band
+      FROM given WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+    ), marked AS (
+      SELECT *, row_number() OVER w AS n, lag(event_type) OVER w AS e, lag(band) OVER w AS b
+      FROM filled WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+    )
+    SELECT user_id, event_type, band, ts AS "__START_AT",
+           lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS "__END_AT"
+    FROM marked WHERE n = 1 OR event_type IS DISTINCT FROM e OR band IS DISTINCT FROM b
+    """,
+)
+def scd2_ignore_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """A null leaves the value of the span before in place."""
+    changes = _changes(spark, sf).select(
+        "user_id", "ts", "event_id",
+        F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_type"),
+        F.when(F.col("value") >= 10, F.floor(F.col("value") / 50).cast("double")).alias("band"),
+    )
+    return apply_changes_history(
+        changes, ["user_id"], "ts", tie_breakers=["event_id"], columns=["event_type", "band"]
+    )
+
+
 @query(
     "scd2_deletes",
     """
@@ -737,3 +966,38 @@ def expect_drop(spark: SparkSession, sf: str) -> DataFrame:
 def expect_violations(spark: SparkSession, sf: str) -> DataFrame:
     broken = violations(table(spark, sf, "events"), _RULES)
     return broken.select("event_id", F.concat_ws(", ", "broken").alias("broken"))
+
+
+@query(
+    "expect_warn",
+    "SELECT event_id, event_type, value, (SELECT count(*) FILTER (WHERE value < 10) FROM events) AS too_small"
+    " FROM events",
+)
+def expect_warn(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row passes, and the broken ones are counted while they do."""
+    seen = Observation()
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    rows = materialise(expect(events, _RULES, action="warn", observe=seen), "expect-warn")
+    return rows.withColumn("too_small", F.lit(seen.get["large enough"]))
+
+
+@query(
+    "expect_fail",
+    "SELECT 'not an error' AS rule, CASE WHEN count(*) FILTER (WHERE event_type = 'error') > 0 THEN 'stopped'"
+    " ELSE 'passed' END AS outcome FROM events"
+    " UNION ALL SELECT 'has an id', CASE WHEN count(*) FILTER (WHERE event_id IS NULL) > 0 THEN 'stopped'"
+    " ELSE 'passed' END FROM events",
+)
+def expect_fail(spark: SparkSession, sf: str) -> DataFrame:
+    """A query stops at a row that breaks a rule, and at none if all rows meet it."""
+    outcomes = []
+    for name, rule in (("not an error", "event_type <> 'error'"), ("has an id", "event_id IS NOT NULL")):
+        checked = expect(table(spark, sf, "events"), {name: rule}, action="fail")
+        try:
+            checked.write.format("noop").mode("overwrite").save()
+            outcomes.append((name, "passed"))
+        except Exception as stopped:
+            if f"expectation '{name}' is broken" not in str(stopped):
+                raise
+            outcomes.append((name, "stopped"))
+    return spark.createDataFrame(outcomes, "rule STRING, outcome STRING")

@@ -14,13 +14,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 
+_BLANK = bytes(range(33))
+
+
 def drop_file_heads(lines: DataFrame, skip_rows: int, *, header: bool) -> DataFrame:
     """Drop ``skip_rows`` lines, and then the header line, of every file."""
     if skip_rows < 0:
         raise ValueError("skip_rows must not be negative")
 
-    # Both functions are local, so they travel with the job and executors need
+    # What runs in tasks is local, so it travels with the job and executors need
     # no copy of this package.
+    blank = _BLANK
+
     def keep(batch: pa.RecordBatch, heads: dict[str, list]) -> np.ndarray:
         meta = batch.column("fileMetadata")
         starts = pc.equal(pc.struct_field(meta, "file_block_start"), 0).to_numpy(zero_copy_only=False)
@@ -29,7 +34,8 @@ def drop_file_heads(lines: DataFrame, skip_rows: int, *, header: bool) -> DataFr
             return kept
         paths = pc.struct_field(meta, "file_path").dictionary_encode()
         codes = paths.indices.to_numpy(zero_copy_only=False)
-        values = batch.column("value")
+        # As bytes: a head need not be valid text.
+        values = batch.column("value").cast(pa.binary())
         for code, path in enumerate(paths.dictionary.to_pylist()):
             rows = np.flatnonzero(starts & (codes == code))
             if rows.size == 0:
@@ -47,7 +53,7 @@ def drop_file_heads(lines: DataFrame, skip_rows: int, *, header: bool) -> DataFr
                     break
                 # The header is the first line left that is not blank.
                 kept[row] = False
-                state[1] = not (values[int(row)].as_py() or "").strip()
+                state[1] = not (values[int(row)].as_py() or b"").strip(blank)
         return kept
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,8 +9,9 @@ Runs are merged when the newer ones together outweigh an older one. A run is
 then larger than all newer ones together: a table of n batches has about log n
 runs, and a row is rewritten about log n times, not once per batch.
 
-A merged run that is large is bucketed by key. Reading it together with newer
-runs then shuffles only those: the table's bulk is merged where it lies.
+A history's spans are stored as well, in buckets by key. A batch works out the
+spans of the keys it touches and rewrites the buckets that hold them, so that
+reading a history is a scan.
 """
 
 from __future__ import annotations
@@ -20,32 +21,30 @@ import threading
 import time
 import uuid
 from collections import defaultdict
+from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfold.operators.changes import ChangeRules, fold, merge, pack, resolve, unpack
-from landfold.operators.history import HistoryRules, history
-from landfold.streaming.catalog import sql_text
+from landfold.operators.history import END, START, HistoryRules, history
 from landfold.streaming.folder import Folder
 
 _LOCKS: dict[str, threading.Lock] = defaultdict(threading.Lock)
 _KEPT_MANIFESTS = 5
-#: Below Spark's own limit on buckets.
-_MOST_BUCKETS = 1 << 16
+_BUCKET = "_bucket"
 _KINDS = {"current": ChangeRules, "history": HistoryRules}
 
 
 @dataclass(frozen=True)
 class Run:
-    """A folder of merged state; ``buckets`` is 0 when it is not bucketed."""
+    """A folder of merged state."""
 
     name: str
     size: int
-    buckets: int = 0
 
 
 @dataclass(frozen=True)
@@ -57,6 +56,10 @@ class _Manifest:
     applied: dict[str, int] = field(default_factory=dict)
     rules: dict = field(default_factory=dict)
     kind: str = "current"
+    #: Of a history: how many buckets it has, the folder that holds each, and their columns.
+    buckets: int = 0
+    history: dict[str, str] = field(default_factory=dict)
+    history_schema: str | None = None
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -64,7 +67,7 @@ class _Manifest:
     @staticmethod
     def from_json(text: str) -> _Manifest:
         raw = json.loads(text)
-        raw["runs"] = tuple(Run(**run) for run in raw["runs"])
+        raw["runs"] = tuple(Run(run["name"], run["size"]) for run in raw["runs"])
         return _Manifest(**raw)
 
 
@@ -83,8 +86,9 @@ class ChangeTable:
     under a name and with batch numbers of its own. Columns may be added later;
     rows from before have nulls there.
 
-    Runs that were merged stay for ``keep_for`` seconds, for queries that still
-    read them.
+    Runs that were merged, and buckets that were rewritten, stay for ``keep_for``
+    seconds, for queries that still read them. ``buckets`` is for histories, and
+    stays as it is when the table is made; more of them rewrite less per batch.
     """
 
     def __init__(
@@ -95,16 +99,18 @@ class ChangeTable:
         *,
         fan_in: int = 4,
         keep_for: float = 6 * 3600,
-        bucket_bytes: int = 128 << 20,
+        buckets: int = 16,
     ) -> None:
         if fan_in < 2:
             raise ValueError("fan_in must be at least 2")
+        if buckets < 1:
+            raise ValueError("buckets must be at least 1")
         self.spark = spark
         self.path = path
         self.rules = rules
         self.fan_in = fan_in
         self.keep_for = keep_for
-        self.bucket_bytes = bucket_bytes
+        self.buckets = buckets
         self._folder = Folder(spark, path)
         self._state_rules = rules.state_rules if isinstance(rules, HistoryRules) else rules
         held = self._manifest()
@@ -112,6 +118,8 @@ class ChangeTable:
             older = _rules_from(held)
             if type(rules) is not type(older) or not rules.extends(older):
                 raise ValueError(f"the table at {path} was built with other rules; use a new path")
+            if held.history and held.buckets != buckets:
+                raise ValueError(f"the table at {path} has {held.buckets} buckets, not {buckets}")
 
     @staticmethod
     def open(spark: SparkSession, path: str) -> ChangeTable:
@@ -119,61 +127,79 @@ class ChangeTable:
         held = _latest(Folder(spark, path))
         if held.version < 0:
             raise FileNotFoundError(f"no change table at {path}")
-        return ChangeTable(spark, path, _rules_from(held))
+        return ChangeTable(spark, path, _rules_from(held), buckets=held.buckets or 16)
+
+    @staticmethod
+    def flows(spark: SparkSession, path: str) -> dict[str, int]:
+        """Number of the last batch applied to the table at ``path``, by flow; none if there is no table."""
+        return _latest(Folder(spark, path)).applied
 
     def _manifest(self) -> _Manifest:
         return _latest(self._folder)
 
-    def _buckets_for(self, size: int) -> int:
-        """Buckets of a run of that many bytes: a power of two, so that growing runs keep theirs."""
-        if not self.bucket_bytes or size < 2 * self.bucket_bytes:
-            return 0
-        return min(1 << (size // self.bucket_bytes).bit_length() - 1, _MOST_BUCKETS)
-
     def _stored(self, held: _Manifest, run: Run) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(held.schema))
-        path = f"{self.path}/runs/{run.name}"
-        if not run.buckets:
-            return self.spark.read.schema(schema).parquet(path)
-        # Buckets are declared in the catalog only, so the run is named there
-        # for as long as it takes to look it up.
-        name = f"landfold_{uuid.uuid4().hex}"
-        keys = ", ".join(f"`{k}`" for k in self._state_rules.state_keys)
-        self.spark.sql(
-            f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet"
-            f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {run.buckets} BUCKETS LOCATION {sql_text(path)}"
-        )
-        try:
-            return self.spark.table(name)
-        finally:
-            self.spark.sql(f"DROP TABLE {name}")
+        return self.spark.read.schema(schema).parquet(f"{self.path}/runs/{run.name}")
 
     def _merged(self, held: _Manifest, runs: tuple[Run, ...]) -> DataFrame:
+        stored = [self._stored(held, run) for run in runs]
         if len(runs) == 1:  # one row per key already
-            return unpack(self._stored(held, runs[0]), self._state_rules)
-        buckets = max(runs, key=lambda run: run.size if run.buckets else -1).buckets
-        keys = [F.col(f"`{k}`") for k in self._state_rules.state_keys]
-        stored = [
-            rows if run.buckets == buckets else rows.repartition(buckets, *keys)
-            for run in runs
-            for rows in [self._stored(held, run)]
-        ]
+            return unpack(stored[0], self._state_rules)
         return merge(reduce(DataFrame.unionByName, stored), self._state_rules)
 
-    def _write_run(self, state: DataFrame, buckets: int = 0) -> Run:
+    def _write_run(self, state: DataFrame) -> Run:
         name = uuid.uuid4().hex
-        stored = pack(state, self._state_rules)
-        path = f"{self.path}/runs/{name}"
-        if buckets:
-            keys = self._state_rules.state_keys
-            # No shuffle if the state is partitioned this way already.
-            stored = stored.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
-            writer = stored.write.format("parquet").option("path", path)
-            writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(f"landfold_{name}")
-            stored.sparkSession.sql(f"DROP TABLE landfold_{name}")
-        else:
-            stored.write.parquet(path)
-        return Run(name, self._folder.size(f"runs/{name}"), buckets)
+        pack(state, self._state_rules).write.parquet(f"{self.path}/runs/{name}")
+        return Run(name, self._folder.size(f"runs/{name}"))
+
+    # --- stored history -----------------------------------------------------
+
+    def _bucket(self) -> Column:
+        keys = [F.col(f"`{k}`") for k in self.rules.keys]
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int").alias(_BUCKET)
+
+    def _spans(self, held: _Manifest, buckets: Iterable[str]) -> DataFrame:
+        """Stored spans of some buckets."""
+        schema = T.StructType.fromJson(json.loads(held.history_schema))
+        by_folder: dict[str, list[int]] = defaultdict(list)
+        for b in buckets:
+            if b in held.history:
+                by_folder[held.history[b]].append(int(b))
+        parts = [
+            self.spark.read.schema(T.StructType([*schema.fields, T.StructField(_BUCKET, T.IntegerType())]))
+            .parquet(f"{self.path}/history/{name}")
+            .where(F.col(_BUCKET).isin(own))
+            .drop(_BUCKET)
+            for name, own in sorted(by_folder.items())
+        ]
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], schema)
+
+    def _touched(self, held: _Manifest, run: Run) -> dict[str, object]:
+        """The manifest's part on history once the spans of a run's keys are worked out anew.
+
+        Only the numbers of the touched buckets come to the driver.
+        """
+        rules = self.rules
+        keys = self._stored(held, run).select(*[F.col(f"`{k}`") for k in rules.keys]).distinct()
+        buckets = [str(r[0]) for r in keys.select(self._bucket()).distinct().collect()]
+        named = keys.select(*[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(rules.keys)])
+
+        def of_keys(rows: DataFrame, how: str) -> DataFrame:
+            same = [rows[f"`{k}`"].eqNullSafe(named[f"_key{i}"]) for i, k in enumerate(rules.keys)]
+            return rows.join(named, reduce(Column.__and__, same), how)
+
+        state = of_keys(resolve(self._merged(held, held.runs), self._state_rules), "left_semi")
+        name = uuid.uuid4().hex
+        scratch = f"scratch/{name}"
+        spans = history(state, rules, f"{self.path}/{scratch}")
+        schema = spans.schema.json()
+        if held.history:
+            wider = replace(held, history_schema=schema)
+            spans = spans.unionByName(of_keys(self._spans(wider, buckets), "left_anti"))
+        rows = spans.withColumn(_BUCKET, self._bucket()).hint("rebalance", _BUCKET)
+        rows.write.partitionBy(_BUCKET).parquet(f"{self.path}/history/{name}")
+        self._folder.delete(scratch)
+        return {"history": {**held.history, **dict.fromkeys(buckets, name)}, "history_schema": schema}
 
     def _publish(self, held: _Manifest, **changes: object) -> _Manifest:
         new = replace(held, version=held.version + 1, **changes)
@@ -203,13 +229,19 @@ class ChangeTable:
             # table moved on; then only its number is noted.
             nothing = self.spark.read.parquet(f"{self.path}/runs/{run.name}").isEmpty()
             new = () if nothing else (run,)
+            is_history = isinstance(rules, HistoryRules)
+            coming = replace(held, schema=schema, runs=(*held.runs, *new))
+            spans = self._touched(coming, run) if is_history and new else {}
+            replaced = set(held.history.values()) - set(spans.get("history", held.history).values())
+            # Run, spans and batch number appear together.
             held = self._publish(
-                held,
-                schema=schema,
-                runs=(*held.runs, *new),
+                coming,
                 applied={**held.applied, flow: batch_id},
                 rules=asdict(rules),
-                kind="history" if isinstance(rules, HistoryRules) else "current",
+                kind="history" if is_history else "current",
+                buckets=self.buckets if is_history else 0,
+                retired={**held.retired, **dict.fromkeys(replaced, time.time())},
+                **spans,
             )
             start = runs_to_merge([run.size for run in held.runs], self.fan_in)
             if start is not None:
@@ -229,31 +261,30 @@ class ChangeTable:
 
     def _merge_from(self, held: _Manifest, start: int) -> None:
         runs = held.runs[start:]
-        buckets = self._buckets_for(sum(run.size for run in runs))
-        run = self._write_run(self._merged(held, runs), buckets)
-        present = self._folder.ages("runs")
+        run = self._write_run(self._merged(held, runs))
+        present = {**self._folder.ages("runs"), **self._folder.ages("history")}
         retired = {name: at for name, at in held.retired.items() if name in present}
         retired |= {old.name: time.time() for old in runs}
         self._publish(held, runs=(*held.runs[:start], run), retired=retired)
 
     def compact(self) -> None:
-        """Merge all runs into one, bucketed if it is large."""
+        """Merge all runs into one, so that reading current rows needs no shuffle."""
         with _LOCKS[self.path]:
             held = self._manifest()
-            alone = len(held.runs) == 1
-            if not held.runs or (alone and held.runs[0].buckets == self._buckets_for(held.runs[0].size)):
+            if len(held.runs) < 2:
                 return
             self._merge_from(held, 0)
             self._tidy()
 
     def _tidy(self) -> None:
-        """Delete runs that were merged long ago, or left by a batch that was cut short."""
+        """Delete what was replaced long ago, or left by a batch that was cut short."""
         held = self._manifest()
         long_ago = time.time() - self.keep_for
-        live = {run.name for run in held.runs}
-        for run, changed in self._folder.ages("runs").items():
-            if run not in live and held.retired.get(run, changed) < long_ago:
-                self._folder.delete(f"runs/{run}")
+        live = {run.name for run in held.runs} | set(held.history.values())
+        for kind in ("runs", "history", "scratch"):
+            for name, changed in self._folder.ages(kind).items():
+                if name not in live and held.retired.get(name, changed) < long_ago:
+                    self._folder.delete(f"{kind}/{name}")
         for name in [n for n in self._folder.names("manifests") if n.endswith(".json")][:-_KEPT_MANIFESTS]:
             self._folder.delete(f"manifests/{name}")
 
@@ -268,17 +299,25 @@ class ChangeTable:
         return self._merged(held, held.runs)
 
     def read(self, where: str | None = None) -> DataFrame:
-        """The published rows, or those of the keys that meet ``where``.
-
-        A history is worked out for the chosen keys only, so name them here
-        rather than filter its result.
-        """
-        rows = resolve(self.state(), self._state_rules)
+        """The published rows, or those of the keys that meet ``where``. Reading writes nothing."""
+        if isinstance(self.rules, HistoryRules):
+            held = self._manifest()
+            if held.schema is None:
+                raise FileNotFoundError(f"nothing has been applied to {self.path}")
+            if held.history_schema is None:  # batches without a row so far
+                rows = resolve(self.state(), self._state_rules).drop("_deleted")
+                at = F.col(f"`{self.rules.sequence_by}`")
+                order = [*self.rules.keys, *self.rules.columns]
+                rows = rows.select(*[F.col(f"`{c}`") for c in order], at.alias(START), at.alias(END)).where("false")
+            else:
+                rows = self._spans(held, sorted(held.history, key=int))
+        else:
+            rows = resolve(self.state(), self._state_rules)
         if where is not None:
             keys = T.StructType([f for f in rows.schema.fields if f.name in self.rules.keys])
             self.spark.createDataFrame([], keys).where(where)  # refuses any other column
             rows = rows.where(where)
-        return history(rows, self.rules) if isinstance(self.rules, HistoryRules) else rows
+        return rows
 
 
 def _types(schema: T.StructType, prefix: str = "") -> dict[str, str]:

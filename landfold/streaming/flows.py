@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -48,9 +48,9 @@ def append(
     return _started(writer, checkpoint, every, name)
 
 
-def _identity(table: ChangeTable, checkpoint: str) -> str:
+def flow_identity(spark: SparkSession, checkpoint: str) -> str:
     """A name that lasts as long as the checkpoint does."""
-    folder = Folder(table.spark, checkpoint)
+    folder = Folder(spark, checkpoint)
     if not folder.exists("flow"):
         folder.publish("flow", uuid.uuid4().hex)
     return folder.read("flow")
@@ -64,6 +64,36 @@ def _count(seen: Observation) -> int | None:
         return None
 
 
+def apply_batch(
+    batch: DataFrame,
+    table: ChangeTable,
+    *,
+    flow: str,
+    batch_id: int,
+    set_aside: Column | None = None,
+    set_aside_path: str | None = None,
+    refused: Column | None = None,
+) -> None:
+    """Apply one batch of changes, and write the rows to ``set_aside`` below ``set_aside_path``.
+
+    Rows that are ``refused`` are not applied. Rows set aside are counted while the
+    batch is folded, so a batch without any costs no second pass.
+    """
+    rows = batch if refused is None else batch.where(~refused)
+    if set_aside is None:
+        table.apply(rows, flow=flow, batch_id=batch_id)
+        return
+    seen = Observation()
+    rows = batch.observe(seen, F.count_if(set_aside).alias("n"))
+    if refused is not None:
+        rows = rows.where(~refused)
+    # A batch that comes again is not folded, so not counted either.
+    n = _count(seen) if table.apply(rows, flow=flow, batch_id=batch_id) else None
+    aside = batch.where(set_aside)
+    if n or (n is None and not aside.isEmpty()):
+        aside.write.mode("overwrite").parquet(f"{set_aside_path}/batch_id={batch_id}")
+
+
 def apply_stream(
     changes: DataFrame,
     table: ChangeTable,
@@ -72,38 +102,36 @@ def apply_stream(
     flow: str = "",
     set_aside: Column | None = None,
     set_aside_path: str | None = None,
-    apply_set_aside: bool = True,
+    refused: Column | None = None,
     every: str | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Apply a stream of changes to a keyed target.
+    """Apply a stream of changes to a keyed target, batch by batch as :func:`apply_batch` does.
 
     Batches are counted per checkpoint: with a new checkpoint everything is
     applied again, which changes nothing that was applied before.
-
-    Rows that meet ``set_aside`` are written to ``set_aside_path``, one folder
-    per batch, and are applied as well unless ``apply_set_aside`` is false. They
-    are counted while the batch is folded, so a batch without any costs no
-    second pass.
     """
-
-    counted = f"{flow}#{_identity(table, checkpoint)}"
+    counted = f"{flow}#{flow_identity(table.spark, checkpoint)}"
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        if set_aside is None:
-            table.apply(batch, flow=counted, batch_id=batch_id)
-            return
-        seen = Observation()
-        rows = batch.observe(seen, F.count_if(set_aside).alias("n"))
-        if not apply_set_aside:
-            rows = rows.where(~set_aside)
-        # A batch that comes again is not folded, so not counted either.
-        n = _count(seen) if table.apply(rows, flow=counted, batch_id=batch_id) else None
-        aside = batch.where(set_aside)
-        if n or (n is None and not aside.isEmpty()):
-            aside.write.mode("overwrite").parquet(f"{set_aside_path}/batch_id={batch_id}")
-
-    return _started(changes.writeStream.foreachBatch(fold), checkpoint, every, name)
+        apply_batch(
+            batch, table, flow=counted, batch_id=batch_id, set_aside=set_aside,
+            set_aside_path=set_aside_path, refused=refused,
+        )
+
+    return for_each_batch(changes, fold, checkpoint, every=every, name=name)
+
+
+def for_each_batch(
+    rows: DataFrame,
+    handle: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    *,
+    every: str | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Start a stream that hands its batches over; a batch may come again after a failure."""
+    return _started(rows.writeStream.foreachBatch(handle), checkpoint, every, name)
 
 
 def await_all(queries: Iterable[StreamingQuery]) -> None:

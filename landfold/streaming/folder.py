@@ -57,5 +57,14 @@ class Folder:
             self._fs.delete(draft, False)
             raise FileExistsError(f"{target} was written by someone else")
 
+    def move(self, name: str, to: str, at: float | None = None) -> None:
+        """Give an entry another name, and if asked for another modification time (seconds since 1970)."""
+        target = self._at(to)
+        self._fs.mkdirs(target.getParent())
+        if not self._fs.rename(self._at(name), target):
+            raise FileNotFoundError(f"cannot move {name} to {target}")
+        if at is not None:
+            self._fs.setTimes(target, int(at * 1000), -1)
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._at(name), True)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 import re
 from dataclasses import replace
@@ -164,44 +165,6 @@ def test_batches_replays_and_merges_change_nothing(spark, tmp_path, batches, ign
     assert "Exchange" not in plan
 
 
-def exchanges(df):
-    return re.findall(r"Exchange \w+\([^)]*\)", df._jdf.queryExecution().executedPlan().toString())
-
-
-@pytest.mark.parametrize("ignore_nulls", [True, False])
-def test_large_runs_are_merged_where_they_lie(spark, tmp_path, ignore_nulls):
-    rows = random_changes(300, 5, truncates=1)
-    df = spark.createDataFrame(rows, SCHEMA)
-    rules = ChangeRules.of(
-        df, ["k"], ["seq", "tie"], columns=["a", "b"], ignore_null_updates=ignore_nulls,
-        delete_when="op = 'del'", truncate_when="op = 'trunc'",
-    )
-    table = ChangeTable(spark, str(tmp_path / "t"), rules, bucket_bytes=256)
-    for i in range(4):
-        table.apply(spark.createDataFrame(rows[i::5], SCHEMA))
-    (bulk,) = table._manifest().runs
-    assert bulk.buckets >= 2
-    assert exchanges(table.state()) == []
-    table.apply(spark.createDataFrame(rows[4::5], SCHEMA))
-    state = table.state()
-    # Only the new run moves, to the buckets of the bulk.
-    assert len(exchanges(state)) == 1
-    assert as_dict(table.read()) == one_by_one(rows, ignore_nulls=ignore_nulls)
-    assert state.count() == state.select(*rules.state_keys).distinct().count()
-    table.compact()
-    assert as_dict(ChangeTable.open(spark, str(tmp_path / "t")).read()) == one_by_one(
-        rows, ignore_nulls=ignore_nulls
-    )
-    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("landfold")] == []
-
-
-def test_buckets_grow_with_the_run():
-    sizes = [1, 199, 200, 399, 400, 1600, 10**12]
-    table = object.__new__(ChangeTable)
-    table.bucket_bytes = 100
-    assert [table._buckets_for(s) for s in sizes] == [0, 0, 2, 2, 4, 16, 1 << 16]
-
-
 def test_a_batch_cut_short_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([("a", 1, 1, "up", 1, "x")], SCHEMA)
     rules = ChangeRules.of(df, ["k"], ["seq", "tie"], columns=["a", "b"])
@@ -228,7 +191,7 @@ def test_columns_may_be_added(spark, tmp_path, ignore_nulls):
 
     def table(df, columns):
         rules = ChangeRules.of(df, ["k"], "seq", columns=columns, ignore_null_updates=ignore_nulls)
-        return ChangeTable(spark, str(tmp_path / "t"), rules, fan_in=2, bucket_bytes=100)
+        return ChangeTable(spark, str(tmp_path / "t"), rules, fan_in=2)
 
     for _ in range(3):
         table(first, ["b"]).apply(first)
@@ -369,7 +332,7 @@ def test_a_hot_key_is_cut_into_slices(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         got = apply_changes_history(df, ["k"], "seq", columns=["a", "b"], tie_breakers=["tie"])
-        assert as_spans(got) == spans_one_by_one(rows, tracked=["a", "b"], ignore_nulls=False)
+        assert as_spans(got) == spans_one_by_one(rows, tracked=["a", "b"], ignore_nulls=True)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
@@ -385,7 +348,7 @@ def test_history_of_late_batches(spark, tmp_path):
     table = ChangeTable(spark, str(tmp_path / "t"), rules, fan_in=2)
     for i in range(4):
         table.apply(spark.createDataFrame(rows[i::4], SCHEMA), batch_id=i)
-    expected = spans_one_by_one(rows, tracked=["a"], ignore_nulls=False)
+    expected = spans_one_by_one(rows, tracked=["a"], ignore_nulls=True)
     table = ChangeTable.open(spark, str(tmp_path / "t"))
     assert as_spans(table.read()) == expected
     assert as_spans(table.read("k = 'hot'")) == {s for s in expected if s[0] == "hot"}
@@ -394,6 +357,39 @@ def test_history_of_late_batches(spark, tmp_path):
         table.read("a = 1")
 
 
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_reading_a_stored_history_writes_nothing(spark, tmp_path, buckets):
+    rows = random_changes(200, 12)
+    df = spark.createDataFrame(rows, SCHEMA)
+    rules = HistoryRules.of(df, ["k"], "seq", tie_breakers=["tie"], columns=["a", "b"], delete_when="op = 'del'")
+    table = ChangeTable(spark, str(tmp_path / "t"), rules, buckets=buckets, keep_for=0, fan_in=2)
+    for i in range(5):
+        table.apply(spark.createDataFrame(rows[i::5], SCHEMA))
+    files = lambda: sorted(str(p) for p in tmp_path.rglob("*"))
+    before, scratch = files(), spark.conf.get("spark.checkpoint.dir")
+    shared = sorted(os.listdir(scratch))
+    table = ChangeTable.open(spark, str(tmp_path / "t"))
+    assert as_spans(table.read()) == spans_one_by_one(rows, tracked=["a", "b"], ignore_nulls=True)
+    assert (files(), sorted(os.listdir(scratch))) == (before, shared)
+    assert not any("scratch/" in f for f in before)
+    assert len(list((tmp_path / "t" / "history").iterdir())) <= buckets
+    with pytest.raises(ValueError, match="buckets"):
+        ChangeTable(spark, str(tmp_path / "t"), rules, buckets=buckets + 1)
+
+
+def test_a_batch_rewrites_the_buckets_it_touches(spark, tmp_path):
+    df = spark.createDataFrame([(f"k{i}", 1, 1, "up", i, "x") for i in range(40)], SCHEMA)
+    rules = HistoryRules.of(df, ["k"], "seq", columns=["a", "b"])
+    table = ChangeTable(spark, str(tmp_path / "t"), rules, buckets=8)
+    table.apply(df)
+    table.apply(spark.createDataFrame([("k7", 2, 1, "up", 99, "x")], SCHEMA))
+    held = table._manifest().history
+    assert sorted(list(held.values()).count(f) for f in set(held.values())) == [1, len(held) - 1]
+    got = {r for r in as_spans(table.read()) if r[0] == "k7"}
+    assert got == {("k7", 7, "x", 1, 2), ("k7", 99, "x", 2, None)}
+    assert table.read().count() == 41
+
+
 def test_history_of_timestamps(spark):
     t = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
     df = spark.createDataFrame([("a", t[0], 1), ("a", t[1], 1), ("a", t[2], 2)], "k STRING, at TIMESTAMP, v INT")
@@ -409,3 +405,5 @@ def test_history_arguments(spark):
             HistoryRules.of(df, ["k"], "seq", **wrong)
     with pytest.raises(ValueError):
         HistoryRules.of(df, ["k", "seq"], "seq")
+    with pytest.raises(ValueError, match="reserved"):
+        HistoryRules.of(df.withColumnRenamed("b", "_old_a"), ["k"], "seq")

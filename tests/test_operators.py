@@ -29,10 +29,8 @@ from landfold import (
 from landfold.functions.names import table_of_source
 from landfold.operators.stage import CORRUPT, LINE_ID, SEQUENCE
 
-OBSERVATIONS = (
-    "struct<date:timestamp,patient_id:string,encounter_id:string,category:string,code:string,"
-    "description:string,value:string,units:string,type:string>"
-)
+#: With a column named as bronze's own line is.
+READINGS = "struct<taken:timestamp,device:string,room:string,note:string,value:string,unit:string>"
 
 
 def test_source_names(spark):
@@ -70,50 +68,48 @@ def test_split_by_source(spark, drop):
 
 # Lines that tempt a parser, and whether they fit the schema.
 LINES = [
-    ('2020-01-02T03:04:05Z,p1,e1,vs,c1,"Body, height",170.1,cm,numeric', True),
-    ('"2020-01-02T03:04:05Z",p2,e1,vs,c1,a~b,170.2,cm,numeric', True),
+    ('2020-01-02T03:04:05Z,t1,hall,"warm, dry",21.5,C', True),
+    ('"2020-01-02T03:04:05Z",t2,hall,a~b,21.0,C', True),
     ('"x,y"', False),
     ("  lead space,1", False),
-    ("bad,p4", False),
-    ("2020-01-02T03:04:05Z,p5,,,c1,,,,", True),
-    ("not a date,p6,e,vs,c,d,1,u,t", False),
-    ("2020-01-02T03:04:05Z,p7,e,vs,c,d,1,u,t,too,many", False),
+    ("bad,t4", False),
+    ("2020-01-02T03:04:05Z,t5,,,,", True),
+    ("not a time,t6,hall,n,1,C", False),
+    ("2020-01-02T03:04:05Z,t7,hall,n,1,C,too,many", False),
 ]
 
 
-def observations_bronze(spark, drop):
-    drop("a/observations.csv", ["a,header", *[line for line, _ in LINES], ""], at=1_600_000_000)
+def readings_bronze(spark, drop):
+    drop("a/readings.csv", ["a,header", *[line for line, _ in LINES], ""], at=1_600_000_000)
     return to_bronze(read_lines(spark, drop.landing, streaming=False), drop.landing)
 
 
 def test_stage_keeps_declared_columns_apart_from_the_envelope(spark, drop):
-    rows = stage(observations_bronze(spark, drop), OBSERVATIONS)
-    assert rows.columns[:9] == [
-        "date", "patient_id", "encounter_id", "category", "code", "description", "value", "units", "type",
-    ]
-    by_patient = {r.patient_id: r for r in rows.collect()}
-    assert by_patient["p1"].value == "170.1"
-    assert by_patient["p1"].description == "Body, height"
-    assert by_patient["p2"].description == "a~b"
-    assert by_patient["p5"].encounter_id is None
-    assert by_patient["p5"][CORRUPT] is None
-    assert by_patient["p4"].date is None
-    assert by_patient["p4"][CORRUPT] == "bad,p4"
-    assert by_patient["p1"][SEQUENCE].timestamp() == 1_600_000_000
+    rows = stage(readings_bronze(spark, drop), READINGS)
+    assert rows.columns[:6] == ["taken", "device", "room", "note", "value", "unit"]
+    by_device = {r.device: r for r in rows.collect()}
+    assert by_device["t1"].value == "21.5"
+    assert by_device["t1"].note == "warm, dry"
+    assert by_device["t2"].note == "a~b"
+    assert by_device["t5"].room is None
+    assert by_device["t5"][CORRUPT] is None
+    assert by_device["t4"].taken is None
+    assert by_device["t4"][CORRUPT] == "bad,t4"
+    assert by_device["t1"][SEQUENCE].timestamp() == 1_600_000_000
     assert len({r[LINE_ID] for r in rows.collect()}) == len(LINES)
-    assert by_patient["p1"]["_bronze"].inputFileName == "observations.csv"
+    assert by_device["t1"]["_bronze"].inputFileName == "readings.csv"
 
 
 def test_lines_that_do_not_fit(spark, drop):
-    bronze = observations_bronze(spark, drop)
+    bronze = readings_bronze(spark, drop)
     bad = sorted(line for line, fits in LINES if not fits)
-    assert sorted(r.value for r in quarantined(bronze, OBSERVATIONS).collect()) == bad
-    assert stage(bronze, OBSERVATIONS).count() == len(LINES)
-    assert stage(bronze, OBSERVATIONS, mode="drop").count() == len(LINES) - len(bad)
+    assert sorted(r.value for r in quarantined(bronze, READINGS).collect()) == bad
+    assert stage(bronze, READINGS).count() == len(LINES)
+    assert stage(bronze, READINGS, mode="drop").count() == len(LINES) - len(bad)
     with pytest.raises(Exception, match="does not fit its schema"):
-        stage(bronze, OBSERVATIONS, mode="failfast").select("patient_id").collect()
+        stage(bronze, READINGS, mode="failfast").select("device").collect()
     with pytest.raises(ValueError):
-        stage(bronze, OBSERVATIONS, mode="shrug")
+        stage(bronze, READINGS, mode="shrug")
     with pytest.raises(ValueError, match="reserved"):
         stage(bronze, "a INT, Sequence_By STRING")
 

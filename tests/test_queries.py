@@ -11,6 +11,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parents[1]))
 
 import __spark_entry__ as contract
+from landfold.plans.queries import QUERIES
 
 DATA = "/root/testdata/sf0.01"
 TABLES = (
@@ -34,9 +35,9 @@ def sorted_rows(columns, rows):
     return sorted((tuple(r[i] for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    got = contract.queries()[name](spark, DATA)
+    got = QUERIES[name](spark, DATA)
     result = duck.execute(contract.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     assert sorted(got.columns) == sorted(columns)

@@ -57,6 +57,12 @@ def test_a_head_longer_than_its_split_is_refused(spark, drop):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_heads_that_are_not_valid_text(spark, drop, tmp_path):
+    (tmp_path / "landing" / "f.csv").write_bytes(b"\xff\xfe made by\n\t\nna\xefve,caf\xe9\n1,a\n\t \n2,b\n")
+    assert values(read_lines(spark, drop.landing, streaming=False, skip_rows=1)) == ["1,a", "2,b"]
+    assert values(read_lines(spark, drop.landing, streaming=False, header=False, skip_rows=3)) == ["1,a", "2,b"]
+
+
 def test_compressed_lines(spark, drop, tmp_path):
     with gzip.open(tmp_path / "landing" / "f.csv.gz", "wt") as out:
         out.write("h\n1\n2\n")
@@ -138,7 +144,9 @@ def test_bad_sizes(size):
 
 
 def test_one_rate_limit_only():
-    assert rate_options(1000, "10g") == {"maxFilesPerTrigger": "1000"}
+    with pytest.raises(ValueError, match="not both"):
+        rate_options(1000, "10g")
+    assert rate_options(1000, None) == {"maxFilesPerTrigger": "1000"}
     assert rate_options(None, "1k") == {"maxBytesPerTrigger": "1024"}
     assert rate_options(None, None) == {}
     with pytest.raises(ValueError):
