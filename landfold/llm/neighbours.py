@@ -7,9 +7,11 @@ until the recall over a sample of queries, whose true neighbours come from all v
 is what was asked for. A further coordinate makes the largest inner product the least
 distance, so that the tree's centres mean something for vectors of any length.
 
-Queries and vectors meet by leaf. A leaf is cut into blocks by its vectors and by its
-visitors, so that a task's size is bounded whatever leaf is popular. Equal vectors are
-one entry with its least ids, as many as an answer can need, so that copies cost nothing.
+Queries and vectors meet in shards: leaves that are neighbours in the tree, up to a bounded
+number of vectors; a larger leaf is cut into several. A shard is compared with its visitors
+block by block, each visitor with the leaves it visits, and gives one short list for each,
+so a task's size is bounded whatever leaf is popular. Equal vectors are one entry with its
+least ids, as many as an answer can need, so that copies cost nothing.
 
 Inputs: vectors that are null, empty, zero, or hold null or non-finite numbers take no
 part, nor do rows without an id; of several dimensions the commonest takes part, the
@@ -39,7 +41,7 @@ LEAF = 256
 #: Queries whose true neighbours set the number of leaves to visit.
 CALIBRATED = 128
 RECALL = 0.96
-#: Vectors, and visitors, of a leaf that one task compares.
+#: Vectors, and visitors, of a shard that one task compares.
 BLOCK = 8192
 
 
@@ -135,33 +137,70 @@ def _assigned(tree: Tree) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _visits(tree: Tree, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _shards(tree: Tree, sizes: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """For each leaf its first shard and how many it is cut into; small leaves share one."""
+    out: dict[int, tuple[int, int]] = {}
+    shard, room = -1, 0
+    todo = [0]
+    while todo:
+        node = todo.pop()
+        todo += tree.children[node]
+        size = sizes.get(node, 0)
+        if tree.children[node] or not size:
+            continue
+        parts = -(-size // BLOCK)
+        if parts > 1:
+            out[node] = (shard + 1, parts)
+            shard, room = shard + parts, 0
+            continue
+        if size > room:
+            shard, room = shard + 1, BLOCK
+        out[node] = (shard, 1)
+        room -= size
+    return out
+
+
+_VISIT = "cls bigint, embedding array<double>, shard bigint, leaves array<bigint>"
+
+
+def _visits(
+    tree: Tree, most: int, shards: dict[int, tuple[int, int]]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A row for each query and shard, with the shard's leaves that the query visits."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 q = _matrix(batch.column("embedding"))
                 q = np.hstack([q, np.zeros((len(q), 1))])
-                orders = [tree.order(x, most) for x in q]
-                row = np.repeat(np.arange(len(q)), [len(o) for o in orders])
-                visited = batch.take(pa.array(row))
-                yield visited.append_column("leaf", pa.array([n for o in orders for n in o], pa.int64()))
+                row, shard, leaves = [], [], []
+                for i, x in enumerate(q):
+                    own: dict[int, list[int]] = {}
+                    for leaf in tree.order(x, most):
+                        first, parts = shards.get(leaf, (0, 0))
+                        for k in range(first, first + parts):
+                            own.setdefault(k, []).append(leaf)
+                    row += [i] * len(own)
+                    shard += own
+                    leaves += own.values()
+                visited = batch.take(pa.array(row, pa.int64())).select(["cls", "embedding"])
+                visited = visited.append_column("shard", pa.array(shard, pa.int64()))
+                yield visited.append_column("leaves", pa.array(leaves, pa.list_(pa.int64())))
 
     return run
 
 
-def _best(q: np.ndarray, x: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query the rows of x that can be among its ``most`` best, and their scores."""
-    for at in range(0, len(q), 256):
-        about = q[at : at + 256] @ x.T
-        for i, row in enumerate(about):
-            if len(row) > most:
-                least = np.partition(row, len(row) - most)[len(row) - most]
-                # Room for rounding: what counts is worked out again, alike for equal vectors.
-                own = np.nonzero(row >= least - 1e-9 * max(1.0, abs(least)))[0]
-            else:
-                own = np.arange(len(row))
-            yield at + i, own, (x[own] * q[at + i]).sum(axis=1)
+def _at_least(about: np.ndarray, most: int, floor: np.ndarray) -> np.ndarray:
+    """By row, the ``most``-th largest number, or ``floor`` where that is larger."""
+    if about.shape[1] <= most:
+        return floor
+    return np.maximum(floor, np.partition(about, about.shape[1] - most, axis=1)[:, about.shape[1] - most])
+
+
+def _room(least: np.ndarray) -> np.ndarray:
+    """What counts is worked out again, alike for equal vectors: room for rounding."""
+    return np.where(np.isfinite(least), least - 1e-9 * np.maximum(1.0, np.abs(least)), least)
 
 
 _FOUND = "cls bigint, vec_id bigint, score double"
@@ -176,21 +215,49 @@ def _compared(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
             asks = task.column("ask").to_numpy()
             vectors = task.filter(pa.array(~asks))
             queries = task.filter(pa.array(asks))
-            if not len(vectors) or not len(queries):
-                continue
-            ids = [np.array(i) for i in vectors.column("ids").to_pylist()]
-            cls, vec_id, score = [], [], []
-            names = queries.column("cls").to_numpy()
-            for i, own, s in _best(_matrix(queries.column("embedding")), _matrix(vectors.column("embedding")), most):
-                every = np.concatenate([ids[j] for j in own])
-                scores = np.repeat(s, [len(ids[j]) for j in own])
-                top = np.lexsort((every, -scores))[:most]
-                cls.append(np.full(len(top), names[i]))
-                vec_id.append(every[top])
-                score.append(scores[top])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c)) for c in (cls, vec_id, score)], schema=schema
-            )
+            if len(vectors) and len(queries):
+                yield answers(vectors, queries)
+
+    def answers(vectors: pa.Table, queries: pa.Table) -> pa.RecordBatch:
+        x, q = _matrix(vectors.column("embedding")), _matrix(queries.column("embedding"))
+        leaf = np.array([own[0] for own in vectors.column("leaves").to_pylist()])
+        visited = queries.column("leaves").to_pylist()
+        visitor = np.repeat(np.arange(len(visited)), [len(v) for v in visited])
+        visits = np.array([n for v in visited for n in v])
+        floor = np.full(len(q), -np.inf)
+        pairs = []
+        for node in np.unique(leaf):
+            own, who = np.nonzero(leaf == node)[0], visitor[visits == node]
+            for at in range(0, len(who), 1024):
+                some = who[at : at + 1024]
+                about = q[some] @ x[own].T
+                floor[some] = _at_least(about, most, floor[some])
+                i, j = np.nonzero(about >= _room(floor[some])[:, None])
+                pairs.append((some[i], own[j], about[i, j]))
+        i, j, about = (np.concatenate(c) for c in zip(*pairs, strict=True))
+        kept = about >= _room(floor)[i]
+        i, j = i[kept], j[kept]
+        score = np.concatenate(
+            [(q[i[at : at + 65536]] * x[j[at : at + 65536]]).sum(axis=1) for at in range(0, len(i), 65536)]
+        )
+        ids = vectors.column("ids").combine_chunks()
+        start = ids.offsets.to_numpy().astype(np.int64)
+        flat, times = ids.flatten().to_numpy(), np.diff(start)
+        start -= start[0]
+        # Every id of every vector kept, then the first of each query.
+        i, score, first, times = (np.repeat(c, times[j]) for c in (i, score, start[:-1][j], times[j]))
+        head = np.concatenate(([True], (i[1:] != i[:-1]) | (first[1:] != first[:-1])))
+        step = np.arange(len(i)) - np.maximum.accumulate(np.where(head, np.arange(len(i)), 0))
+        vec_id = flat[first + step]
+        order = np.lexsort((vec_id, -score, i))
+        i, vec_id, score = i[order], vec_id[order], score[order]
+        begin = np.concatenate(([True], i[1:] != i[:-1]))
+        rank = np.arange(len(i)) - np.maximum.accumulate(np.where(begin, np.arange(len(i)), 0))
+        top = rank < most
+        names = queries.column("cls").to_numpy()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names[i[top]]), pa.array(vec_id[top]), pa.array(score[top])], schema=schema
+        )
 
     return run
 
@@ -203,14 +270,10 @@ def _true(names: np.ndarray, q: np.ndarray, most: int) -> Callable[[Iterator[pa.
             if not batch.num_rows:
                 continue
             cls, leaf = batch.column("cls").to_numpy(), batch.column("leaf").to_numpy()
-            out: list[list] = [[], [], [], []]
-            for i, own, s in _best(q, _matrix(batch.column("embedding")), most):
-                top = own[np.lexsort((cls[own], -s))[:most]]
-                keep = np.sort(s)[::-1][: len(top)]
-                for column, value in zip(out, ([names[i]] * len(top), cls[top], keep, leaf[top]), strict=True):
-                    column.extend(value)
+            about = q @ _matrix(batch.column("embedding")).T
+            i, j = np.nonzero(about >= _at_least(about, most, np.full(len(q), -np.inf))[:, None])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.int64())],
+                [pa.array(names[i]), pa.array(cls[j]), pa.array(about[i, j]), pa.array(leaf[j])],
                 names=["ask", "cls", "score", "leaf"],
             )
 
@@ -319,13 +382,11 @@ def search(embeddings: DataFrame, asks: Callable[[Column], Column], k: int = 20,
     ).select(F.col("vec_id").alias("query_id"), "cls")
     queries = materialise(queries, "queries")
     asked = index.vectors.select("cls", "embedding").join(queries.select("cls").distinct(), "cls", "left_semi")
-    visits = materialise(
-        asked.select("cls", "embedding").mapInArrow(
-            _visits(index.tree, index.visits), "cls bigint, embedding array<double>, leaf bigint"
-        ),
-        "visits",
-    )
-    found = _tasks(index.vectors, visits).mapInArrow(_compared(most), _FOUND)
+    # One row a leaf; the sample that the tree is fitted on bounds how many there are.
+    sizes = {r["leaf"]: r["count"] for r in index.vectors.groupBy("leaf").count().collect()}
+    shards = _shards(index.tree, sizes)
+    visits = materialise(asked.mapInArrow(_visits(index.tree, index.visits, shards), _VISIT), "visits")
+    found = _tasks(index.vectors, visits, shards).mapInArrow(_compared(most), _FOUND)
     best = Window.partitionBy("cls").orderBy(F.col("score").desc(), "vec_id")
     answers = found.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= most).drop("_n")
     own = Window.partitionBy("query_id", "cls").orderBy(F.col("score").desc(), "vec_id")
@@ -338,27 +399,36 @@ def search(embeddings: DataFrame, asks: Callable[[Column], Column], k: int = 20,
     )
 
 
-def _tasks(vectors: DataFrame, visits: DataFrame) -> DataFrame:
-    """Vectors and visitors of each leaf, block by block together in a task."""
-    # One row a leaf, and the sample bounds the number of leaves.
-    blocks = F.broadcast(
-        vectors.groupBy("leaf")
-        .agg(F.ceil(F.count("*") / BLOCK).alias("v"))
-        .join(visits.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("q")), "leaf")
+def _tasks(vectors: DataFrame, visits: DataFrame, shards: dict[int, tuple[int, int]]) -> DataFrame:
+    """Vectors and visitors of each shard, block by block of visitors together in a task."""
+    places = F.broadcast(
+        vectors.sparkSession.createDataFrame(
+            [(leaf, first, parts) for leaf, (first, parts) in shards.items()],
+            "leaf bigint, first bigint, parts bigint",
+        )
     )
-    every = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
-    given = vectors.join(blocks, "leaf").select(
-        F.explode(F.transform(every("q"), lambda j: F.xxhash64("leaf", F.pmod("cls", "v"), j))).alias("task"),
-        F.lit(False).alias("ask"),
-        "cls",
-        "ids",
-        "embedding",
+    blocks = visits.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    given = (
+        vectors.join(places, "leaf")
+        .withColumn("shard", F.col("first") + F.pmod("cls", "parts"))
+        .join(blocks, "shard")
+        .select(
+            F.explode(
+                F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda j: F.xxhash64("shard", j))
+            ).alias("task"),
+            F.lit(False).alias("ask"),
+            "cls",
+            "ids",
+            F.array("leaf").alias("leaves"),
+            "embedding",
+        )
     )
-    asked = visits.join(blocks, "leaf").select(
-        F.explode(F.transform(every("v"), lambda j: F.xxhash64("leaf", j, F.pmod("cls", "q")))).alias("task"),
+    asked = visits.join(blocks, "shard").select(
+        F.xxhash64("shard", F.pmod("cls", "blocks")).alias("task"),
         F.lit(True).alias("ask"),
         "cls",
         F.lit(None).cast("array<bigint>").alias("ids"),
+        "leaves",
         "embedding",
     )
     return given.unionByName(asked).repartition("task").sortWithinPartitions("task")
