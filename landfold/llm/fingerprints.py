@@ -186,7 +186,9 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     The last third of the text (floor of the code points by three) is replaced by as many
     of the next document's first, or by all it has.
     """
-    rows = _keyed(docs).withColumn("fingerprint", fingerprint(F.col("text")))
+    # Both joins below need the same columns of the same rows, so texts are shuffled once;
+    # fingerprints come after, as plans with lambda functions are never taken for the same.
+    rows = _keyed(docs)
     asked = next_documents(docs).select(
         F.col("next_key").alias("key"),
         F.col("key").alias("asker"),
@@ -198,7 +200,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
             F.col("asker").alias("key"),
             F.col("doc_id").alias("next_id"),
             F.expr("left(text, third)").alias("head"),
-            F.col("fingerprint").alias("next_fingerprint"),
+            fingerprint(F.col("text")).alias("next_fingerprint"),
         )
         .dropDuplicates(["key"])
     )
@@ -207,7 +209,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         "doc_id",
         n.cast("bigint").alias("n_chars"),
         F.concat(F.expr("left(text, length(text) - int(floor(length(text) / 3)))"), F.col("head")).alias("edited"),
-        "fingerprint",
+        fingerprint(F.col("text")).alias("fingerprint"),
         "next_fingerprint",
         "next_id",
     )
