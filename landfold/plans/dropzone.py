@@ -15,8 +15,10 @@ Below ``root``::
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Mapping, Sequence
+from collections import defaultdict
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -61,6 +63,8 @@ _METADATA = (
 
 
 _ASIDE = "_set_aside"
+#: A running refresh and a caller may ask for the landed sources at once.
+_NOTING: dict[str, threading.Lock] = defaultdict(threading.Lock)
 #: Bronze files whose sources are noted in one batch.
 _LISTED = 10_000
 
@@ -198,7 +202,10 @@ class DropZone:
 
         They are noted for each batch of bronze once, so only new bronze files are looked at.
         """
-        feed = self._feed(table)
+        with _NOTING[self.root]:
+            return self._noted_sources(self._feed(table))
+
+    def _noted_sources(self, feed: Feed) -> DataFrame:
         noted = f"{self.root}/landed/{feed.table}"
         checkpoint = f"{self.root}/checkpoints/landed/{feed.table}"
         flow = flow_identity(self.spark, checkpoint)
@@ -246,14 +253,16 @@ class DropZone:
 
     def refresh_alerts(self, table: str | None = None) -> tuple[DataFrame, DataFrame]:
         """Write and return the sources without a schema, and what is wrong in the registry."""
-        feed = self._feed(table)
+        with _NOTING[self.root]:
+            return self._refreshed_alerts(self._feed(table))
 
+    def _refreshed_alerts(self, feed: Feed) -> tuple[DataFrame, DataFrame]:
         def publish(name: str, rows: DataFrame) -> DataFrame:
             path = f"{self.root}/alerts/{feed.table}/{name}"
             rows.write.mode("overwrite").parquet(path)
             return self.spark.read.schema(rows.schema).parquet(path)
 
-        landed = publish("landed_sources", self.sources(feed.table))
+        landed = publish("landed_sources", self._noted_sources(feed))
         registry = self.registry()
         return (
             publish("unknown_sources", unknown_sources(landed, registry, suffix=self.suffix)),
@@ -406,7 +415,16 @@ class DropZone:
         for every batch: a table registered meanwhile first gets what landed before.
         """
         feed = self._feed(table)
-        checkpoint = self._silver_checkpoint(feed)
+        return self._start_pass(feed, lambda: self._ready(feed.table, only), at_once, every, options)
+
+    def _start_pass(
+        self,
+        feed: Feed,
+        ready: Callable[[], list[Row]],
+        at_once: int,
+        every: str | None,
+        options: Mapping[str, object],
+    ) -> StreamingQuery:
         flow = self._silver_flow(feed)
         sources_at = f"{self.root}/landed_silver/{feed.table}/flow={flow}"
 
@@ -434,10 +452,10 @@ class DropZone:
                 apply_batch(changes, target, flow=flow, batch_id=batch_id, **aside)
 
             with ThreadPoolExecutor(at_once) as pool:
-                list(pool.map(one, self._ready(feed.table, only)))
+                list(pool.map(one, ready()))
 
         routed = self._routed(feed, streaming=True, max_files=feed.max_files, max_bytes=feed.max_bytes)
-        return for_each_batch(routed, handle, checkpoint, every=every)
+        return for_each_batch(routed, handle, self._silver_checkpoint(feed), every=every)
 
     def _silver_checkpoint(self, feed: Feed) -> str:
         return f"{self.root}/checkpoints/all_silver/{feed.table}"
@@ -473,7 +491,7 @@ class DropZone:
         empty = self.spark.createDataFrame([], feed.schema).drop("source")
         for r in ready:  # refuses what cannot be applied before a stream is started
             self._target(feed, r.table_name, empty, r.ddl, r["keys"], **options)
-        await_all([self.start_all_silver(table, only=only, at_once=at_once, **options)])
+        await_all([self._start_pass(feed, lambda: ready, at_once, None, options)])
         # Without a new line no batch comes by; what was registered meanwhile is due all the same.
         flow = self._silver_flow(feed)
         batches = Folder(self.spark, f"{self._silver_checkpoint(feed)}/commits").names()
