@@ -20,6 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
     e = edges.where("a IS NOT NULL AND b IS NOT NULL").select(
         F.col("a").cast(kind), F.col("b").cast(kind)
     )
+    e = materialise(e, "links")  # used twice, and costly to find
     labels = materialise(
         e.select(F.explode(F.array("a", "b")).alias("v")).distinct().select("v", F.col("v").alias("label")),
         "labels",
