@@ -162,7 +162,7 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    coded = byte_bpe.encode(spark, docs, path, public_tokenizers.PATTERN)
+    coded = byte_bpe.encode(spark, docs, path, public_tokenizers.PATTERN, ["doc_id"])
     ids = F.col("ids")
     return coded.select(
         "doc_id",
