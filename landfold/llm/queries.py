@@ -29,7 +29,28 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-@query("op8_near_duplicates")
+_OP8 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 1),
+         lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS shingles FROM w
+), x AS (SELECT doc_id, unnest(shingles) AS shingle, len(shingles) AS n FROM s),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT doc_id, doc_id AS c FROM s UNION SELECT p.b, r.c FROM reached r JOIN pairs p ON p.a = r.doc_id
+)
+SELECT s.doc_id, len(shingles)::BIGINT AS n_shingles, min(c) AS component_id, s.doc_id = min(c) AS kept
+FROM s JOIN reached USING (doc_id) GROUP BY s.doc_id, shingles
+"""
+
+
+@query("op8_near_duplicates", _OP8)
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     found = near.near_duplicates(table(spark, sf, "documents"), words=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
