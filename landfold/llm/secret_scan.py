@@ -2,9 +2,10 @@
 
 The rules are patterns. The models are first-order Markov chains over characters: one of
 random strings, trained on the values that the rules find, one of ordinary identifiers,
-trained on the words of other text. A long run of identifier characters that no rule has
-found is a secret if its log-likelihood ratio, a character, is over a threshold that the
-labelled identifiers themselves set. All of it is column expressions.
+trained on the short words of other text. A long run of identifier characters that no rule
+has found is a secret if its log-likelihood ratio, a character, is over a fixed threshold.
+What is judged, long runs, trains neither model, so that no unknown secret can pass for an
+ordinary identifier or raise the bar for others. All of it is column expressions.
 
 Inputs: null text counts as empty and has no spans; equal texts get equal spans; an
 empty table trains models that know nothing, which find nothing; other columns pass
@@ -29,13 +30,19 @@ ASSIGN = (
 ACCESS = r"AKIA[A-Z0-9]+"
 #: A run of fewer characters would be dropped, and a run has no other match in it.
 HEX = r"[0-9a-f]{24,}"
-#: What the models judge.
+#: What the models judge, if it is not one character repeated.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: What ordinary identifiers are learned from, if it is shorter than a candidate.
+WORD = r"[A-Za-z0-9+/_=-]{2,}"
+#: Words that may be keys: long ones of both letters and digits. Nothing is learned from them.
+KEYLIKE = r"^(?=.*[0-9])(?=.*[A-Za-z]).{12,}$"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Texts that the models learn from: so many with secrets, so many without.
 SAMPLE = 4000
-#: Natural logarithms a character that a string must be over every ordinary identifier.
+#: Natural logarithms a character by which a string must be likelier random than ordinary.
 MARGIN = 0.25
+#: Share of the flat model in that of ordinary identifiers, so that a few pairs never seen decide nothing.
+UNSEEN = 0.02
 _N = len(ALPHABET) + 1
 
 
@@ -81,8 +88,9 @@ def train(docs: DataFrame) -> MarkovModels:
     """Models from labelled samples of ``docs``.
 
     Random strings are what the rules find in at most SAMPLE texts; ordinary identifiers
-    are the words of at most SAMPLE texts in which the rules find nothing. Which texts
-    are taken depends on a hash of the text alone; repeated strings count once.
+    are the words, too short for a candidate and not like keys, of at most SAMPLE texts
+    without a hint of a rule. Which texts are taken depends on a hash of the text alone;
+    repeated strings count once.
     """
     texts = docs.select(whole_text().alias("text"))
     hint = F.lit(r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}")
@@ -114,14 +122,11 @@ def train(docs: DataFrame) -> MarkovModels:
         ).alias("string")
     )
     words = sample(~F.regexp_like("text", hint)).select(
-        F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{2,}"), 0)).alias("string")
+        F.explode(F.regexp_extract_all("text", F.lit(WORD), 0)).alias("string")
     )
-    chance, usual = _counted(random), _counted(words)
-    ratios = _ratios(chance, usual)
-    # The threshold is what the most random-looking of the ordinary identifiers reach.
-    long_words = words.where(F.length("string") >= 12).distinct()
-    top = long_words.agg(F.max(_mean(ratios, F.col("string"))).alias("m")).first()["m"] if usual else None
-    return MarkovModels(ratios, (top if top is not None else 0.0) + MARGIN if usual else math.inf)
+    short = words.where(~F.regexp_like("string", F.lit(CANDIDATE)) & ~F.regexp_like("string", F.lit(KEYLIKE)))
+    chance, usual = _counted(random), _counted(short)
+    return MarkovModels(_ratios(chance, usual), MARGIN if usual else math.inf)
 
 
 def _ratios(chance: dict[int, int], usual: dict[int, int]) -> tuple[float, ...]:
@@ -136,7 +141,7 @@ def _ratios(chance: dict[int, int], usual: dict[int, int]) -> tuple[float, ...]:
         u = sum(usual.get(k, 0) for k in row)
         for k in row:
             p = 0.5 / _N + 0.5 * (chance.get(k, 0) + 1.0) / (c + _N)
-            q = (usual.get(k, 0) + 0.05) / (u + 0.05 * _N)
+            q = UNSEEN / _N + (1 - UNSEEN) * (usual.get(k, 0) + 0.05) / (u + 0.05 * _N)
             out.append(round(math.log(p / q), 4))
     return tuple(out)
 
@@ -166,6 +171,7 @@ def all_spans(text: Column, models: MarkovModels) -> Column:
                         lambda m: ~F.exists(
                             s["base"], lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])
                         )
+                        & ~F.regexp_like(m["text"], F.lit(r"^(.)\1*$"))
                         & (_mean(models.ratios, m["text"]) > models.threshold),
                     ),
                     lambda m: F.struct(F.lit("markov").alias("kind"), m["start"], m["end"]).cast(SPAN),

@@ -44,3 +44,23 @@ def test_empty_tables_and_clashing_names(documents):
     rows = secret_scan.scan(odd).collect()
     assert [[s["kind"] for s in r["secret_spans"]] for r in rows] == [["assign"]] * 3
     assert [r["string"] for r in rows] == [2] * 3
+
+
+def test_unlabelled_random_strings_neither_hide_nor_hide_others(documents, monkeypatch):
+    """Keys in the texts that models learn from, and more of them in texts that they do not."""
+    monkeypatch.setattr(secret_scan, "SAMPLE", 80)
+    plain, keys = corpus()
+    unknown = [base64.b64encode(hashlib.sha256(str(i).encode()).digest()).decode().rstrip("=") for i in range(200)]
+    short = [hashlib.md5(str(i).encode()).hexdigest()[:16] for i in range(60)]
+    ruled = ["-" * 40, "connection_manager_default_handler"]
+    texts = plain + keys + [f"use {u} and {s} here" for u, s in zip(unknown, short * 4, strict=False)] + ruled
+    found = secret_scan.scan(documents(texts)).orderBy("doc_id").collect()
+    kinds = [[s["kind"] for s in r["secret_spans"]] for r in found]
+    assert not any(kinds[:60]) and not any(kinds[-2:])
+    # At most 80 of the 262 texts without a hint are in the sample.
+    assert sum(k == ["markov"] for k in kinds[100:300]) >= 190
+
+
+def test_ratio_of_a_pair_never_seen_is_bounded():
+    usual = {secret_scan._N + 2: 1_000_000}
+    assert max(secret_scan._ratios({}, usual)) < 5
