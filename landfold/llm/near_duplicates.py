@@ -5,7 +5,10 @@ trees a document follows a path of minwise tokens: the first token chosen splits
 documents into nodes, nodes that are still large branch again by the next token, and
 documents of a small node are compared with each other. Two sets of similarity s choose
 the same token with probability s, so a tree misses a pair with probability 1 - s, and
-the number of trees is what the target recall needs.
+the number of trees is what the target recall needs. Where a node branches, a pair in it
+must share all tokens of a path, and a tree misses it with up to 1 - s ** DEPTH. So
+documents of nodes that branch go through further trees, as many as that needs: a pair
+either shares no node of the first trees, or a small one, or both its documents are there.
 
 Comparison is in two steps, so that whole sets move once, not once a tree:
 
@@ -60,6 +63,20 @@ def trees_for(similarity: float, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - similarity)))
 
 
+def all_trees_for(similarity: float, recall: float) -> tuple[int, int]:
+    """Trees for all documents, and further ones for those of nodes that branch.
+
+    A pair is missed if it shares no first token in the first trees, or no whole path in
+    any tree; both together are at most 1 - recall, however many nodes branch.
+    """
+    first = trees_for(similarity, recall)
+    if (1 - similarity) ** first > 0.9 * (1 - recall):
+        first += 1  # or nothing would be left for paths
+    left = 1 - recall - (1 - similarity) ** first
+    paths = math.ceil(math.log(left) / math.log(1 - similarity**DEPTH))
+    return first, max(0, paths - first)
+
+
 def shingle_set(text: str, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's shingles of so many words.
 
@@ -100,11 +117,11 @@ def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
     return a, r.integers(0, 1 << 32, n, dtype=np.int64).astype(np.uint32)
 
 
-_SKETCHED = "doc_id bigint, digest string, n bigint, cls string, sketch binary, paths array<bigint>"
+_SKETCHED = "doc_id bigint, digest string, n bigint, cls string, sketch binary, paths binary"
 
 
 def _sketches(words: int, trees: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """doc_id, size of the set, its class, its sketch and, tree by tree, its nodes' keys."""
+    """doc_id, size of the set, its class, its sketch and, tree by tree, the tokens of its path."""
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
@@ -112,13 +129,12 @@ def _sketches(words: int, trees: int) -> Callable[[Iterator[pa.RecordBatch]], It
             ("n", pa.int64()),
             ("cls", pa.string()),
             ("sketch", pa.binary()),
-            ("paths", pa.list_(pa.int64())),
+            ("paths", pa.binary()),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _functions(SKETCH + trees * DEPTH)
-        tree = np.arange(trees, dtype=np.uint64)
         for batch in batches:
             out: list[list] = [[], [], [], []]
             for text in batch.column("text"):
@@ -131,15 +147,7 @@ def _sketches(words: int, trees: int) -> Callable[[Iterator[pa.RecordBatch]], It
                 out[1].append(xxhash.xxh3_128_hexdigest(s.tobytes()))
                 least = _minwise(s, a, b)
                 out[2].append((least[:SKETCH] >> np.uint32(7)).astype(np.uint8).tobytes())
-                # The key of a node holds all tokens on the way to it, and its tree.
-                tokens = least[SKETCH:].reshape(DEPTH, trees).astype(np.uint64)
-                key, keys = tree + np.uint64(1), []
-                for d in range(DEPTH):
-                    key = (key * _M1 + tokens[d]) * _M2
-                    key ^= key >> np.uint64(29)
-                    key = key * _MIX
-                    keys.append(key)
-                out[3].append(np.stack(keys, axis=1).ravel().view(np.int64).tolist())
+                out[3].append(least[SKETCH:].astype("<u4").tobytes())
             new = [pa.array(c, type=f.type) for c, f in zip(out, list(schema)[2:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("digest"), *new], schema=schema
@@ -273,10 +281,10 @@ def near_duplicates(
     have it. ``cls`` is the class, null for an empty set; ``digest`` is of the text.
     """
     similarity = percent / 100
-    trees = trees_for(similarity, recall)
+    trees, more = all_trees_for(similarity, recall)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
     digested = texts.select("doc_id", _digest(F.col("text")).alias("digest"), "text")
-    rows = materialise(digested.mapInArrow(_sketches(words, trees), _SKETCHED), "sketches")
+    rows = materialise(digested.mapInArrow(_sketches(words, trees + more), _SKETCHED), "sketches")
     # A class is named by its least id. An id with several texts names its least class only
     # once as a vertex: vertices are numbered by class, labels are ids.
     classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("first"))
@@ -286,7 +294,7 @@ def near_duplicates(
     members = named.join(
         rows.select(F.col("doc_id").alias("first"), "cls", "sketch", "paths"), ["first", "cls"]
     ).dropDuplicates(["cls"])
-    likely = _likely(members, trees, similarity)
+    likely = _likely(members, trees, more, similarity)
     exact = _confirmed(texts, rows, named, likely, words, percent)
     reached = components(exact).join(named.select(F.col("rep").alias("v"), "first"), "v")
     least = reached.groupBy("label").agg(F.min("first").alias("least"))
@@ -336,20 +344,26 @@ def _digest(text: Column) -> Column:
     return F.md5(F.encode(text, "utf-8"))
 
 
-def _likely(members: DataFrame, trees: int, similarity: float) -> DataFrame:
+def _likely(members: DataFrame, trees: int, more: int, similarity: float) -> DataFrame:
     """(v, label): components of what sketches in some node of some tree take for similar."""
     spread = math.sqrt(similarity * (1 - similarity) / SKETCH)
     least_alike = math.floor((similarity - MARGIN * spread) * SKETCH)
-    depth = [F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), _key_at(d)) for d in range(DEPTH)]
+    edges, branching = _grown(members, range(trees), least_alike)
+    if more and branching is not None:
+        again = members.join(branching.select("rep").distinct(), "rep", "left_semi")
+        edges = edges.unionByName(_grown(again, range(trees, trees + more), least_alike)[0])
+    return components(edges)
+
+
+def _grown(members: DataFrame, trees: range, least_alike: int) -> tuple[DataFrame, DataFrame | None]:
+    """(a, b): forests of the nodes of these trees; and the rows of first nodes that branch, if any."""
     at = materialise(
-        members.select(
-            "rep",
-            "sketch",
-            F.explode(F.arrays_zip(*[k.alias(f"d{i}") for i, k in enumerate(depth)])).alias("k"),
-        ).select("rep", "sketch", *[F.col("k").getField(f"d{i}").alias(f"d{i}") for i in range(DEPTH)]),
+        members.select("rep", "sketch", F.explode(F.array(*[_keys(t) for t in trees])).alias("k")).select(
+            "rep", "sketch", "k.*"
+        ),
         "paths",
     )
-    edges = None
+    edges = branching = None
     rest = at
     for d in range(DEPTH):
         node = f"d{d}"
@@ -368,14 +382,17 @@ def _likely(members: DataFrame, trees: int, similarity: float) -> DataFrame:
             rest = materialise(large.drop("size", "lead"), "branches")
             if rest.isEmpty():
                 break
+            branching = rest if branching is None else branching
         else:
             # As many that share all tokens of a path go on together, compared or not.
             edges = edges.unionByName(large.select(F.col("rep").alias("a"), F.col("lead").alias("b")))
-    return components(edges)
+    return edges, branching
 
 
-def _key_at(d: int) -> Callable:
-    return lambda t: F.get("paths", t * DEPTH + d)
+def _keys(tree: int) -> Column:
+    """Keys of a tree's nodes; each holds all tokens on the way to it, and its tree."""
+    token = lambda d: F.substring("paths", (tree * DEPTH) * 4 + 1, 4 * (d + 1))
+    return F.struct(*[F.xxhash64(F.lit(tree), F.lit(d), token(d)).alias(f"d{d}") for d in range(DEPTH)])
 
 
 def _confirmed(

@@ -113,3 +113,18 @@ def test_components(spark):
 def test_trees_for_recall():
     assert near.trees_for(0.85, 0.999999) == 8
     assert near.trees_for(0.8, 0.999999) == 9
+
+
+def test_pairs_in_nodes_that_branch_are_found(documents, monkeypatch):
+    """4000 pairs just similar enough, each in nodes that all branch to the end of their paths."""
+    monkeypatch.setattr(near, "NODE", 1)
+    texts = [" ".join([f"w{i}x{j}" for j in range(8)] + [f"w{i}own{side}"]) for i in range(4000) for side in "ab"]
+    found = near.near_duplicates(documents(texts), 1, 80).where("kept").count()
+    assert found == 4000
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 90])
+def test_all_trees_keep_the_recall(percent):
+    s = percent / 100
+    first, more = near.all_trees_for(s, 0.999999)
+    assert (1 - s) ** first + (1 - s**near.DEPTH) ** (first + more) <= 1e-6
