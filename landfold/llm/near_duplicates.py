@@ -274,11 +274,13 @@ def _exact(task: pa.Table, percent: int) -> tuple[list[int], list[int]]:
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, recall: float = 0.999999
 ) -> DataFrame:
-    """doc_id, digest, cls, n_shingles, component_id and kept, a row for each row of ``docs``.
+    """doc_id, digest, cls, n_shingles, component, component_id and kept, a row for each row of ``docs``.
 
     Links are pairs with 100 * intersection >= percent * union. ``component_id`` is the
     least id that links reach, the document itself included; ``kept`` marks the rows that
-    have it. ``cls`` is the class, null for an empty set; ``digest`` is of the text.
+    have it. ``component`` is the component itself, as two may have the same least id; it is
+    null where a row is linked with nothing for want of words or an id. ``cls`` is the class,
+    null for an empty set; ``digest`` is of the text.
     """
     similarity = percent / 100
     trees, more = all_trees_for(similarity, recall)
@@ -301,7 +303,7 @@ def near_duplicates(
     of_class = (
         named.join(reached.select(F.col("v").alias("rep"), "label"), "rep", "left")
         .join(least, "label", "left")
-        .select("cls", F.coalesce("least", "first").alias("component"))
+        .select("cls", F.coalesce("label", "rep").alias("component"), F.coalesce("least", "first").alias("least"))
     )
     joined = rows.select("doc_id", "digest", "n", "cls").join(of_class, "cls", "left")
     return joined.select(
@@ -309,21 +311,22 @@ def near_duplicates(
         "digest",
         "cls",
         F.col("n").alias("n_shingles"),
-        F.coalesce("component", "doc_id").alias("component_id"),
+        "component",
+        F.coalesce("least", "doc_id").alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row of ``docs`` for each group of near duplicates: of its least id, with all columns.
 
-    Of rows with that id the one whose text has the least digest stays, and of equal
-    texts one. Rows with an empty set are linked with nothing and stay.
+    Of the group's rows with that id the one whose text has the least digest stays, and of
+    equal texts one. Rows with an empty set are linked with nothing and stay.
     """
     found = near_duplicates(docs, words, percent)
     keep = (
         found.where("kept")
         .withColumn("alone", F.col("cls").isNull())
-        .groupBy("doc_id", "alone", F.when(F.col("doc_id").isNull(), F.col("digest")).alias("own"))
+        .groupBy("doc_id", "alone", "component", F.when(F.col("component").isNull(), F.col("digest")).alias("own"))
         .agg(F.min("digest").alias("digest"))
         .select(F.col("doc_id").alias("id"), "digest", "alone")
     )

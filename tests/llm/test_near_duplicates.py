@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pytest
@@ -128,3 +129,12 @@ def test_all_trees_keep_the_recall(percent):
     s = percent / 100
     first, more = near.all_trees_for(s, 0.999999)
     assert (1 - s) ** first + (1 - s**near.DEPTH) ** (first + more) <= 1e-6
+
+
+def test_unlinked_texts_of_one_id_all_stay(documents):
+    long = "one two three four five six seven eight nine ten"
+    texts = [long, "quite another text of more than five words", long + " eleven", "", " \n", "", long]
+    stay = near.deduplicated(documents(texts, [4, 4, 4, 4, 4, 4, 9])).collect()
+    kept = sorted(r["text"] for r in stay)
+    assert kept[:4] == ["", "", " \n", min(long, long + " eleven", key=lambda t: hashlib.md5(t.encode()).hexdigest())]
+    assert kept[4:] == ["quite another text of more than five words"]
