@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfold.llm import near_duplicates as near
-from landfold.llm import byte_bpe, fingerprints, neighbours, packing, quality, sanitise, secret_scan, token_counts, warc
-from landfold.llm.shared import table, work_folder
+from landfold.llm import byte_bpe, fingerprints, neighbours, packing, quality, sanitise, secret_scan, token_counts
+from landfold.llm import turn_repair, warc
+from landfold.llm.shared import materialise, table, work_folder
 from landfold.llm.spans import joined
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,3 +192,102 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(byte_bpe.decode(ids, byte_bpe.Ranks(path)), 256).alias("decoded_sha256"),
     )
+
+
+# The DP of op11 backwards over the rows, as a list of {cost, audit, lines} for the states.
+_STATES = range(1, 5)
+_DUE = {1: (3, "user"), 2: (3, "user"), 3: (4, "assistant"), 4: (3, "user")}
+_KEPT = {1: {"s": 2, "u": 3}, 2: {"u": 3}, 3: {"a": 4}, 4: {"u": 3}}
+
+
+def _best(options: list[str]) -> str:
+    return f"list_sort(list_filter([{', '.join(options)}], lambda o: o IS NOT NULL))[1]"
+
+
+def _edited_sql(q: int) -> str:
+    to, due = _DUE[q]
+    then = "{{'c': v[{to}].c + {cost}, 'a': '{letter}' || v[{to}].a, 't': list_concat([{role} || ':' || text], v[{to}].t)}}"
+    options = [f"{{'c': v[{q}].c + 4, 'a': 'D' || v[{q}].a, 't': v[{q}].t}}"]
+    cost = "CASE fault WHEN 't' THEN 3 ELSE 0 END"
+    options += [
+        f"CASE WHEN fault IN ('c', 't') AND initial = '{k}' THEN {then.format(to=n, cost=cost, letter='K', role='role')} END"
+        for k, n in _KEPT[q].items()
+    ]
+    changed = then.format(to=to, cost="3 + " + cost, letter="R", role=f"'{due}'")
+    return _best([*options, f"CASE WHEN fault IN ('c', 't') THEN {changed} END"])
+
+
+def _inserted_sql(q: int, of: str) -> str:
+    to, due = _DUE[q]
+    new = f"{{'c': {of}[{to}].c + 3, 'a': 'I' || {of}[{to}].a, 't': list_concat(['{due}:'], {of}[{to}].t)}}"
+    return _best([f"{of}[{q}]", new])
+
+
+_OP11 = rf"""
+WITH RECURSIVE k AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::BIGINT, range(8)),
+    lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab
+), d AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+      coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)),
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS m
+  FROM conversations, k
+), e AS (
+  SELECT conv_id, turn, CASE m WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE m WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE m WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM d WHERE m <> 0
+), o AS (
+  SELECT *, left(role, 1) AS initial,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS n FROM e
+), f AS MATERIALIZED (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'd'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 't' ELSE 'c' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair FROM o
+), walk AS (
+  SELECT conv_id, max(n) + 1 AS n, [{{'c': 0, 'a': '', 't': []::VARCHAR[]}},
+    {{'c': 6, 'a': 'II', 't': ['user:', 'assistant:']}}, {{'c': 3, 'a': 'I', 't': ['assistant:']}},
+    {{'c': 0, 'a': '', 't': []::VARCHAR[]}}] AS v FROM f GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, n, [{', '.join(_inserted_sql(q, 'i') for q in _STATES)}] FROM (
+    SELECT conv_id, n, [{', '.join(_inserted_sql(q, 'b') for q in _STATES)}] AS i FROM (
+      SELECT f.conv_id, f.n, [{', '.join(_edited_sql(q) for q in _STATES)}] AS b
+      FROM walk w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n - 1))
+), c AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id
+)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v[1].c, 0)::BIGINT AS cost, coalesce(v[1].a, '') AS audit,
+  sha256(coalesce(array_to_string(v[1].t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN walk w ON w.conv_id IS NOT DISTINCT FROM a.conv_id AND w.n = 1
+"""
+
+
+@query("op11_turn_repair", _OP11)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    conversations = table(spark, sf, "conversations")
+    turns = turn_repair.damage(conversations)
+    plans = turn_repair.plan_repairs(turns)
+    plans = materialise(plans, "plans")
+    digests = turn_repair.repaired_digests(turns, plans).withColumnRenamed("conv_id", "_d")
+    known = plans.withColumnRenamed("conv_id", "_p")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (
+        conversations.select("conv_id")
+        .distinct()
+        .join(known, F.col("conv_id").eqNullSafe(F.col("_p")), "left")
+        .join(digests, F.col("conv_id").eqNullSafe(F.col("_d")), "left")
+        .select(
+            "conv_id",
+            *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )

@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test tables
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     got = QUERIES[name](spark, DATA)
     want = duck.execute(ORACLES[name])
