@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from landfold.llm import near_duplicates as near
 from landfold.llm import byte_bpe, fingerprints, neighbours, packing, quality, sanitise, secret_scan, token_counts
-from landfold.llm import turn_repair, warc
+from landfold.llm import tiled_similarity, turn_repair, warc
 from landfold.llm.shared import materialise, table, work_folder
 from landfold.llm.spans import joined
 
@@ -242,9 +242,11 @@ WITH RECURSIVE k AS MATERIALIZED (
   SELECT *, left(role, 1) AS initial,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS n FROM e
 ), f AS MATERIALIZED (
-  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b'
     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'd'
-    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 't' ELSE 'c' END AS fault,
+    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 't' ELSE 'c' END AS fault,
     lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair FROM o
 ), walk AS (
   SELECT conv_id, max(n) + 1 AS n, [{{'c': 0, 'a': '', 't': []::VARCHAR[]}},
@@ -291,3 +293,29 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
             F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
         )
     )
+
+
+_USABLE = """
+  SELECT *, list_transform({e}, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE {e} IS NOT NULL AND len({e}) > 0
+    AND len(list_filter({e}, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+""".replace("{e}", "embedding")
+
+_OP12 = f"""
+WITH RECURSIVE e AS ({_USABLE}),
+n AS (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS length FROM e WHERE list_inner_product(v, v) > 0),
+pairs AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_inner_product(a.v, b.v) / (a.length * b.length) >= 0.9
+), reached AS (
+  SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT p.b, r.c FROM reached r JOIN pairs p ON p.a = r.vec_id
+)
+SELECT e.vec_id, coalesce(k, 0) AS n_links, component_id, e.vec_id = component_id AS kept FROM embeddings e
+LEFT JOIN (SELECT a, count(*) AS k FROM pairs GROUP BY a) ON a = e.vec_id
+JOIN (SELECT vec_id, min(c) AS component_id FROM reached GROUP BY vec_id) r ON r.vec_id = e.vec_id
+"""
+
+
+@query("op12_near_embeddings", _OP12)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return tiled_similarity.near_vectors(table(spark, sf, "embeddings"), 0.9)
