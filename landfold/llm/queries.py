@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfold.llm import near_duplicates as near
-from landfold.llm import byte_bpe, fingerprints, neighbours, packing, quality, sanitise, secret_scan, token_counts
-from landfold.llm import tiled_similarity, turn_repair, warc
+from landfold.llm import byte_bpe, fingerprints, hard_negatives, neighbours, packing, quality, sanitise
+from landfold.llm import secret_scan, tiled_similarity, token_counts, turn_repair, warc
 from landfold.llm.shared import materialise, table, work_folder
 from landfold.llm.spans import joined
 
@@ -319,3 +319,31 @@ JOIN (SELECT vec_id, min(c) AS component_id FROM reached GROUP BY vec_id) r ON r
 @query("op12_near_embeddings", _OP12)
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return tiled_similarity.near_vectors(table(spark, sf, "embeddings"), 0.9)
+
+
+_OP13 = f"""
+WITH e AS ({_USABLE} AND label IS NOT NULL),
+x AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(v, lambda c: floor(256 * c)::DOUBLE) AS v FROM e
+), s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM x a JOIN x b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, p.id AS positive_id,
+  row_number() OVER (PARTITION BY anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank, n.id AS negative_id,
+  p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n USING (anchor_id)
+WHERE NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
+
+@query("op13_hard_negatives", _OP13)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(rows, lambda vec_id: vec_id % 100 == 0)

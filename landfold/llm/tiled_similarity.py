@@ -70,8 +70,8 @@ class Axes:
     nodes: tuple[tuple[int, float, int, int], ...]
 
     def turned(self, x: np.ndarray) -> np.ndarray:
-        """Vectors of length one; those of other dimensions stay as they are turned."""
-        x = x / np.sqrt((x**2).sum(axis=1))[:, None]
+        """Vectors made one long, zero vectors aside; those of other dimensions keep their coordinates."""
+        x = _unit(x)
         return x @ self.turn if x.shape[1] == self.dimension else x
 
     def leaf_of(self, lead: np.ndarray) -> np.ndarray:
@@ -89,9 +89,14 @@ class Axes:
         return -1 - out
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    length = np.sqrt((x**2).sum(axis=1))
+    return x / np.where(length > 0, length, 1.0)[:, None]
+
+
 def fit(sample: np.ndarray, leaves: int) -> Axes:
     """Axes of the greatest second moments of a sample, and a tree that halves its largest leaf again and again."""
-    x = sample / np.sqrt((sample**2).sum(axis=1))[:, None]
+    x = _unit(sample)
     _, vectors = np.linalg.eigh(x.T @ x)
     turn = np.ascontiguousarray(vectors[:, ::-1])
     lead = (x @ turn)[:, :LEAD]
