@@ -23,6 +23,8 @@ _DELETED, _SLICE, _SEED, _AT = "_deleted", "_slice", "_seed", "_at"
 _RESERVED = {
     _DELETED, _SLICE, _SEED, _AT, "_was_deleted", "_cleared", "_old", "_starts", "_stops", "_span", "_last",
     START.lower(), END.lower(),
+    # Those of a stored history.
+    "_first", "_newest", "_late", "_open", "_low", "_part", "_bucket", "_before", "_n",
 }
 
 

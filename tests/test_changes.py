@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import random
 import re
+import shutil
 from dataclasses import replace
 
 import pytest
@@ -407,3 +408,103 @@ def test_history_arguments(spark):
         HistoryRules.of(df, ["k", "seq"], "seq")
     with pytest.raises(ValueError, match="reserved"):
         HistoryRules.of(df.withColumnRenamed("b", "_old_a"), ["k"], "seq")
+
+
+def _in_batches(spark, path, batches, rules, **options):
+    table = ChangeTable(spark, str(path), rules, **options)
+    for batch in batches:
+        table.apply(spark.createDataFrame(batch, SCHEMA))
+    return table
+
+
+@pytest.mark.parametrize(
+    ("ignore_nulls", "tracked", "order"),
+    [(True, ["a"], "as they come"), (True, ["a", "b"], "late"), (True, ["a"], "mixed"), (False, ["a"], "mixed")],
+)
+def test_spliced_batches_same_as_a_walk(spark, tmp_path, ignore_nulls, tracked, order):
+    """Batches after, before and between what is stored, with deletes, ties and null keys."""
+    rows = random_changes(160, 21)
+    if order != "mixed":
+        rows = sorted(rows, key=lambda r: r[1], reverse=order == "late")
+    batches = [rows[:70], rows[70:120], rows[120:]] if order != "mixed" else [rows[i::3] for i in range(3)]
+    rules = HistoryRules.of(
+        spark.createDataFrame(rows, SCHEMA), ["k"], "seq", tie_breakers=["tie"], columns=["a", "b"], track=tracked,
+        ignore_null_updates=ignore_nulls, delete_when="op = 'del'",
+    )
+    table = _in_batches(spark, tmp_path / "t", batches, rules, buckets=3, fan_in=2)
+    assert as_spans(table.read()) == spans_one_by_one(rows, tracked=tracked, ignore_nulls=ignore_nulls)
+
+
+def test_late_deletes_and_equal_sequences(spark, tmp_path):
+    """A delete without a span before it, one between spans, and a change that replaces a delete."""
+    batches = [
+        [("x", 9, 1, "del", None, None), ("y", 5, 1, "up", 1, "p"), ("y", 9, 1, "up", 2, "q"), ("z", 4, 1, "up", 1, "m"), ("z", 6, 1, "del", None, None)],
+        [("x", 3, 1, "up", 1, "a"), ("y", 7, 1, "del", None, None), ("z", 6, 2, "up", 2, None)],
+        [("x", 12, 1, "up", None, "b"), ("y", 9, 2, "up", 1, None), ("z", 5, 1, "up", None, "n")],
+    ]
+    rows = [r for b in batches for r in b]
+    rules = HistoryRules.of(
+        spark.createDataFrame(rows, SCHEMA), ["k"], "seq", tie_breakers=["tie"], columns=["a", "b"], delete_when="op = 'del'"
+    )
+    for n in range(1, 4):
+        table = _in_batches(spark, tmp_path / str(n), batches[:n], rules, buckets=2)
+        held = [r for b in batches[:n] for r in b]
+        assert as_spans(table.read()) == spans_one_by_one(held, tracked=["a", "b"], ignore_nulls=True)
+
+
+def _rows_in(spark, path):
+    return spark.read.parquet(str(path)).count() if path.exists() else 0
+
+
+def test_a_splice_reads_and_rewrites_its_own_buckets_only(spark, tmp_path):
+    """2000 keys with three versions each, 60 of which change: what the batch must not read is gone."""
+    first = [(f"k{i}", s, 1, "up", s * i, "x") for i in range(2000) for s in (1, 2, 3)]
+    rules = HistoryRules.of(spark.createDataFrame(first, SCHEMA), ["k"], "seq", columns=["a", "b"])
+    table = _in_batches(spark, tmp_path / "t", [first], rules, buckets=256)
+    held = table._manifest()
+    changed = [(f"k{i}", 4, 1, "up", -1, "y") for i in range(60)]
+    touched = {
+        str(r[0]) for r in spark.createDataFrame(changed, SCHEMA).select(table._bucket()).distinct().collect()
+    }
+    assert len(touched) < 60
+    for run in held.runs:  # no version is read again
+        shutil.rmtree(tmp_path / "t" / "runs" / run.name)
+    for folder in held.folders():
+        for part in (tmp_path / "t" / "history" / folder).glob("_part=*/_bucket=*"):
+            if part.name.removeprefix("_bucket=") not in touched or part.parent.name == "_part=closed":
+                for file in part.glob("*"):
+                    file.write_bytes(b"not read")
+                (part / f".{next(iter(part.glob('part-*'))).name}.crc").unlink(missing_ok=True)
+    table.apply(spark.createDataFrame(changed, SCHEMA))
+    now = table._manifest()
+    (new,) = now.folders() - held.folders()
+    assert {b for b, name in now.history.items() if name == new} == touched
+    # Open rows of the touched buckets (a span and a mark each), and one closed span for each change.
+    in_touched = sum(1 for i in range(2000) if _bucket_of(spark, table, f"k{i}") in touched)
+    assert _rows_in(spark, tmp_path / "t" / "history" / new / "_part=closed") == 60
+    assert _rows_in(spark, tmp_path / "t" / "history" / new / "_part=open") == 2 * in_touched
+
+
+def _bucket_of(spark, table, key, held={}):  # noqa: B006
+    if id(table) not in held:
+        keys = spark.createDataFrame([(f"k{i}",) for i in range(2000)], "k STRING")
+        held[id(table)] = {r["k"]: str(r["_bucket"]) for r in keys.select("k", table._bucket()).collect()}
+    return held[id(table)][key]
+
+
+def test_a_late_change_reads_versions_from_the_span_before(spark, tmp_path):
+    """Versions of other buckets are gone, and closed spans of other buckets stay where they are."""
+    first = [(f"k{i}", s, 1, "up", s * i, "x") for i in range(1, 41) for s in (10, 20, 30, 40)]
+    rules = HistoryRules.of(spark.createDataFrame(first, SCHEMA), ["k"], "seq", columns=["a", "b"])
+    table = _in_batches(spark, tmp_path / "t", [first], rules, buckets=16)
+    held = table._manifest()
+    late = [("k7", 25, 1, "up", -5, None)]
+    (own,) = {str(r[0]) for r in spark.createDataFrame(late, SCHEMA).select(table._bucket()).collect()}
+    for run in held.runs:
+        for part in (tmp_path / "t" / "runs" / run.name).glob("_bucket=*"):
+            if part.name != f"_bucket={own}":
+                shutil.rmtree(part)
+    table.apply(spark.createDataFrame(late, SCHEMA))
+    now = table._manifest()
+    assert {b for b in now.closed if now.closed[b] != [list(x) for x in held.closed[b]] and now.closed[b] != held.closed[b]} == {own}
+    assert as_spans(table.read()) == spans_one_by_one(first + late, tracked=["a", "b"], ignore_nulls=True)
