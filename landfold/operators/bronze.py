@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfold.functions.names import SourceRule, match_source
@@ -21,17 +21,27 @@ ENVELOPE = (
 )
 
 
+#: Rises along the lines that one task reads, so along each split of a file.
+PLACE = "_place"
+
+
+def running_number() -> Column:
+    """A line's :data:`PLACE`, worked out where it is read. Splits have no number in common."""
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+
+
 def to_bronze(rows: DataFrame, datasource: str) -> DataFrame:
-    """Wrap read rows in the bronze envelope.
+    """Wrap read rows in the bronze envelope; a place, if they have one, is kept beside it.
 
     Typed rows have no raw line, so theirs is written back as CSV in ``value``
     and the parsed columns are kept beside it in a ``data`` struct.
     """
-    typed = [c for c in rows.columns if c not in ("value", "fileMetadata")]
+    placed = [PLACE] if PLACE in rows.columns else []
+    typed = [c for c in rows.columns if c not in ("value", "fileMetadata", PLACE)]
     if typed:
-        fields = [c for c in rows.columns if c != "fileMetadata"]
+        fields = [c for c in rows.columns if c not in ("fileMetadata", PLACE)]
         data = F.struct(*[F.col(f"`{c}`") for c in fields])
-        rows = rows.select(F.to_csv(data).alias("value"), data.alias("data"), "fileMetadata")
+        rows = rows.select(F.to_csv(data).alias("value"), data.alias("data"), "fileMetadata", *placed)
     envelope = rows.select(
         F.col("fileMetadata.file_path").alias("fullFilePath"),
         F.lit(datasource).alias("datasource"),
@@ -41,6 +51,7 @@ def to_bronze(rows: DataFrame, datasource: str) -> DataFrame:
         "value",
         "fileMetadata",
         *(["data"] if typed else []),
+        *placed,
     )
     return envelope
 

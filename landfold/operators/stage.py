@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfold.operators.bronze import ENVELOPE
+from landfold.operators.bronze import ENVELOPE, PLACE
 
 #: Holds the raw line of a row that does not fit its schema, else null.
 CORRUPT = "_corrupt_record"
-#: Orders lines of one file, which share its modification time.
+#: Orders lines of one modification time, and so those of one file.
 LINE_ID = "_line_id"
 SEQUENCE = "sequence_by"
 ORIGIN = "_bronze"
@@ -53,6 +53,15 @@ def parse_lines(
     return lines.withColumn(into, _parsed(value, ddl, options))
 
 
+def _line_id(bronze: DataFrame) -> Column:
+    digest = F.xxhash64("fullFilePath", "value")
+    return F.struct(
+        F.col("fullFilePath").alias("path"),
+        F.col("fileMetadata.file_block_start").alias("split"),
+        (F.coalesce(PLACE, digest) if PLACE in bronze.columns else digest).alias("place"),
+    )
+
+
 def stage(
     bronze: DataFrame,
     ddl: str | T.StructType,
@@ -64,8 +73,9 @@ def stage(
 
     The declared columns come first and only from the line, so a declared name
     such as ``value`` never meets the envelope's column of that name. After them:
-    ``sequence_by`` (the file's modification time), ``_line_id`` (a digest of path
-    and line that orders rows of one file), the corrupt-record column, and the
+    ``sequence_by`` (the file's modification time), ``_line_id`` (path, start of the split
+    and place in it, so that of lines of one time the last one of the last path counts; rows
+    without a place have a digest of their line there), the corrupt-record column, and the
     bronze row in the struct ``_bronze``.
 
     ``mode``: ``permissive`` keeps lines that do not fit, with nulls for what could
@@ -82,7 +92,7 @@ def stage(
     parsed = bronze.select(
         _parsed("value", declared, options).alias("_data"),
         F.col("fileMetadata.file_modification_time").alias(SEQUENCE),
-        F.xxhash64("fullFilePath", "value").alias(LINE_ID),
+        _line_id(bronze).alias(LINE_ID),
         F.struct(*ENVELOPE).alias(ORIGIN),
     ).select(
         *[F.col(f"_data.`{c}`").alias(c) for c in declared.fieldNames()],

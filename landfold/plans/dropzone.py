@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from landfold.functions.names import SourceRule
-from landfold.operators.bronze import landed_sources, split_source, to_bronze, with_source
+from landfold.operators.bronze import PLACE, landed_sources, running_number, split_source, to_bronze, with_source
 from landfold.operators.changes import ChangeRules
 from landfold.operators.expectations import ACTIONS, broken_rules, expect
 from landfold.operators.history import HistoryRules
@@ -102,7 +102,7 @@ class Feed:
 
     @property
     def schema(self) -> T.StructType:
-        """Columns of the feed's bronze table, with its partition column."""
+        """Columns of the feed's bronze table, with a line's place and the partition column."""
         data = (
             f", data {declared_schema(self.csv_schema).simpleString()}"
             if self.csv_schema and self.file_type == "csv"
@@ -110,7 +110,7 @@ class Feed:
         )
         return T.StructType.fromDDL(
             "fullFilePath string, datasource string, inputFileName string, ingestTime timestamp,"
-            f" ingestDate date, value string, fileMetadata {_METADATA}{data}, source string"
+            f" ingestDate date, value string, fileMetadata {_METADATA}{data}, {PLACE} bigint, source string"
         )
 
     @property
@@ -177,7 +177,8 @@ class DropZone:
         """Start ingesting a feed; one pass both lands its rows and splits them by source."""
         feed = self._feed(table)
         datasource = f"{self.landing}/{feed.folder}/" if feed.folder else f"{self.landing}/"
-        bronze = to_bronze(feed.read(self.spark, datasource), datasource)
+        lines = feed.read(self.spark, datasource).withColumn(PLACE, running_number())
+        bronze = to_bronze(lines, datasource)
         routed = with_source(bronze, feed.rules)
         if feed.merge_small_files:
             routed = routed.hint("rebalance", "source")
@@ -187,6 +188,7 @@ class DropZone:
             f"{self.root}/checkpoints/bronze/{feed.table}",
             partition_by=feed.partitions,
             every=every,
+            numbered=True,
         )
 
     def ingest(self, *tables: str) -> None:
@@ -195,7 +197,7 @@ class DropZone:
 
     def bronze(self, table: str | None = None) -> DataFrame:
         """All landed rows of a feed."""
-        return self._routed(self._feed(table)).drop("source")
+        return self._routed(self._feed(table)).drop("source", PLACE)
 
     def sources(self, table: str | None = None) -> DataFrame:
         """File names that have landed, and their sources.
@@ -223,14 +225,17 @@ class DropZone:
 
     def split(self, source: str, table: str | None = None) -> DataFrame:
         """Landed rows of one source; no other source is read."""
+        return self._lines(source, table).drop(PLACE)
+
+    def _lines(self, source: str, table: str | None) -> DataFrame:
         return split_source(self._routed(self._feed(table)), source)
 
     def declare_bronze(self, table: str | None = None) -> list[str]:
         """Name the feed's table in the catalog, and a ``<source>_bronze`` view per source."""
         feed = self._feed(table)
         declare_table(
-            self.spark, feed.table, self._bronze_path(feed), feed.schema,
-            comment=feed.comment, properties=feed.properties, partition_by=feed.partitions,
+            self.spark, feed.table, self._bronze_path(feed),
+            T.StructType([f for f in feed.schema.fields if f.name != PLACE]), comment=feed.comment, properties=feed.properties, partition_by=feed.partitions,
         )
         # One name per source, as few as there are folders.
         sources = [r.source for r in self.sources(feed.table).select("source").distinct().collect()]
@@ -283,7 +288,7 @@ class DropZone:
         row = self.registry().where(F.col("table_name") == name).first()
         if row is None or row.ddl is None:
             raise KeyError(f"no schema for {name!r}")
-        return stage(self.split(name + self.suffix, table), row.ddl, mode=mode, options=parse_options)
+        return stage(self._lines(name + self.suffix, table), row.ddl, mode=mode, options=parse_options)
 
     def _target(
         self,
@@ -443,7 +448,7 @@ class DropZone:
                 source = row.table_name + self.suffix
                 known = flow in ChangeTable.flows(self.spark, f"{self.root}/silver/{row.table_name}")
                 if not known and seen_before(source, batch_id):
-                    lines = self.split(source, feed.table)
+                    lines = self._lines(source, feed.table)
                 elif source in present:
                     lines = split_source(batch, source)
                 else:
@@ -477,8 +482,8 @@ class DropZone:
         registered since the last refresh gets what landed before.
 
         Options, for all tables alike: ``sequence_by`` (by default when a line's file was
-        modified; else columns; of a history one column and tie breakers; lines that tie are
-        told apart by a digest of path and text, not by their place in the file), ``mode``
+        modified; else columns; of a history one column and tie breakers; of lines that tie
+        the one counts that stands last in the file of the last path), ``mode``
         (``permissive`` makes a row of what could be read of a malformed line and sets the line
         aside as well, ``drop`` only sets it aside, ``failfast`` stops), ``parse_options``,
         ``scd_type``, ``ignore_null_updates``, ``delete_when``, ``truncate_when``, ``columns``
@@ -499,7 +504,7 @@ class DropZone:
         for r in ready:
             path = f"{self.root}/silver/{r.table_name}"
             if last >= 0 and flow not in ChangeTable.flows(self.spark, path):
-                lines = self.split(r.table_name + self.suffix, feed.table)
+                lines = self._lines(r.table_name + self.suffix, feed.table)
                 changes, target, aside = self._target(feed, r.table_name, lines, r.ddl, r["keys"], **options)
                 apply_batch(changes, target, flow=flow, batch_id=last, **aside)
         return [r.table_name for r in ready]

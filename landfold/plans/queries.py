@@ -699,11 +699,26 @@ def silver_many_sources(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-@query("silver_by_file_time", _LATEST)
+# What counts is when a line's file was changed, its path, and its place in the file.
+_BY_PLACE = """
+  WITH span AS (SELECT min(ts) AS a, (max(ts) - min(ts)) / 3 AS third FROM events),
+  placed AS (
+    SELECT user_id, event_type, value,
+      (CASE WHEN ts >= a + 2 * third THEN 2 WHEN ts >= a + third THEN 1 ELSE 0 END, event_id % 3,
+       row_number() OVER (ORDER BY event_id DESC)) AS place
+    FROM events, span
+  )
+  SELECT user_id, arg_max(event_type, place) AS event_type, arg_max(value, place) AS value
+  FROM placed GROUP BY user_id
+"""
+
+
+@query("silver_by_file_time", _BY_PLACE)
 def silver_by_file_time(spark: SparkSession, sf: str) -> DataFrame:
-    """Files of one name, ordered by their modification times alone; the newest land first.
+    """All events in files of one name, ordered by modification time, path and line; the newest land first.
 
-    Each file holds a user's last event of its span of time, as a sender's snapshot would.
+    A file has many lines of a user, and within it the last line counts: events stand there
+    in an order that is not that of their times.
     """
     landing = work_folder(spark, "by-time-landing")
     files = Folder(spark, landing)
@@ -717,12 +732,16 @@ def silver_by_file_time(spark: SparkSession, sf: str) -> DataFrame:
         span = F.col("ts") >= F.lit(cuts[i])
         if cuts[i + 1] is not None:
             span = span & (F.col("ts") < F.lit(cuts[i + 1]))
-        newest = events.where(span).groupBy("user_id").agg(
-            *[F.max_by(c, F.struct("ts", "event_id")).alias(c) for c in EVENT_COLUMNS if c != "user_id"]
-        )
-        _as_text(newest.select(*EVENT_COLUMNS)).write.option("header", True).csv(f"{landing}/_drop{i}")
-        for n, part in enumerate(p for p in files.names(f"_drop{i}") if p.startswith("part-")):
-            files.move(f"_drop{i}/{part}", f"drop{i}/{n}/events.csv", at=1_700_000_000 + 86_400 * i)
+        if i == 0:
+            span = ~F.coalesce(F.col("ts") >= F.lit(cuts[1]), F.lit(False))
+        lines = _as_text(events.where(span).select(*EVENT_COLUMNS)).withColumn("n", F.col("event_id") % 3)
+        # One file for each n, as a sender would write it from end to end.
+        lines = lines.repartition("n").sortWithinPartitions("n", F.col("event_id").desc())
+        lines.write.partitionBy("n").option("header", True).csv(f"{landing}/_drop{i}")
+        for n in range(3):
+            for part in files.names(f"_drop{i}/n={n}"):
+                if part.startswith("part-"):
+                    files.move(f"_drop{i}/n={n}/{part}", f"drop{i}/{n}/events.csv", at=1_700_000_000 + 86_400 * i)
         files.delete(f"_drop{i}")
         zone.ingest()
         zone.refresh_silver(**_PICK)

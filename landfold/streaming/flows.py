@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,11 +23,33 @@ def _started(writer: DataStreamWriter, checkpoint: str, every: str | None, name:
     return (writer.queryName(name) if name else writer).start()
 
 
+_STARTING = threading.Lock()
+_CHECK = "spark.sql.streaming.unsupportedOperationCheck"
+
+
+@contextmanager
+def _numbers_allowed(spark: SparkSession) -> Iterator[None]:
+    """Lets a stream start that has a running number.
+
+    Spark refuses one since it begins anew with each batch; it is no matter where numbers are
+    only compared within a split, which is read by one task of one batch. Spark looks when
+    a stream is started and not again.
+    """
+    with _STARTING:
+        before = spark.conf.get(_CHECK)
+        spark.conf.set(_CHECK, "false")
+        try:
+            yield
+        finally:
+            spark.conf.set(_CHECK, before)
+
+
 def append(
     rows: DataFrame,
     path: str,
     checkpoint: str,
     *,
+    numbered: bool = False,
     flow: str | None = None,
     partition_by: Sequence[str] = (),
     every: str | None = None,
@@ -36,7 +60,7 @@ def append(
     A table fed by one stream is that stream's output folder. When several are
     to feed it, each must name its ``flow`` and gets a folder of its own below
     the table: the sink counts batches per folder and would take one flow's
-    batches for repeats of another's.
+    batches for repeats of another's. ``numbered`` rows have a running number.
     """
     folder = path if flow is None else f"{path}/{flow}"
     spark = rows.sparkSession
@@ -45,7 +69,8 @@ def append(
     writer = rows.writeStream.format("parquet").outputMode("append").option("path", folder)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return _started(writer, checkpoint, every, name)
+    with _numbers_allowed(spark) if numbered else nullcontext():
+        return _started(writer, checkpoint, every, name)
 
 
 def flow_identity(spark: SparkSession, checkpoint: str) -> str:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import types as T
 
 from landfold import ChangeTable, DropZone, Feed
+from landfold.operators.bronze import ENVELOPE
 
 #: Tables with columns of every kind, and keys of one and of several columns.
 TABLES = {
@@ -420,3 +421,34 @@ def test_reading_one_source_reads_its_folder_only(spark, drop):
     plan = split._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[.*source.*claims_csv", plan)
     assert all("source=claims_csv" in r[0] for r in split.selectExpr("_metadata.file_path").collect())
+
+
+@pytest.mark.parametrize("merge", [False, True])
+def test_of_lines_of_one_time_the_last_counts(spark, drop, tmp_path, merge):
+    """Several lines a key in a file, over many splits; files of one time go by their path."""
+    import random
+
+    rng = random.Random(3)
+    keys = [rng.randrange(40) for _ in range(3000)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        for name, at in [("b/items.csv", 1000), ("a/items.csv", 1000), ("old/items.csv", 500)]:
+            lines = ["k,n", *(f"{k},{name[0]}{i}" for i, k in enumerate(keys))]
+            drop(name, lines, at)
+        # A key that stands in the older file and in the lesser path only.
+        drop("old/z/items.csv", ["k,n", "77,first", "77,last"], 500)
+        drop("a/z/items.csv", ["k,n", "78,2", "78,10", "78,1"], 1000)
+        feed = Feed("all", merge_small_files=merge)
+        zone = DropZone(spark, drop.landing, drop.root, [feed])
+        ddl = tmp_path / "ddl"
+        ddl.mkdir()
+        (ddl / "items.ddl").write_text("struct<k:int,n:string>")
+        zone.run(str(ddl), {"items": ["k"]})
+        splits = {r.fileMetadata.file_block_start for r in zone.bronze().select("fileMetadata").collect()}
+        assert len(splits) > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = {k: f"b{i}" for i, k in enumerate(keys)} | {77: "last", 78: "1"}
+    assert {r.k: r.n for r in zone.silver("items").collect()} == want
+    assert zone.bronze().columns == list(ENVELOPE)
+    assert zone.split("items_csv").columns == list(ENVELOPE)
