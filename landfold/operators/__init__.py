@@ -4,6 +4,7 @@ from landfold.operators.bronze import ENVELOPE, landed_sources, split_source, to
 from landfold.operators.changes import ChangeRules, apply_changes, unsequenced
 from landfold.operators.expectations import expect, violations
 from landfold.operators.history import apply_changes_history
+from landfold.operators.records import quoted_records
 from landfold.operators.registry import (
     build_registry,
     load_ddl,
@@ -26,6 +27,7 @@ __all__ = [
     "load_keys",
     "parse_lines",
     "quarantined",
+    "quoted_records",
     "registry_problems",
     "split_source",
     "stage",

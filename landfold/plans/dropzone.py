@@ -33,6 +33,7 @@ from landfold.operators.bronze import PLACE, landed_sources, running_number, spl
 from landfold.operators.changes import ChangeRules
 from landfold.operators.expectations import ACTIONS, broken_rules, expect
 from landfold.operators.history import HistoryRules
+from landfold.operators.records import quoted_records
 from landfold.operators.registry import (
     build_registry,
     load_ddl,
@@ -80,6 +81,10 @@ class Feed:
     ``split`` partitions bronze by source, so that a source is read without the
     others. Turn it off where nearly every file has a name, and so a source, of its own.
 
+    ``quoted_lines`` is for CSV files whose quoted fields hold line breaks. Bronze has their
+    lines as they are, headers too; stages and keyed tables are made of whole records, and
+    take what a batch of bronze has at once, so that no file is torn.
+
     One limit paces a batch: ``max_files``, or ``max_bytes`` with ``max_files=None``.
     """
 
@@ -97,6 +102,7 @@ class Feed:
     rules: tuple[SourceRule, ...] = ()
     merge_small_files: bool = False
     split: bool = True
+    quoted_lines: bool = False
     comment: str | None = None
     properties: Mapping[str, object] = field(default_factory=dict)
 
@@ -122,7 +128,9 @@ class Feed:
             "skip_rows": self.skip_rows, "max_files": self.max_files, "max_bytes": self.max_bytes,
             "options": self.options, "streaming": streaming,
         }
-        if self.file_type != "csv":
+        if self.quoted_lines and (self.file_type != "csv" or self.csv_schema or self.skip_rows):
+            raise ValueError("quoted_lines is for CSV files that are landed as lines, from their first line on")
+        if self.file_type != "csv" or self.quoted_lines:
             return read_text(spark, path, whole_text=self.whole_text, **paced)
         if self.csv_schema is None:
             return read_lines(spark, path, header=self.header, **paced)
@@ -230,6 +238,16 @@ class DropZone:
     def _lines(self, source: str, table: str | None) -> DataFrame:
         return split_source(self._routed(self._feed(table)), source)
 
+    @staticmethod
+    def _pace(feed: Feed) -> dict[str, object]:
+        # A file's lines land with one batch of bronze, which is taken whole if nothing limits it.
+        return {} if feed.quoted_lines else {"max_files": feed.max_files, "max_bytes": feed.max_bytes}
+
+    @staticmethod
+    def _records(feed: Feed, lines: DataFrame) -> DataFrame:
+        """What one row each is to be made of."""
+        return quoted_records(lines, header=feed.header) if feed.quoted_lines else lines
+
     def declare_bronze(self, table: str | None = None) -> list[str]:
         """Name the feed's table in the catalog, and a ``<source>_bronze`` view per source."""
         feed = self._feed(table)
@@ -288,7 +306,8 @@ class DropZone:
         row = self.registry().where(F.col("table_name") == name).first()
         if row is None or row.ddl is None:
             raise KeyError(f"no schema for {name!r}")
-        return stage(self._lines(name + self.suffix, table), row.ddl, mode=mode, options=parse_options)
+        records = self._records(self._feed(table), self._lines(name + self.suffix, table))
+        return stage(records, row.ddl, mode=mode, options=parse_options)
 
     def _target(
         self,
@@ -321,7 +340,7 @@ class DropZone:
         declared = declared_schema(ddl).fieldNames()
         # Dropping is left to the flow, which sets the dropped lines aside.
         parsing = "failfast" if mode == "failfast" else "permissive"
-        staged = stage(lines, ddl, mode=parsing, options=parse_options)
+        staged = stage(self._records(feed, lines), ddl, mode=parsing, options=parse_options)
         if expectations and on_violation == "fail":
             staged = expect(staged, expectations, action="fail")
         unplaced = reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in sequence])
@@ -386,7 +405,7 @@ class DropZone:
         tables, :meth:`start_all_silver` reads bronze once for all of them.
         """
         feed = self._feed(table)
-        routed = self._routed(feed, streaming=True, max_files=feed.max_files, max_bytes=feed.max_bytes)
+        routed = self._routed(feed, streaming=True, **self._pace(feed))
         lines = split_source(routed, source or name + self.suffix)
         changes, target, aside = self._target(feed, name, lines, ddl, keys, **options)
         return apply_stream(
@@ -459,7 +478,7 @@ class DropZone:
             with ThreadPoolExecutor(at_once) as pool:
                 list(pool.map(one, ready()))
 
-        routed = self._routed(feed, streaming=True, max_files=feed.max_files, max_bytes=feed.max_bytes)
+        routed = self._routed(feed, streaming=True, **self._pace(feed))
         return for_each_batch(routed, handle, self._silver_checkpoint(feed), every=every)
 
     def _silver_checkpoint(self, feed: Feed) -> str:

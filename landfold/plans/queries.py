@@ -197,6 +197,27 @@ def ingest_skip_rows(spark: SparkSession, sf: str) -> DataFrame:
     return zone.bronze().select("value")
 
 
+@query("ingest_quoted_lines", "SELECT doc_id, coalesce(text, '') AS text, lang, source, n_chars FROM documents")
+def ingest_quoted_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents in CSV files, their line breaks between quotes, landed line by line."""
+
+    def write(path: str) -> None:
+        documents = table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+        kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        documents.write.options(header=True, quoteAll=True, escape='"', **kept).csv(path)
+
+    landing = _landed(spark, sf, "documents-quoted", write)
+    zone = _zone(
+        spark, "quoted-lines", landing, Feed("texts", quoted_lines=True, rules=((r"/[^/]+$", "documents_csv"),))
+    )
+    zone.ingest()
+    ddl = "struct<doc_id:bigint,text:string,lang:string,source:string,n_chars:bigint>"
+    Folder(spark, f"{zone.root}/ddl").publish("documents.ddl", ddl)
+    zone.load_registry(f"{zone.root}/ddl", {"documents": ["doc_id"]})
+    staged = zone.stage("documents", parse_options={"escape": '"'})
+    return staged.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang", "source", "n_chars")
+
+
 @query(
     "ingest_whole_text",
     "SELECT bucket, length(v) AS n, md5(v) AS digest FROM (SELECT page_id // 100 AS bucket,"

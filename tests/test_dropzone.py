@@ -452,3 +452,35 @@ def test_of_lines_of_one_time_the_last_counts(spark, drop, tmp_path, merge):
     assert {r.k: r.n for r in zone.silver("items").collect()} == want
     assert zone.bronze().columns == list(ENVELOPE)
     assert zone.split("items_csv").columns == list(ENVELOPE)
+
+
+@pytest.mark.parametrize("splits", ["256", "1m"])
+def test_line_breaks_between_quotes(spark, drop, tmp_path, splits):
+    """Records over many lines and many splits, blank lines in them, and a file with an odd quote."""
+    import csv
+    import io
+    import random
+
+    rng = random.Random(8)
+
+    def text(rows):
+        out = io.StringIO()
+        csv.writer(out, lineterminator="\n").writerows(rows)
+        return out.getvalue()
+
+    words = ["a", 'say "no"', "x,y", "\n", "\n\n", "line\nbreak", "", "z" * 100, '""', "end\n"]
+    rows = [(i, "".join(rng.choice(words) for _ in range(rng.randrange(6))), i % 7) for i in range(200)]
+    drop("one/notes.csv", [text([("k", "note\nhead", "n"), *rows[:120]]).rstrip("\n")])
+    drop("two/notes.csv", ["", text([("k", "note", "n"), *rows[120:]]).rstrip("\n"), ""])
+    drop("odd/notes.csv", ["k,note,n", '900,5" pipe,1', "901,whole,2"])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", splits)
+    try:
+        zone = DropZone(spark, drop.landing, drop.root, [Feed("all", quoted_lines=True, max_files=1)])
+        zone.run(write_ddl(tmp_path, {"notes": "struct<k:int,note:string,n:int>"}), {"notes": ["k"]}, parse_options={"escape": '"'})
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = {r.k: (r.note or "", r.n) for r in zone.silver("notes").collect() if r.k is not None}
+    assert got.pop(900)[0].startswith("5") and got.pop(901) == ("whole", 2)
+    assert got == {k: (note, n) for k, note, n in rows}
+    with pytest.raises(ValueError, match="quoted_lines"):
+        Feed("x", quoted_lines=True, skip_rows=1).read(spark, drop.landing)
