@@ -7,7 +7,7 @@ tree, whose nodes hold the largest room left below them.
 
 Inputs: null text counts as empty and is a document of its end id alone; repeated rows
 are documents of their own; a piece's group does not depend on its id, so ids may be null
-or repeat; an empty table gives no pieces; other columns are ignored.
+or repeat; texts of any length are whole documents; an empty table gives no pieces; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -59,14 +59,19 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
+        special = {t.content: i for i, t in self._tokenizer.get_added_tokens_decoder().items()}
+        # The literals of special tokens are found here, in their exact spelling, as words are lowered.
         self._tokenizer.encode_special_tokens = True
+        self._special = re.compile("(" + "|".join(re.escape(t) for t in sorted(special, key=len, reverse=True)) + ")")
+        #: A word never begins with a space, so these names are free.
+        self._ids = {b" " + t.encode(): i.to_bytes(4, "little") for t, i in special.items()}
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._last = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self._last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_words(t) for t in texts]
+        split = [self._split(t) for t in texts]
         known = self._known
         if len(known) > REMEMBERED:
             known.clear()
@@ -75,9 +80,19 @@ class WordEncoder:
             self._learn(missing)
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
+    def _split(self, text: str) -> list[bytes]:
+        """The words of a text, and special tokens where their literals stand in it."""
+        if not self._ids:
+            return _words(text)
+        parts = self._special.split(text)
+        if len(parts) == 1:
+            return _words(text)
+        return [w for i, p in enumerate(parts) for w in ([b" " + p.encode()] if i % 2 else _words(p))]
+
     def _learn(self, words: set[bytes]) -> None:
+        self._known.update(self._ids)
         plain, other = [], []
-        for w in words:
+        for w in words.difference(self._ids):
             text = w.decode("utf-8", "replace")
             (plain if text.isalpha() else other).append((w, text))
         for at in range(0, len(plain), 2000):

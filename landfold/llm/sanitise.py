@@ -2,15 +2,21 @@
 
 Personal data of four kinds is found by patterns and checks. What else reveals it is a
 question of information: a term t tells PMI(t; e) = log p(e|t) / p(e) about a value e, and
-e itself holds IC(e) = -log p(e). Both are counted over the corpus, by lines: p(e|t) is
-the share of a term's occurrences that stand in a line with e. A term that tells nearly
-all of IC(e) is removed, one that tells all but a bit is generalised, wherever it
-stands. Copies of a text would make every word of it such a term, so that a term must stand
-beside e in several different contexts (the words before and after it).
-
-Inputs: null text counts as empty and has no spans; equal texts get equal spans; rows
-may repeat and ids be null; an empty table has no terms; other columns pass through
-unchanged. All of it is column expressions and joins.
+e itself holds IC(e) = -log p(e). Both are counted over the corpus, by lines: p(e) is the
+share of lines with e, and p(e|t) that of a term's different contexts (the words before and
+after it in its line) which stand in a line with e, smoothed towards p(e) as if half a
+context more had been seen. Values of any number of lines take part. A term that tells
+nearly all of IC(e) is removed, one that tells all but a bit is generalised, wherever it
+stands. Copies of a line have the same contexts and count once; as each rare word of a single
+line would be a term, a term needs two contexts beside e.
+
+A generalised term is replaced by a broader one: the word that stands in the most of its
+contexts, in two at least, and is no term itself. Where there is none, a label stands for it.
+
+Inputs: null text counts as empty and has no spans; equal texts get equal spans; texts of any
+length are looked at whole; rows may repeat and ids be null; an empty table has no terms;
+other columns pass through unchanged, but ``personal_spans`` is replaced. All of it is column
+expressions and joins.
 """
 
 from __future__ import annotations
@@ -37,8 +43,12 @@ _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 #: Bits of IC(e) that a term may leave open and still be removed, or generalised.
 REMOVED_WITHIN = math.log2(1 / 0.9)
 GENERALISED_WITHIN = 1.0
-#: Different contexts in which a term must stand beside a value.
-SUPPORT = 3
+#: Different contexts in which a term must stand beside a value, and a broader one in a term's place.
+SUPPORT = 2
+#: Contexts that p(e) counts for in p(e|t).
+PRIOR = 0.5
+#: Parts that texts of one content are dealt into where their terms are joined to them.
+SALTS = 16
 WORD = r"[\p{L}]+"
 
 
@@ -63,64 +73,92 @@ def base_spans(text: Column) -> Column:
     )
 
 
-def revealing_terms(docs: DataFrame) -> DataFrame:
-    """(term, kind): terms of the corpus that reveal personal data, and what is done with them."""
-    lines = docs.select(whole_text().alias("text"))
-    # Values by line, from the texts that have any.
-    with_some = lines.withColumn("spans", base_spans(F.col("text"))).where(F.size("spans") > 0)
-    own_lines = with_some.select(F.explode(F.split("text", "\n")).alias("line")).withColumn(
-        "spans", base_spans(F.col("line"))
+def _values(line: Column) -> Column:
+    """Distinct values of a line as kind:text, in small letters."""
+    return F.array_distinct(
+        F.transform(
+            base_spans(line),
+            lambda s: F.concat_ws(":", s["kind"], F.lower(F.substring(line, s["start"] + 1, s["end"] - s["start"]))),
+        )
     )
-    valued = own_lines.where(F.size("spans") > 0).select(
-        "line",
-        F.array_distinct(
-            F.transform(
-                "spans",
-                lambda s: F.concat_ws(
-                    ":", s["kind"], F.lower(F.substring(F.col("line"), s["start"] + 1, s["end"] - s["start"]))
-                ),
-            )
-        ).alias("values"),
+
+
+def disclosure(docs: DataFrame) -> DataFrame:
+    """(e, term, c_te, c_t, pmi, open): what terms tell of values, in bits, and what of IC(e) stays open.
+
+    Pairs of fewer than SUPPORT contexts are left out.
+    """
+    lines = docs.select(F.explode(F.split(whole_text(), "\n")).alias("line"))
+    some = F.regexp_like("line", F.lit("@|[0-9]"))  # no value is without one of these
+    valued = (
+        lines.where(some)
+        .groupBy("line")
+        .agg(F.count("*").alias("n"))
+        .withColumn("values", _values(F.col("line")))
+        .where(F.size("values") > 0)
     )
     valued = materialise(valued, "valued-lines")
-    beside = valued.select("line", F.explode("values").alias("e"))
-    counted = beside.groupBy("e").agg(
-        F.count("*").alias("c_e"), F.count_distinct(F.xxhash64("line")).alias("lines")
-    )
-    # Lines beyond the value itself: its own letters are no terms.
-    seen = (
-        beside.join(counted.where(F.col("lines") >= SUPPORT).select("e"), "e")
-        .withColumn("rest", F.regexp_replace("line", "|".join([EMAIL, IP, CARD, PHONE]), " "))
-        .select("e", F.explode(_in_context(F.col("rest"))).alias("w"))
-    )
+    beside = valued.select("line", "n", F.explode("values").alias("e"), "values")
+    counted = beside.groupBy("e").agg(F.sum("n").alias("c_e"))
+    # The letters of the line's own values are no terms.
+    own = F.regexp_extract_all(F.lower(F.array_join("values", " ")), F.lit(WORD), 0)
     pairs = (
-        seen.groupBy("e", F.col("w.word").alias("term"), F.col("w.context").alias("context"))
-        .agg(F.count("*").alias("n"))
-        .groupBy("e", "term")
-        .agg(F.sum("n").alias("c_te"), F.count("*").alias("contexts"))
-        .where(F.col("contexts") >= SUPPORT)
+        beside.select("e", own.alias("own"), F.explode(_in_context(F.col("line"))).alias("w"))
+        .where(~F.array_contains("own", F.col("w.word")))
+        .groupBy("e", F.col("w.word").alias("term"))
+        .agg(F.count_distinct("w.context").alias("c_te"))
+        .where(F.col("c_te") >= SUPPORT)
     )
     pairs = materialise(pairs, "pairs")
-    words = (
-        lines.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0)).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("c_t"))
-    )
-    total = lines.agg(F.sum(F.size(F.split("text", "\n"))).alias("n")).first()["n"] or 1
-    # p(e|t) = c_te / c_t and p(e) = c_e / lines; IC(e) - PMI(t; e) is what stays open.
-    pmi = F.log2((F.least(F.col("c_te"), F.col("c_t")) / F.col("c_t")) / (F.col("c_e") / F.lit(total)))
-    left_open = -F.log2(F.col("c_e") / F.lit(total)) - pmi
+    # All contexts of those terms, whatever stands beside them.
+    words = _contexts(lines).join(pairs.select(F.col("term").alias("word")).distinct(), "word", "left_semi")
+    words = words.distinct().groupBy(F.col("word").alias("term")).agg(F.count("*").alias("c_t"))
+    total = lines.agg(F.count("*").alias("total"))
+    p_e = F.col("c_e") / F.lit(total.first()["total"] or 1)
+    p = (F.col("c_te") + PRIOR * p_e) / (F.col("c_t") + PRIOR)
+    pmi = F.log2(p / p_e)
     return (
-        pairs.join(counted.select("e", "c_e"), "e")
+        pairs.join(counted, "e")
         .join(words, "term")
+        .select("e", "term", "c_te", "c_t", pmi.alias("pmi"), (-F.log2(p_e) - pmi).alias("open"))
+    )
+
+
+def _contexts(lines: DataFrame) -> DataFrame:
+    return lines.select(F.explode(_in_context(F.col("line"))).alias("w")).select("w.word", "w.context")
+
+
+def revealing_terms(docs: DataFrame) -> DataFrame:
+    """(term, kind, broader): terms of the corpus that reveal personal data, and what is done with them."""
+    terms = (
+        disclosure(docs)
         .groupBy("term")
-        .agg(F.min(left_open).alias("open"))
+        .agg(F.min("open").alias("open"))
         .where(F.col("open") <= GENERALISED_WITHIN)
         .select(
             "term",
             F.when(F.col("open") <= REMOVED_WITHIN, F.lit("removed")).otherwise(F.lit("generalised")).alias("kind"),
         )
     )
+    terms = materialise(terms, "terms")
+    general = terms.where(F.col("kind") == "generalised").select("term")
+    if general.isEmpty():
+        return terms.withColumn("broader", F.lit(None).cast("string"))
+    all_contexts = _contexts(docs.select(F.explode(F.split(whole_text(), "\n")).alias("line")))
+    places = all_contexts.join(general.withColumnRenamed("term", "word"), "word", "left_semi").distinct()
+    places = materialise(places.select(F.col("word").alias("term"), "context"), "places")
+    # A context is one of few words; where it is common, pairs are made distinct before they meet.
+    others = all_contexts.join(places.select("context").distinct(), "context", "left_semi").distinct()
+    others = others.join(terms.select(F.col("term").alias("word")), "word", "left_anti")
+    broader = (
+        places.join(others, "context")
+        .groupBy("term", "word")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") >= SUPPORT)
+        .groupBy("term")
+        .agg(F.min_by("word", F.struct(-F.col("n"), "word")).alias("broader"))
+    )
+    return terms.join(broader, "term", "left")
 
 
 def _in_context(line: Column) -> Column:
@@ -139,29 +177,47 @@ def _in_context(line: Column) -> Column:
     )
 
 
-def find_personal(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """``docs`` with ``personal_spans``: base kinds as listed, each by start, then revealing terms.
+_TERMS = "_landfold_terms"
 
-    ``terms`` are those of this corpus if none are given.
-    """
-    terms = materialise(revealing_terms(docs) if terms is None else terms, "terms")
-    found = docs.withColumn("personal_spans", base_spans(whole_text()))
+
+def _with_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """``docs`` with an array of the terms that their texts hold; null where there are none."""
     if terms.isEmpty():
-        return found
-    key = F.md5(whole_text())
+        kept = "array<struct<term:string,kind:string,broader:string>>"
+        return docs.withColumn(_TERMS, F.lit(None).cast(kept))
+    key, salt = F.md5(whole_text()), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0))
     own = (
         docs.select(key.alias("_landfold_key"), whole_text().alias("text"))
-        .select("_landfold_key", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0))).alias("term"))
+        .select("_landfold_key", F.explode(words).alias("term"))
         .join(terms, "term")
         .distinct()
         .groupBy("_landfold_key")
-        .agg(*[F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.col("term")))).alias(f"_landfold_{k}") for k in KINDS[4:]])
-    )
-    joined = found.withColumn("_landfold_key", key).join(own, "_landfold_key", "left")
-    added = [_term_spans(whole_text(), F.col(f"_landfold_{k}"), k) for k in KINDS[4:]]
-    return joined.withColumn("personal_spans", F.concat("personal_spans", *added)).select(
-        *docs.columns, "personal_spans"
+        .agg(F.sort_array(F.collect_list(F.struct("term", "kind", "broader"))).alias(_TERMS))
+        # Copies of a text are many rows of one key: each salt has a row for them to meet.
+        .withColumn("_landfold_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
+    keyed = docs.withColumn("_landfold_key", key).withColumn("_landfold_salt", salt)
+    return keyed.join(own, ["_landfold_key", "_landfold_salt"], "left").select(*docs.columns, _TERMS)
+
+
+def _spans_with_terms(docs: DataFrame, terms: DataFrame | None) -> DataFrame:
+    terms = revealing_terms(docs) if terms is None else terms
+    if "broader" not in terms.columns:
+        terms = terms.withColumn("broader", F.lit(None).cast("string"))
+    found = _with_terms(docs, materialise(terms.select("term", "kind", "broader"), "terms"))
+    of = lambda kind: F.transform(F.filter(_TERMS, lambda t: t["kind"] == kind), lambda t: t["term"])
+    added = [_term_spans(whole_text(), of(k), k) for k in KINDS[4:]]
+    return found.withColumn("personal_spans", F.concat(base_spans(whole_text()), *added))
+
+
+def find_personal(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """``docs`` with ``personal_spans``: base kinds as listed, each by start, then revealing terms.
+
+    ``terms`` (term, kind, and perhaps broader) are those of this corpus if none are given.
+    """
+    found = _spans_with_terms(docs, terms)
+    return found.select(*[c for c in docs.columns if c != "personal_spans"], "personal_spans")
 
 
 def _term_spans(text: Column, words: Column, kind: str) -> Column:
@@ -172,11 +228,22 @@ def _term_spans(text: Column, words: Column, kind: str) -> Column:
 
 def sanitise(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced by its kind, and revealing terms removed or generalised."""
-    found = find_personal(docs, terms)
+    found = _spans_with_terms(docs, terms)
+
+    def named(s: Column) -> Column:
+        """A span whose kind is followed by what is broader, if there is such a term."""
+        word = F.lower(F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]))
+        own = F.get(F.filter(_TERMS, lambda t: t["term"] == word), F.lit(0))["broader"]
+        kind = F.when(s["kind"] == "generalised", F.concat_ws(":", s["kind"], own)).otherwise(s["kind"])
+        return F.struct(kind.alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
 
     def label(kind: Column) -> Column:
-        return F.when(kind == "removed", F.lit("")).otherwise(F.concat(F.lit("["), F.upper(kind), F.lit("]")))
+        return (
+            F.when(kind == "removed", F.lit(""))
+            .when(F.startswith(kind, F.lit("generalised:")), F.substring(kind, 13, F.length(kind)))
+            .otherwise(F.concat(F.lit("["), F.upper(kind), F.lit("]")))
+        )
 
-    return found.withColumn(
-        "text", F.when(F.col("text").isNotNull(), replaced(F.col("text"), F.col("personal_spans"), label))
-    ).drop("personal_spans")
+    clean = replaced(F.col("text"), F.transform("personal_spans", named), label)
+    text = F.when(F.col("text").isNotNull(), clean)
+    return found.withColumn("text", text).select(*[c for c in docs.columns if c != "personal_spans"])

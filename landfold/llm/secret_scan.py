@@ -1,21 +1,26 @@
 """Secret scan: rules of known shape, and two character Markov models.
 
 The rules are patterns. The models are first-order Markov chains over characters: one of
-random strings, trained on the values that the rules find, one of ordinary identifiers,
-trained on the short words of other text. A long run of identifier characters that no rule
-has found is a secret if its log-likelihood ratio, a character, is over a fixed threshold.
-What is judged, long runs, trains neither model, so that no unknown secret can pass for an
-ordinary identifier or raise the bar for others. All of it is column expressions.
-
-Inputs: null text counts as empty and has no spans; equal texts get equal spans; an
-empty table trains models that know nothing, which find nothing; other columns pass
-through unchanged.
+random strings, trained on the values that the rules find and on digests, one of ordinary identifiers,
+trained on the short words of other text and on identifiers made of them, as programmers
+do: several words joined by ``_``, ``-`` or ``/`` or in camel case, some with a number. A long
+run of identifier characters that no rule has found is a secret if its log-likelihood
+ratio, a character, is over a threshold. The threshold is as high as still finds nearly all
+random strings, whichever alphabet they are drawn from, and no lower than what nearly all
+identifiers stay below, as measured on labelled strings that trained neither model. Runs found in texts train nothing, so that no unknown
+secret can pass for an ordinary identifier or raise the bar for others. UUIDs are names, not
+secrets, and are left out of what is judged. All of it is column expressions.
+
+Inputs: null text counts as empty and has no spans; equal texts get equal spans; texts of
+any length are looked at whole; an empty table trains models that know nothing, which
+find nothing; other columns pass through unchanged, but ``secret_spans`` is replaced.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +44,11 @@ KEYLIKE = r"^(?=.*[0-9])(?=.*[A-Za-z]).{12,}$"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Texts that the models learn from: so many with secrets, so many without.
 SAMPLE = 4000
-#: Natural logarithms a character by which a string must be likelier random than ordinary.
-MARGIN = 0.25
+#: Share of identifiers that stay below the threshold, and of random strings that may.
+ORDINARY, RANDOM = 0.999, 0.04
+#: Words of an identifier that is made up.
+JOINED = 4
+UUID = r"(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})"
 #: Share of the flat model in that of ordinary identifiers, so that a few pairs never seen decide nothing.
 UNSEEN = 0.02
 _N = len(ALPHABET) + 1
@@ -89,7 +97,9 @@ def train(docs: DataFrame) -> MarkovModels:
 
     Random strings are what the rules find in at most SAMPLE texts; ordinary identifiers
     are the words, too short for a candidate and not like keys, of at most SAMPLE texts
-    without a hint of a rule. Which texts are taken depends on a hash of the text alone;
+    without a hint of a rule, and what is made of them. Half of the strings, by their hash,
+    train the models and the long ones of the other half set the threshold. Random strings are
+    joined by some of three further alphabets, cut from digests of the same texts. Which texts are taken depends on a hash of the text alone;
     repeated strings count once.
     """
     texts = docs.select(whole_text().alias("text"))
@@ -121,12 +131,65 @@ def train(docs: DataFrame) -> MarkovModels:
             )
         ).alias("string")
     )
-    words = sample(~F.regexp_like("text", hint)).select(
-        F.explode(F.regexp_extract_all("text", F.lit(WORD), 0)).alias("string")
+    short = lambda w: ~F.regexp_like(w, F.lit(CANDIDATE)) & ~F.regexp_like(w, F.lit(KEYLIKE))
+    without = sample(~F.regexp_like("text", hint))
+    words = without.select(
+        F.filter(F.regexp_extract_all("text", F.lit(WORD), 0), short).alias("words")
+    )
+    usual = words.select(F.explode(F.concat("words", _made_up(F.col("words")))).alias("string"))
+    digest = without.select(F.sha2("text", 256).alias("d")).distinct()
+    alphabets = {
+        "base64": F.base64(F.unhex(F.substring("d", 1, 48))),
+        "upper hex": F.upper(F.substring("d", 1, 32)),
+        "base36": F.lower(F.concat(F.conv(F.substring("d", 1, 15), 16, 36), F.conv(F.substring("d", 16, 15), 16, 36))),
+    }
+    drawn = [digest.select(F.lit(k).alias("kind"), s.alias("string")) for k, s in alphabets.items()]
+    random = reduce(DataFrame.unionByName, [random.select(F.lit("rules").alias("kind"), "string"), *drawn])
+    usual = usual.select(F.lit("").alias("kind"), "string")
+    half = F.pmod(F.xxhash64("string", F.lit("half")), F.lit(2))
+    chance_n, usual_n = _counted(random.where(half == 0)), _counted(usual.where(half == 0))
+    ratios = _ratios(chance_n, usual_n)
+    if not usual_n:
+        return MarkovModels(ratios, math.inf)
+    # What the hex rule finds anyway is never judged.
+    unknown = random.where(~F.regexp_like("string", F.lit(HEX)))
+    judged = usual.unionByName(unknown).where((half == 1) & (F.length("string") >= 20))
+    # By kind, the ratio that so many of its strings stay below.
+    ordered = judged.distinct().withColumn("ratio", _mean(ratios, F.col("string"))).groupBy("kind").agg(
+        F.percentile_approx("ratio", [ORDINARY, RANDOM], 10_000).alias("at")
+    )
+    at = {r["kind"]: r["at"] for r in ordered.collect()}
+    if "" not in at:
+        return MarkovModels(ratios, math.inf)
+    return MarkovModels(ratios, max(at[""][0], min(r[1] for k, r in at.items() if k)))
+
+
+def _made_up(words: Column) -> Column:
+    """Identifiers of JOINED neighbouring words each, in four manners of writing and some with a number."""
+    plain = F.filter(words, lambda w: F.regexp_like(w, F.lit("^[A-Za-z]{2,}$")))
+    return let(
+        plain,
+        lambda p: F.when(F.size(p) < JOINED, F.array().cast("array<string>")).otherwise(
+            F.transform(
+                F.sequence(F.lit(1), F.size(p) - JOINED + 1, F.lit(JOINED)),
+                lambda i: let(F.slice(p, i, F.lit(JOINED)), lambda ws: let(F.xxhash64(ws), lambda h: _written(ws, h))),
+            )
+        ),
+    )
+
+
+def _written(words: Column, draw: Column) -> Column:
+    lower = F.transform(words, lambda w: F.lower(w))
+    camel = F.array_join(F.transform(lower, lambda w: F.initcap(w)), "")
+    number = F.when(F.pmod(draw, F.lit(5)) == 0, F.pmod(draw, F.lit(97)).cast("string")).otherwise("")
+    manner = F.pmod(F.shiftright(draw, 8), F.lit(4))
+    return F.concat(
+        F.when(manner == 0, F.array_join(lower, "_"))
+        .when(manner == 1, F.array_join(lower, "-"))
+        .when(manner == 2, F.concat(F.lit("/"), F.array_join(lower, "/")))
+        .otherwise(camel),
+        number,
     )
-    short = words.where(~F.regexp_like("string", F.lit(CANDIDATE)) & ~F.regexp_like("string", F.lit(KEYLIKE)))
-    chance, usual = _counted(random), _counted(short)
-    return MarkovModels(_ratios(chance, usual), MARGIN if usual else math.inf)
 
 
 def _ratios(chance: dict[int, int], usual: dict[int, int]) -> tuple[float, ...]:
@@ -172,7 +235,10 @@ def all_spans(text: Column, models: MarkovModels) -> Column:
                             s["base"], lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])
                         )
                         & ~F.regexp_like(m["text"], F.lit(r"^(.)\1*$"))
-                        & (_mean(models.ratios, m["text"]) > models.threshold),
+                        & let(
+                            F.regexp_replace(m["text"], UUID, ""),
+                            lambda t: (F.length(t) >= 20) & (_mean(models.ratios, t) > models.threshold),
+                        ),
                     ),
                     lambda m: F.struct(F.lit("markov").alias("kind"), m["start"], m["end"]).cast(SPAN),
                 ),

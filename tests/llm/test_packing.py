@@ -17,14 +17,13 @@ def corpus():
     r = random.Random(2)
     words = ["The", "don't", "naïve", "ÉCOLE", "x1y2", "a.b", "end.", "WOW!!", "3.14", " ", "é", "H̱x", "日本語", "I'LL", "<|endoftext|>", "😀.", "ab,;"]
     texts = [" ".join(r.choice(words) for _ in range(r.choice([1, 3, 30, 400, 5000]))) for _ in range(80)]
+    texts += ["a<|endoftext|>b", "<|startoftext|>The end.<|endoftext|><|endoftext|>", "<|EndOfText|> <|endoftext |>", "x.<|endoftext|>"]
     return [*texts, None, "", " \n\t", "w" * 50_000, "tab\tand\x0bmore\x1cor less", "same", "same"]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_every_id_in_one_piece(documents, tokenizer):

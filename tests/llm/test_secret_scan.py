@@ -64,3 +64,54 @@ def test_unlabelled_random_strings_neither_hide_nor_hide_others(documents, monke
 def test_ratio_of_a_pair_never_seen_is_bounded():
     usual = {secret_scan._N + 2: 1_000_000}
     assert max(secret_scan._ratios({}, usual)) < 5
+
+
+def test_identifiers_paths_and_uuids_are_not_secrets(spark):
+    """Measured on labelled strings of words that the corpus does not have."""
+    import uuid
+    from pathlib import Path
+
+    import pytest
+
+    data = "/root/testdata/sf0.01/documents.parquet"
+    if not Path(data).exists():
+        pytest.skip("no test tables here")
+    models = secret_scan.train(spark.read.parquet(data))
+    r = random.Random(4)
+    words = (
+        "user profile service abstract singleton proxy factory bean response database transaction customer address"
+        " validator configuration controller repository python packages numpy share local window buffer stream parser"
+    ).split()
+    write = ["_".join, "-".join, lambda ws: "/" + "/".join(ws), lambda ws: "".join(w.title() for w in ws), lambda ws: "_".join(ws) + "_v2"]
+    plain = [write[i % 5]([r.choice(words) for _ in range(r.randint(3, 6))]) for i in range(500)]
+    plain += ["AbstractSingletonProxyFactoryBeanImpl", "/usr/lib/python3/dist-packages/numpy/core", "//example-org/wiki/Main_Page"]
+    plain += [str(uuid.UUID(int=r.getrandbits(128))) for _ in range(200)]
+    letters = secret_scan.ALPHABET[:62]
+    random_ = ["".join(r.choice(letters) for _ in range(24)) for _ in range(200)]
+    random_ += [base64.b64encode(r.randbytes(24)).decode() for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate(plain + random_)]
+    found = secret_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), models).collect()
+    hit = {x["doc_id"] for x in found if any(s["kind"] == "markov" for s in x["secret_spans"])}
+    wrong = sum(i < len(plain) for i in hit)
+    assert wrong < 0.01 * len(plain) + 1
+    assert len(hit) - wrong >= 0.95 * len(random_)
+
+
+def test_ratio_against_brute_force(spark):
+    """The mean log-likelihood ratio, and the ratios from pair counts, in plain Python."""
+    import math
+
+    chance, usual = {65 * 2: 3, 67: 5}, {67: 9, 68: 1}
+    ratios = secret_scan._ratios(chance, usual)
+    n = secret_scan._N
+    for k in (67, 68, 130, 4000):
+        row = range(k // n * n, k // n * n + n)
+        c, u = sum(chance.get(j, 0) for j in row), sum(usual.get(j, 0) for j in row)
+        p = 0.5 / n + 0.5 * (chance.get(k, 0) + 1) / (c + n)
+        q = secret_scan.UNSEEN / n + (1 - secret_scan.UNSEEN) * (usual.get(k, 0) + 0.05) / (u + 0.05 * n)
+        assert abs(ratios[k] - math.log(p / q)) < 1e-4
+    text = "abZ9/+_x="
+    at = [secret_scan.ALPHABET.index(ch) + 1 for ch in text]
+    want = sum(ratios[a * n + b] for a, b in zip(at, at[1:])) / (len(text) - 1)
+    df = spark.createDataFrame([(text,)], "t string")
+    assert abs(df.select(secret_scan._mean(ratios, secret_scan.F.col("t"))).first()[0] - want) < 1e-9
