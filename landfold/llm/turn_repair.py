@@ -159,110 +159,102 @@ def faults(turns: DataFrame) -> DataFrame:
 
 
 _SCORED = (
-    "conv_id {id}, slice int, many boolean, letters array<string>, size bigint, costs array<bigint>, "
+    "conv_id {id}, slice int, many boolean, letters array<string>, costs array<bigint>, "
     "blank bigint, duplicate bigint, truncated bigint, illegal bigint, turns bigint, first bigint, last bigint"
 )
 _LEGAL = {"su", "ua", "au"}
 
 
-def _scored(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Letters of each slice of a conversation with duplicates marked, its counts, and its sum of costs."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                seen, letters, again = set(), [], set(row["again"] or ())
-                for i, r in enumerate(row["rows"]):
-                    own = (r["role"], r["digest"])
-                    letter = r["letters"]
-                    if letter[1] != "b" and (own in seen or i in again):
-                        letter = letter[0] + "d"
-                    seen.add(own)
-                    letters.append(letter)
-                numbers = [r["turn"] for r in row["rows"] if r["turn"] is not None]
-                kinds = [letter[1] for letter in letters]
-                out = {
-                    "conv_id": row["conv_id"],
-                    "slice": row["slice"],
-                    "many": row["many"],
-                    "letters": letters,
-                    "size": len(letters),
-                    "costs": [c for v in through(letters) for c in v] if row["many"] else None,
-                    "blank": kinds.count("b"),
-                    "duplicate": kinds.count("d"),
-                    "truncated": kinds.count("t"),
-                    "illegal": sum(a[0] + b[0] not in _LEGAL for a, b in zip(letters, letters[1:])),
-                    "turns": len(set(numbers)),
-                    "first": numbers[0] if numbers else None,
-                    "last": numbers[-1] if numbers else None,
-                }
-                yield pa.RecordBatch.from_pylist([out], schema=schema)
-
-    return run
-
-
-def _ends(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scored(row: dict[str, Any]) -> list[dict[str, Any]]:
+    """Letters of a slice of a conversation with duplicates marked, its counts, and its sum of costs."""
+    seen, letters, again = set(), [], set(row["again"] or ())
+    for i, r in enumerate(row["rows"]):
+        own, letter = (r["role"], r["digest"]), r["letters"]
+        if letter[1] != "b" and (own in seen or i in again):
+            letter = letter[0] + "d"
+        seen.add(own)
+        letters.append(letter)
+    numbers = [r["turn"] for r in row["rows"] if r["turn"] is not None]
+    kinds = [letter[1] for letter in letters]
+    return [
+        {
+            "conv_id": row["conv_id"],
+            "slice": row["slice"],
+            "many": row["many"],
+            "letters": letters,
+            "costs": [c for v in through(letters) for c in v] if row["many"] else None,
+            "blank": kinds.count("b"),
+            "duplicate": kinds.count("d"),
+            "truncated": kinds.count("t"),
+            "illegal": sum(a[0] + b[0] not in _LEGAL for a, b in zip(letters, letters[1:])),
+            "turns": len(set(numbers)),
+            "first": numbers[0] if numbers else None,
+            "last": numbers[-1] if numbers else None,
+        }
+    ]
+
+
+def _ends(row: dict[str, Any]) -> list[dict[str, Any]]:
     """The checkpoint after each slice of a conversation, by folding the slices' sums from the end."""
+    out, v = [], _with_inserts(_ACCEPTED)
+    for part in reversed(row["parts"]):
+        out.append({"conv_id": row["conv_id"], "slice": part["slice"], "end": list(v)})
+        c = part["costs"]
+        v = tuple(min(c[4 * q + p] + v[q] for q in range(4)) for p in range(4))
+    out[0]["end"] = None
+    return out
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                out, v = [], _with_inserts(_ACCEPTED)
-                for part in reversed(row["parts"]):
-                    out.append({"conv_id": row["conv_id"], "slice": part["slice"], "end": list(v)})
-                    c = part["costs"]
-                    v = tuple(min(c[4 * q + p] + v[q] for q in range(4)) for p in range(4))
-                out[0]["end"] = None
-                yield pa.RecordBatch.from_pylist(out, schema=schema)
+def _walked(row: dict[str, Any]) -> list[dict[str, Any]]:
+    """A slice walked from each state it may be entered in: from the first one only where it is all there is."""
+    found = walk(row["letters"], tuple(row["end"]) if row["end"] else None, [0, 1, 2, 3] if row["many"] else [_START])
+    audits, exits, prices = (list(c) for c in zip(*found, strict=True))
+    initials = row["letters"][0][0] + row["letters"][-1][0]
+    kept = {k: v for k, v in row.items() if k not in ("letters", "costs", "end", "many")}
+    return [kept | {"audits": audits, "exits": exits, "prices": prices, "initials": initials}]
 
-    return run
 
+def _joined(row: dict[str, Any]) -> list[dict[str, Any]]:
+    """A conversation from its slices, each walked from the state that the one before ends in."""
+    parts, state, audit = row["parts"], _START, []
+    for part in parts:
+        audit.append(part["audits"][state])
+        state = part["exits"][state]
+    total = {k: sum(p[k] for p in parts) for k in ("blank", "duplicate", "truncated", "illegal", "turns")}
+    for a, b in zip(parts, parts[1:]):
+        total["illegal"] += a["initials"][1] + b["initials"][0] not in _LEGAL
+        total["turns"] -= a["last"] is not None and a["last"] == b["first"]
+    first = [p["first"] for p in parts if p["first"] is not None]
+    last = [p["last"] for p in parts if p["last"] is not None]
+    turns = total.pop("turns")
+    return [
+        total
+        | {
+            "conv_id": row["conv_id"],
+            "gaps": last[-1] - first[0] + 1 - turns if first else 0,
+            "cost": parts[0]["prices"][_START],
+            "audit": "".join(audit),
+        }
+    ]
 
-def _walked(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                end = tuple(row["end"]) if row["end"] else None
-                found = walk(row["letters"], end, [0, 1, 2, 3] if row["many"] else [_START])
-                out = {k: row[k] for k in schema.names if k in row}
-                out |= {"audits": [a for a, _, _ in found], "exits": [s for _, s, _ in found]}
-                out |= {"prices": [c for _, _, c in found]}
-                out |= {"initials": row["letters"][0][0] + row["letters"][-1][0]}
-                yield pa.RecordBatch.from_pylist([out], schema=schema)
 
-    return run
+def _map(df: DataFrame, fn: Callable[[pa.Schema], Any], schema: str) -> DataFrame:
+    return df.mapInArrow(fn(to_arrow_schema(StructType.fromDDL(schema))), schema)
 
 
-def _joined(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A conversation from its slices, each walked from the state that the one before ends in."""
+def _map_rows(df: DataFrame, fn: Callable[[dict[str, Any]], list[dict[str, Any]]], ddl: str) -> DataFrame:
+    """``fn`` of each row, a few dozen at a time."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                parts, state, audit = row["parts"], _START, []
-                for part in parts:
-                    audit.append(part["audits"][state])
-                    state = part["exits"][state]
-                total = {k: sum(p[k] for p in parts) for k in ("blank", "duplicate", "truncated", "illegal", "turns")}
-                for a, b in zip(parts, parts[1:]):
-                    total["illegal"] += a["initials"][1] + b["initials"][0] not in _LEGAL
-                    total["turns"] -= a["last"] is not None and a["last"] == b["first"]
-                first = [p["first"] for p in parts if p["first"] is not None]
-                last = [p["last"] for p in parts if p["last"] is not None]
-                turns = total.pop("turns")
-                out = total | {
-                    "conv_id": row["conv_id"],
-                    "gaps": last[-1] - first[0] + 1 - turns if first else 0,
-                    "cost": parts[0]["prices"][_START],
-                    "audit": "".join(audit),
-                }
-                yield pa.RecordBatch.from_pylist([out], schema=schema)
-
-    return run
+    def make(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 64):
+                    found = [out for row in batch.slice(at, 64).to_pylist() for out in fn(row)]
+                    yield pa.RecordBatch.from_pylist(found, schema=schema)
 
+        return run
 
-def _map(df: DataFrame, fn: Callable[[pa.Schema], Any], schema: str) -> DataFrame:
-    return df.mapInArrow(fn(to_arrow_schema(StructType.fromDDL(schema))), schema)
+    return _map(df, make, ddl)
 
 
 def _slices(turns: DataFrame) -> DataFrame:
@@ -323,17 +315,17 @@ def plan_repairs(turns: DataFrame) -> DataFrame:
     the neighbours whose initials are none of su, ua and au.
     """
     kind = turns.schema["conv_id"].dataType.simpleString()
-    scored = materialise(_map(_slices(turns), _scored, _SCORED.format(id=kind)), "scored")
+    scored = materialise(_map_rows(_slices(turns), _scored, _SCORED.format(id=kind)), "scored")
     folded = (
         scored.where("many")
         .groupBy("conv_id")
         .agg(F.sort_array(F.collect_list(F.struct("slice", "costs"))).alias("parts"))
     )
-    ends = _map(folded, _ends, f"conv_id {kind}, slice int, end array<bigint>")
+    ends = _map_rows(folded, _ends, f"conv_id {kind}, slice int, end array<bigint>")
     ends = ends.select(F.col("conv_id").alias("c"), F.col("slice").alias("s"), "end")
     known = scored.join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("slice") == F.col("s")), "left")
     counts = "blank bigint, duplicate bigint, truncated bigint, illegal bigint"
-    walked = _map(
+    walked = _map_rows(
         known.drop("c", "s"),
         _walked,
         f"conv_id {kind}, slice int, {counts}, turns bigint, first bigint, last bigint, initials string, "
@@ -341,7 +333,7 @@ def plan_repairs(turns: DataFrame) -> DataFrame:
     )
     parts = F.struct("slice", *[c for c in walked.columns if c not in ("conv_id", "slice")])
     whole = walked.groupBy("conv_id").agg(F.sort_array(F.collect_list(parts)).alias("parts"))
-    return _map(whole, _joined, f"conv_id {kind}, gaps bigint, {counts}, cost bigint, audit string")
+    return _map_rows(whole, _joined, f"conv_id {kind}, gaps bigint, {counts}, cost bigint, audit string")
 
 
 def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Any, bool, str, str, str]]:
