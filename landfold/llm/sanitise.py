@@ -47,6 +47,10 @@ GENERALISED_WITHIN = 1.0
 SUPPORT = 2
 #: Contexts that p(e) counts for in p(e|t).
 PRIOR = 0.5
+#: Terms or contexts that are sent to all tasks, at most; more are joined by shuffling words.
+SENT = 200_000
+#: No value is without one of these.
+HINT = r"@|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|\+[0-9]|(?:[0-9][\x20-]?){15}[0-9]"
 #: Parts that texts of one content are dealt into where their terms are joined to them.
 SALTS = 16
 WORD = r"[\p{L}]+"
@@ -83,13 +87,18 @@ def _values(line: Column) -> Column:
     )
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """Stored rows, sent to all tasks if their number, which is looked at, allows it."""
+    return F.broadcast(rows) if rows.count() <= SENT else rows
+
+
 def disclosure(docs: DataFrame) -> DataFrame:
     """(e, term, c_te, c_t, pmi, open): what terms tell of values, in bits, and what of IC(e) stays open.
 
     Pairs of fewer than SUPPORT contexts are left out.
     """
     lines = docs.select(F.explode(F.split(whole_text(), "\n")).alias("line"))
-    some = F.regexp_like("line", F.lit("@|[0-9]"))  # no value is without one of these
+    some = F.regexp_like("line", F.lit(HINT))
     valued = (
         lines.where(some)
         .groupBy("line")
@@ -111,7 +120,8 @@ def disclosure(docs: DataFrame) -> DataFrame:
     )
     pairs = materialise(pairs, "pairs")
     # All contexts of those terms, whatever stands beside them.
-    words = _contexts(lines).join(pairs.select(F.col("term").alias("word")).distinct(), "word", "left_semi")
+    wanted = materialise(pairs.select(F.col("term").alias("word")).distinct(), "wanted")
+    words = _contexts(lines).join(_few(wanted), "word", "left_semi")
     words = words.distinct().groupBy(F.col("word").alias("term")).agg(F.count("*").alias("c_t"))
     total = lines.agg(F.count("*").alias("total"))
     p_e = F.col("c_e") / F.lit(total.first()["total"] or 1)
@@ -145,10 +155,11 @@ def revealing_terms(docs: DataFrame) -> DataFrame:
     if general.isEmpty():
         return terms.withColumn("broader", F.lit(None).cast("string"))
     all_contexts = _contexts(docs.select(F.explode(F.split(whole_text(), "\n")).alias("line")))
-    places = all_contexts.join(general.withColumnRenamed("term", "word"), "word", "left_semi").distinct()
+    places = all_contexts.join(_few(general.withColumnRenamed("term", "word")), "word", "left_semi").distinct()
     places = materialise(places.select(F.col("word").alias("term"), "context"), "places")
     # A context is one of few words; where it is common, pairs are made distinct before they meet.
-    others = all_contexts.join(places.select("context").distinct(), "context", "left_semi").distinct()
+    known = materialise(places.select("context").distinct(), "contexts")
+    others = all_contexts.join(_few(known), "context", "left_semi").distinct()
     others = others.join(terms.select(F.col("term").alias("word")), "word", "left_anti")
     broader = (
         places.join(others, "context")
@@ -190,7 +201,7 @@ def _with_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
     own = (
         docs.select(key.alias("_landfold_key"), whole_text().alias("text"))
         .select("_landfold_key", F.explode(words).alias("term"))
-        .join(terms, "term")
+        .join(_few(terms), "term")
         .distinct()
         .groupBy("_landfold_key")
         .agg(F.sort_array(F.collect_list(F.struct("term", "kind", "broader"))).alias(_TERMS))
