@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import inspect
 import random
 
 import public_tokenizers
@@ -48,6 +49,20 @@ def test_merges_folded_by_expressions(spark, library):
         assert row["ids"] == library.encode_ordinary(row["word"]), row["word"]
 
 
+def test_every_word_is_merged_by_rank_and_none_by_the_library(library):
+    """Words of any length, with and without others beside them, also bytes that are no text."""
+    assert "tiktoken" not in inspect.getsource(byte_bpe)
+    r = random.Random(5)
+    parts = [b"a", b"b", b"the", b"in", "é".encode(), "日".encode(), b"tion", b" ", b"\xff", b"1"]
+    words = [b"".join(r.choice(parts) for _ in range(r.randint(0, 60))) for _ in range(500)]
+    words += [b"a" * 5000, b"", b"the", b"a", b"z" * byte_bpe.MOST_BYTES, b"z" * (byte_bpe.MOST_BYTES + 1)]
+    merges = byte_bpe.Merges(token_counts.rank_file(MULTI))
+    expected = [library._encode_single_piece(w) if w else [] for w in words]
+    assert [list(memoryview(ids).cast("i")) for ids in merges.of(words)] == expected
+    assert [list(memoryview(merges.of([w])[0]).cast("i")) for w in words[:50]] == expected[:50]
+    assert merges.of([]) == []
+
+
 def test_decode_leaves_out_what_it_does_not_know(spark):
     df = spark.createDataFrame([([0, None, -1, 10**6, 1],), ([],)], "ids array<int>")
     pieces = token_counts.rank_file(MULTI)
