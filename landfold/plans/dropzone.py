@@ -15,6 +15,7 @@ Below ``root``::
 
 from __future__ import annotations
 
+import math
 import threading
 import uuid
 from collections import defaultdict
@@ -50,8 +51,8 @@ from landfold.operators.stage import (
     declared_schema,
     stage,
 )
-from landfold.sources.files import read_csv, read_lines, read_text
-from landfold.sources.tables import read_table
+from landfold.sources.files import list_files, read_csv, read_lines, read_text
+from landfold.sources.tables import SINK_LOG, read_table
 from landfold.streaming.catalog import declare_table
 from landfold.streaming.change_table import ChangeTable
 from landfold.streaming.flows import append, apply_batch, apply_stream, await_all, flow_identity, for_each_batch
@@ -85,7 +86,8 @@ class Feed:
     lines as they are, headers too; stages and keyed tables are made of whole records, and
     take what a batch of bronze has at once, so that no file is torn.
 
-    One limit paces a batch: ``max_files``, or ``max_bytes`` with ``max_files=None``.
+    One limit paces a batch: ``max_files``, or ``max_bytes`` with ``max_files=None``. Keyed
+    tables take as many files of bronze at once as a batch of landed ones became, if that is more.
     """
 
     table: str
@@ -238,10 +240,19 @@ class DropZone:
     def _lines(self, source: str, table: str | None) -> DataFrame:
         return split_source(self._routed(self._feed(table)), source)
 
-    @staticmethod
-    def _pace(feed: Feed) -> dict[str, object]:
+    def _pace(self, feed: Feed) -> dict[str, object]:
         # A file's lines land with one batch of bronze, which is taken whole if nothing limits it.
-        return {} if feed.quoted_lines else {"max_files": feed.max_files, "max_bytes": feed.max_bytes}
+        if feed.quoted_lines:
+            return {}
+        most = feed.max_files
+        # A large file becomes several of bronze, of which a batch should not take fewer for that.
+        return {"max_files": most and max(most, self._files_a_batch(feed)), "max_bytes": feed.max_bytes}
+
+    def _files_a_batch(self, feed: Feed) -> int:
+        """Bronze files that a batch of landed files has become so far, on average."""
+        log = Folder(self.spark, f"{self._bronze_path(feed)}/{SINK_LOG}")
+        batches = 1 + max((int(n) for n in (name.split(".")[0] for name in log.names()) if n.isdigit()), default=-1)
+        return math.ceil(list_files(self.spark, self._bronze_path(feed)).count() / batches) if batches else 0
 
     @staticmethod
     def _records(feed: Feed, lines: DataFrame) -> DataFrame:

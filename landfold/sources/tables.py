@@ -10,15 +10,15 @@ from pyspark.sql import types as T
 from landfold.functions.sizes import ANY_AGE, rate_options
 from landfold.streaming.folder import Folder
 
-_SINK_LOG = "_spark_metadata"
+SINK_LOG = "_spark_metadata"
 
 
 def table_folders(spark: SparkSession, path: str) -> list[str]:
     """Where a table's rows are: its own folder, or one folder for each flow that feeds it."""
     folder = Folder(spark, path)
-    if folder.exists(_SINK_LOG):
+    if folder.exists(SINK_LOG):
         return [path]
-    flows = [n for n in folder.names() if folder.exists(f"{n}/{_SINK_LOG}")]
+    flows = [n for n in folder.names() if folder.exists(f"{n}/{SINK_LOG}")]
     return [f"{path}/{n}" for n in flows] or [path]
 
 

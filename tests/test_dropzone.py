@@ -137,6 +137,29 @@ def test_deletes_and_dropped_lines(spark, drop, tmp_path):
         zone.run(ddl, {"items": ["id"]}, mode="shrug")
 
 
+def test_files_of_several_splits_are_a_batch_together(spark, drop, tmp_path):
+    """Bronze has several files of each, and a keyed table takes no smaller batches for that."""
+    zone = small_zone(spark, drop, max_files=2)
+    for day in range(4):
+        drop(f"d{day}/items.csv", ["id,n,value,op", *[f"k{i},{day},v{day},x" for i in range(60)]], at=1000 + day)
+    split = {"spark.sql.files.maxPartitionBytes": "200", "spark.sql.files.openCostInBytes": "1"}
+    before = {name: spark.conf.get(name) for name in split}
+    for name, value in split.items():
+        spark.conf.set(name, value)
+    try:
+        zone.ingest()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(list((tmp_path / "tables/bronze/landed").rglob("*.parquet"))) > 8
+    zone.load_registry(write_ddl(tmp_path, {"items": ITEMS}), {"items": ["id"]})
+    zone.refresh_silver()
+    batches = [p for p in (tmp_path / "tables/checkpoints/all_silver/landed/commits").iterdir() if p.name.isdigit()]
+    assert len(batches) == 2
+    got = {(r.id, r.n, r.value) for r in zone.silver("items").collect()}
+    assert got == {(f"k{i}", 3, "v3") for i in range(60)}
+
+
 def test_failfast(spark, drop, tmp_path):
     zone = small_zone(spark, drop)
     drop("d1/items.csv", ["h", "a,1,x,", "bad"])
