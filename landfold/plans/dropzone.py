@@ -51,7 +51,7 @@ from landfold.operators.stage import (
     declared_schema,
     stage,
 )
-from landfold.sources.files import list_files, read_csv, read_lines, read_text
+from landfold.sources.files import read_csv, read_lines, read_text
 from landfold.sources.tables import SINK_LOG, read_table
 from landfold.streaming.catalog import declare_table
 from landfold.streaming.change_table import ChangeTable
@@ -252,7 +252,8 @@ class DropZone:
         """Bronze files that a batch of landed files has become so far, on average."""
         log = Folder(self.spark, f"{self._bronze_path(feed)}/{SINK_LOG}")
         batches = 1 + max((int(n) for n in (name.split(".")[0] for name in log.names()) if n.isdigit()), default=-1)
-        return math.ceil(list_files(self.spark, self._bronze_path(feed)).count() / batches) if batches else 0
+        # Names only, which Spark's own listing has; no file is looked at.
+        return math.ceil(len(self._routed(feed).inputFiles()) / batches) if batches else 0
 
     @staticmethod
     def _records(feed: Feed, lines: DataFrame) -> DataFrame:
